@@ -80,7 +80,8 @@ def validate_keys(df: DataFrame, key: str, name: str = "DataFrame", max_examples
     # bounded: TakeOrdered of max_examples keys, never the full duplicate list
     examples = (per_key.where((F.col("n") > 1) & F.col("k").isNotNull())
                 .orderBy("k").limit(max_examples)
-                .agg(F.array_sort(F.collect_list(F.col("k").cast("string"))).alias("duplicate_values")))
+                .agg(F.transform(F.array_sort(F.collect_list("k")), lambda x: x.cast("string"))
+                     .alias("duplicate_values")))
     out = stats.select("*", examples.select("duplicate_values").scalar().alias("duplicate_values"))
     out = out.withColumn("duplicate_keys", F.col("total_rows") - F.col("unique_keys"))
     return out.select(
