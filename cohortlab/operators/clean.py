@@ -1,10 +1,9 @@
 """Target detection, feature selection, imputation, filtering.
 
 Fit/apply pairs: ``fit_*`` returns a ONE-row DataFrame of statistics computed
-in a single aggregation; ``apply_*`` reads each statistic as a scalar
-subquery. Catalyst merges the scalar subqueries over the same stats plan into
-one job, so fitting costs one pass over the data however many columns there
-are, and the whole thing stays lazy.
+in a single aggregation (one pass over the data however many columns there
+are); ``apply_*`` reads that row once and applies the values as literals, so
+plans built on top stay flat instead of re-running nested subqueries.
 """
 
 from __future__ import annotations
@@ -145,16 +144,21 @@ def fit_imputer(df: DataFrame, strategy: str = "median", numeric=None, categoric
 
 
 def apply_imputer(df: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Fill nulls (and NaN) with the fitted statistic; column order kept."""
-    filled = set(fitted.columns)
+    """Fill nulls (and NaN) with the fitted statistic; column order kept.
+
+    The fitted frame is ONE row (one value per column): it is read once and
+    the values become literals, which keeps downstream plans flat.
+    """
+    row = fitted.first().asDict() if fitted.columns else {}
     fl = (T.FloatType, T.DoubleType)
     out = []
     for f in df.schema.fields:
         c = F.col(q(f.name))
-        if f.name in filled:
+        if f.name in row:
             if isinstance(f.dataType, fl):
                 c = nan_to_null(c)
-            out.append(F.coalesce(c, fitted.select(q(f.name)).scalar()).alias(f.name))
+            fill = F.lit(row[f.name]) if row[f.name] is not None else F.lit(None).cast(fitted.schema[f.name].dataType)
+            out.append(F.coalesce(c, fill).alias(f.name))
         else:
             out.append(c)
     return df.select(out)
