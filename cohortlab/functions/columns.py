@@ -63,6 +63,18 @@ def laterality_ratio(left: str | Column, right: str | Column) -> Column:
     return F.when(left.isNotNull() & (right > 0), left / right)
 
 
+def safe_corr(a: str | Column, b: str | Column) -> Column:
+    """Pearson r over rows where both are present; null (not an error) when a side is constant.
+
+    Aggregate expression: covar_pop / (stddev_pop * stddev_pop) on the
+    pairwise-complete values.
+    """
+    a, b = col(a), col(b)
+    a2, b2 = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    sa, sb = F.stddev_pop(a2), F.stddev_pop(b2)
+    return F.when((sa > 0) & (sb > 0), F.covar_pop(a2, b2) / (sa * sb))
+
+
 def product(arr: str | Column) -> Column:
     """Product of a numeric array (voxel volume from zooms)."""
     return F.aggregate(col(arr), F.lit(1.0), lambda acc, x: acc * x.cast("double"))

@@ -90,13 +90,16 @@ def classification_report(df: DataFrame, truth: str = "truth", pred: str = "pred
                   F.sum(F.col("precision") * F.col("support")).alias("wp"),
                   F.sum(F.col("recall") * F.col("support")).alias("wr"),
                   F.sum(F.col("f1_score") * F.col("support")).alias("wf"))
+    def row(label, p, r, f):
+        return F.struct(F.lit(label).alias("label"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1_score"),
+                        F.col("n").cast("long").alias("support"))
+
+    n = F.col("n")
     summary = tot.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), _safe(F.col("tp"), F.col("n")).alias("f1_score"),
-                 F.col("n").cast("long").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n").cast("long")),
-        F.struct(F.lit("weighted avg"), _safe(F.col("wp"), F.col("n")), _safe(F.col("wr"), F.col("n")),
-                 _safe(F.col("wf"), F.col("n")), F.col("n").cast("long")))))
+        row("accuracy", F.lit(None), F.lit(None), _safe(F.col("tp"), n)),
+        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        row("weighted avg", _safe(F.col("wp"), n), _safe(F.col("wr"), n), _safe(F.col("wf"), n)))))
     return per.drop("tp").unionByName(summary)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.columns import nan_to_null, q, truthy
+from cohortlab.functions.columns import nan_to_null, q, safe_corr, truthy
 
 
 def _v(c: str) -> Column:
@@ -91,7 +91,7 @@ def listwise_correlations(df: DataFrame, anchor: str, others: list[str], min_n:
     """Pearson r of anchor vs each other column over rows complete in ALL of them; needs n > min_n."""
     cols = [anchor] + list(others)
     clean = df.select([_v(c).alias(c) for c in cols]).na.drop(subset=cols)
-    g = clean.agg(F.count(F.lit(1)).alias("n"), *[F.corr(q(anchor), q(c)).alias(f"r{i}") for i, c in enumerate(others)])
+    g = clean.agg(F.count(F.lit(1)).alias("n"), *[safe_corr(F.col(q(anchor)), F.col(q(c))).alias(f"r{i}") for i, c in enumerate(others)])
     rows = F.array(*[F.struct(F.lit(anchor).alias("x"), F.lit(c).alias("y"), F.col(f"r{i}").alias("r"))
                      for i, c in enumerate(others)])
     return g.where(F.col("n") > min_n).select("n", F.inline(rows))
@@ -100,7 +100,7 @@ def listwise_correlations(df: DataFrame, anchor: str, others: list[str], min_n:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pairwise-complete Pearson r, lower triangle incl. diagonal, in one aggregation."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]]
-    g = df.agg(*[F.corr(_v(a), _v(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)],
+    g = df.agg(*[safe_corr(_v(a), _v(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)],
                *[F.count(F.when(_v(a).isNotNull() & _v(b).isNotNull(), 1)).alias(f"n{k}")
                  for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"n{k}").alias("n"),
