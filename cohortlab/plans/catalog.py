@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlab.plans import q_clean, q_eval, q_features, q_merge, q_prep, q_stats  # noqa: F401
+from cohortlab.plans import q_audit, q_clean, q_eval, q_features, q_merge, q_prep, q_stats  # noqa: F401
 from cohortlab.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
