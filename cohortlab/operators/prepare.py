@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
 from cohortlab.operators import clean, encode, scale, split
+from cohortlab.session import cut_lineage
 
 
 @dataclass
@@ -33,7 +34,7 @@ class Prepared:
 def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject: str | None = "Subject_ID",
             order: str | None = None, suffix: str | None = "MR2", test_size: float = 0.2, seed: int = 42,
             subject_level: bool = True, strategy: str = "median", exclude=clean.ID_COLUMNS,
-            keep: tuple[str, ...] = ()) -> Prepared:
+            keep: tuple[str, ...] = (), checkpoint: bool = True) -> Prepared:
     target = target or clean.detect_target(df)
     feats = clean.feature_columns(df, target, tuple(exclude) + tuple(keep))
     num = set(clean.numeric_columns(df))
@@ -43,6 +44,10 @@ def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject:
     d = clean.impute(df, strategy, numeric=imp_num, categorical=imp_cat)
     if suffix:
         d = clean.drop_suffix(d, key, suffix)
+    if checkpoint:
+        # encoder, split and scaler fits run several small actions on this frame:
+        # write it once to the shared checkpoint folder instead of recomputing its lineage
+        d = cut_lineage(d)
     cats = [c for c in feats if c in strs]
     d = encode.label_encode(d, cats)
     d = clean.drop_missing_target(clean.binary_target(d, target))
