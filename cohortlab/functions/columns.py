@@ -87,8 +87,13 @@ def argmax_index(arr: str | Column) -> Column:
 
 
 def display_round(c: str | Column, digits: int = 4) -> Column:
-    """Half-even rounding used for display values (Python ``round``)."""
-    return F.bround(col(c), digits)
+    """Half-even rounding of the binary value, as Python's ``round`` does for display values.
+
+    ``bround`` would round the shortest decimal string of the double instead
+    (0.02125 → 0.0212, where Python gives 0.0213), so scale, ``rint``, unscale.
+    """
+    p = float(10 ** digits)
+    return F.rint(col(c) * p) / p
 
 
 def stable_hash_hex(key: str | Column, seed: int) -> Column:

@@ -29,6 +29,17 @@ class Prepared:
     features: list[str]
     binary: list[str] = field(default_factory=list)
     categorical: list[str] = field(default_factory=list)
+    codes: dict = field(default_factory=dict)      # column → sorted dictionary (code = position)
+    moments: dict = field(default_factory=dict)    # column → (mean, scale) of the training rows
+    fill: dict = field(default_factory=dict)       # column → imputation value
+
+    def params(self, spark):
+        """Fitted state as one long parameter table (column, stat, value)."""
+        rows = [(c, "fill", None if v is None else str(v)) for c, v in self.fill.items()]
+        rows += [(c, f"code_{i}", v) for c, vals in self.codes.items() for i, v in enumerate(vals)]
+        rows += [(c, s, str(v)) for c, (m, sd) in self.moments.items() for s, v in (("mean", m), ("scale", sd))]
+        rows += [(c, "feature_order", str(i)) for i, c in enumerate(self.features)]
+        return spark.createDataFrame(rows, "column string, stat string, value string")
 
 
 def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject: str | None = "Subject_ID",
@@ -41,7 +52,9 @@ def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject:
     strs = set(clean.string_columns(df))
     imp_num = [c for c in feats + [target] if c in num]
     imp_cat = [c for c in feats if c in strs]
-    d = clean.impute(df, strategy, numeric=imp_num, categorical=imp_cat)
+    imputer = clean.fit_imputer(df, strategy, numeric=imp_num, categorical=imp_cat)
+    fill = imputer.first().asDict() if imputer.columns else {}
+    d = clean.apply_imputer(df, imputer)
     if suffix:
         d = clean.drop_suffix(d, key, suffix)
     if checkpoint:
@@ -49,7 +62,11 @@ def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject:
         # write it once to the shared checkpoint folder instead of recomputing its lineage
         d = cut_lineage(d)
     cats = [c for c in feats if c in strs]
-    d = encode.label_encode(d, cats)
+    codes = {}
+    if cats:
+        enc = encode.fit_label_encoder(d, cats)
+        codes = enc.first().asDict()
+        d = encode.apply_label_encoder(d, enc, cats)
     d = clean.drop_missing_target(clean.binary_target(d, target))
     numeric_now = set(clean.numeric_columns(d))
     X = [c for c in feats if c in numeric_now]
@@ -62,7 +79,10 @@ def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject:
     train = d.where(F.col("split") == "train")
     binary = scale.binary_columns(train, X)
     to_scale = [c for c in X if c not in binary]
-    d = scale.apply_scaler(d, scale.fit_scaler(train, to_scale), to_scale)
+    scaler = scale.fit_scaler(train, to_scale)
+    srow = scaler.first().asDict() if to_scale else {}
+    moments = {c: (srow[f"{c}__mean"], srow[f"{c}__scale"]) for c in to_scale}
+    d = scale.apply_scaler(d, scaler, to_scale)
     ids = [c for c in dict.fromkeys([key] + ([subject] if subject else []) + list(keep)) if c in d.columns]
     out = d.select(*[F.col(q(c)) for c in ids], "split", "target", *[F.col(q(c)) for c in X])
-    return Prepared(out, target, X, binary, cats)
+    return Prepared(out, target, X, binary, cats, codes=codes, moments=moments, fill=fill)

@@ -140,6 +140,13 @@ def m8_stratified_kfold(spark, sf):
 
 
 def _prep_sql():
+    cols = ["status", "priority"] + NUM
+    sel = ", ".join(f"round(CASE WHEN b_{c} THEN {c} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in cols)
+    return _prep_body() + f"\nSELECT ID, subject, session_id, split, target, {sel} FROM sp, st"
+
+
+def _prep_body():
+    """All CTEs of the preparation oracle, ending with ``st`` (training moments and binary flags)."""
     imp = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM visits)) AS {c}" for c in NUM + ["cdr"])
     body = V + f"""
 , imp AS (SELECT session_id, ID, subject, status, priority, {imp} FROM visits),
@@ -160,9 +167,7 @@ sp AS (SELECT enc.*, CASE WHEN subject IN (SELECT subject FROM ts) THEN 'test' E
     stats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL THEN 1.0 "
                       f"ELSE stddev_pop({c}) END AS s_{c}, coalesce(bool_and({c} IN (0.0, 1.0)), true) AS b_{c}"
                       for c in cols)
-    sel = ", ".join(f"round(CASE WHEN b_{c} THEN {c} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in cols)
-    return body + f", st AS (SELECT {stats} FROM sp WHERE split = 'train')\n" \
-                  f"SELECT ID, subject, session_id, split, target, {sel} FROM sp, st"
+    return body + f", st AS (SELECT {stats} FROM sp WHERE split = 'train')\n"
 
 
 def _prepared(spark, sf):
