@@ -108,6 +108,22 @@ def x3_batch_score(spark, sf):
     return _nb_report(spark, sf, prep, "full")
 
 
+@register("x3_stream_score", BASE + _nb_sql(FEATS) + "SELECT * FROM rep")
+def x3_stream_score(spark, sf):
+    """The batch score as a Structured Streaming job: session rows arrive as files (orders), join the
+    static per-order aggregate, are scored with the fitted state and appended to Parquet."""
+    from cohortlab.streaming.scoring import read_stream_files, run_to_parquet
+    prep = _state(spark, sf)
+    p = prepared(spark, sf)
+    f = C.fit_naive_bayes(p.where(F.col("split") == "train"), FEATS)
+    orders = read_stream_files(spark, sf, T.table(spark, sf, "orders").schema, glob="orders.parquet")
+    v = T.visits_from(orders, T.order_items(spark, sf))
+    aligned = scoring.align_features(v, ALIGN, KEY, _categorical(prep))
+    scored = f.transform(scoring.scale_and_select(aligned, prep.moments, FEATS, KEY))
+    out = run_to_parquet(rounded(scoring.score_report(scored, KEY, len(FEATS)), 6), "x3_stream")
+    return spark.read.parquet(out)
+
+
 NO_MMSE = [c for c in FEATS if c != "disc"]
 
 

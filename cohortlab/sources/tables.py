@@ -53,8 +53,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ID ends in ``_MR2`` for pending orders (the repeat-scan suffix), subject is the
     customer, ``cdr`` (n returned-and-final items / 2) is the rating with nulls.
     """
-    o = table(spark, sf_dir, "orders")
-    items = order_items(spark, sf_dir)
+    return visits_from(table(spark, sf_dir, "orders"), order_items(spark, sf_dir))
+
+
+def visits_from(o: DataFrame, items: DataFrame) -> DataFrame:
+    """The visits projection over an orders frame (batch or streaming) and the per-order item aggregate."""
     j = o.join(items, o.o_orderkey == items.l_orderkey, "left")
     return j.select(
         F.col("o_orderkey").alias("session_id"),
