@@ -53,7 +53,10 @@ def roc_auc(df: DataFrame, score: str = "score", truth: str = "truth", group: li
     # ordered buckets: quantile cut points of the distinct scores (≤ buckets + 1 doubles on the driver)
     cuts = g.approxQuantile("s", [i / buckets for i in range(1, buckets)], rel_err) if buckets > 1 else []
     splits = [float("-inf")] + sorted(set(c for c in cuts if c == c)) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(g)
+    if len(splits) < 3:  # one bucket (or one distinct score): nothing to cut
+        b = g.withColumn("bucket", F.lit(0.0))
+    else:
+        b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(g)
     per_b = b.groupBy(*group, "bucket").agg(F.sum("neg").alias("bneg"))
     wb = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1) if group else \
         Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
