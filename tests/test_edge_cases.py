@@ -238,3 +238,18 @@ def test_label_encoder(spark):
     out = [r.s for r in encode.label_encode(df, ["s"]).collect()]
     assert out == [1, 0, 1, None]
     assert not math.isnan(1.0)
+
+
+def test_schema_options(spark):
+    from cohortlab.operators.audit import LEAKAGE_COLUMNS
+    df = spark.createDataFrame([("OAS1_0001_MR1", "F", 70, 29.0, 0.0, "x")],
+                               "ID string, `M/F` string, Age long, MMSE double, CDR double, Hand string")
+    assert clean.detect_target(df) == "CDR"
+    with pytest.raises(ValueError):
+        clean.detect_target(df.drop("CDR"))
+    feats = clean.feature_columns(df, "CDR")
+    assert feats == ["M/F", "Age", "MMSE"]
+    assert clean.numeric_columns(df, feats) == ["Age", "MMSE"] and clean.string_columns(df, feats) == ["M/F"]
+    ok, missing = merge.schema_contains(df, ["ID", "Age", "Group"])
+    assert not ok and missing == ["Group"]
+    assert [c for c in LEAKAGE_COLUMNS if c in df.columns] == []
