@@ -127,10 +127,11 @@ def fit_imputer(df: DataFrame, strategy: str = "median", numeric=None, categoric
     numeric = numeric_columns(df) if numeric is None else numeric
     categorical = string_columns(df) if categorical is None else categorical
     exprs = []
+    exact_median = strategy == "median" and accuracy is None and numeric
     for c in numeric:
         v = nan_to_null(F.col(q(c)).cast("double"))
         if strategy == "median":
-            e = F.median(v) if accuracy is None else F.percentile_approx(v, 0.5, accuracy)
+            e = F.lit(None) if exact_median else F.percentile_approx(v, 0.5, accuracy)
         elif strategy == "mean":
             e = F.avg(v)
         else:
@@ -140,7 +141,16 @@ def fit_imputer(df: DataFrame, strategy: str = "median", numeric=None, categoric
         exprs.append(F.coalesce(F.mode(F.col(q(c)), True), F.lit("Unknown")).alias(c))
     if not exprs:
         return df.sparkSession.range(1).select()
-    return df.agg(*exprs)
+    row = df.agg(*exprs)
+    if not exact_median:
+        return row
+    # exact medians of all numeric columns in ONE pipeline: unpivot to (column, value), group by column
+    from cohortlab.operators.quantiles import exact_quantiles
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("double").alias("v"))
+                                        for c in numeric])))
+    med = {r["column"]: r["q0"] for r in exact_quantiles(long, "v", [0.5], ["column"], small_groups=True).collect()}
+    return row.select(*[F.lit(med.get(c)).cast("double").alias(c) if c in numeric else F.col(q(c))
+                        for c in row.columns])
 
 
 def apply_imputer(df: DataFrame, fitted: DataFrame) -> DataFrame:

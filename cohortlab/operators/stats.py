@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q, safe_corr, truthy
+from cohortlab.operators.quantiles import exact_quantiles
 
 
 def _v(c: str) -> Column:
@@ -62,7 +63,10 @@ def asymmetry_stats(df: DataFrame, columns: list[str]) -> DataFrame:
 def error_stats(df: DataFrame, column: str, accuracy: int | None = None) -> DataFrame:
     """N, mean, median, max, count < 0.01, count < 0.05, all < 0.01 over non-null errors."""
     v = _v(column)
-    med = F.median(v) if accuracy is None else F.percentile_approx(v, 0.5, accuracy).cast("double")
+    if accuracy is None:
+        med = exact_quantiles(df, v, [0.5]).select("q0").scalar()
+    else:
+        med = F.percentile_approx(v, 0.5, accuracy).cast("double")
     return df.where(v.isNotNull()).agg(
         F.count(F.lit(1)).alias("n_validated"), F.avg(v).alias("mean_abs_error"), med.alias("median_abs_error"),
         F.max(v).alias("max_abs_error"), F.count_if(v < 0.01).alias("error_lt_0_01"),
@@ -121,9 +125,11 @@ def grouped_mean_ranked(df: DataFrame, group: str, value: str, ascending: bool =
 
 
 def group_median(df: DataFrame, group: str, value: str, accuracy: int | None = None) -> DataFrame:
-    """Median per group (exact by default)."""
-    v = _v(value)
-    med = F.median(v) if accuracy is None else F.percentile_approx(v, 0.5, accuracy).cast("double")
+    """Median per group (exact by default, without holding a group in one task)."""
+    if accuracy is None:
+        g = df.select(F.col(q(group)).alias(group), _v(value).alias("__x"))
+        return exact_quantiles(g, "__x", [0.5], [group], names=[f"median_{value}"]).drop("n")
+    med = F.percentile_approx(_v(value), 0.5, accuracy).cast("double")
     return df.groupBy(F.col(q(group)).alias(group)).agg(med.alias(f"median_{value}"))
 
 
@@ -151,8 +157,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group q1, median, q3, iqr, whiskers (extreme values inside 1.5 IQR fences), outliers."""
     v = _v(value)
     base = df.select(F.col(q(group)).alias("g"), v.alias("v")).where(F.col("v").isNotNull())
-    qs = base.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("qs"))
-    qs = qs.select("g", F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"), F.col("qs")[2].alias("q3"))
+    qs = exact_quantiles(base, "v", [0.25, 0.5, 0.75], ["g"], names=["q1", "median", "q3"]).drop("n")
     j = base.join(qs, "g")
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
+from cohortlab.operators.quantiles import exact_quantiles
 
 FOREGROUND_STATS = ("min", "max", "mean", "std", "median", "p01", "p99")
 
@@ -25,13 +26,17 @@ def foreground_stats(sessions: DataFrame, slabs: DataFrame, values: str = "value
     no image) gets zeros, as the reference does.
     """
     fg = (slabs.select("session_id", F.explode(values).alias("v")).where(F.col("v") > 0))
-    pct = (F.percentile("v", [0.5, 0.01, 0.99]) if accuracy is None
-           else F.percentile_approx("v", [0.5, 0.01, 0.99], accuracy).cast("array<double>"))
     st = fg.groupBy("session_id").agg(
         F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std"), pct.alias("__p"), F.count(F.lit(1)).alias("nonzero_voxels"))
-    st = st.select("session_id", "min", "max", "mean", "std", F.col("__p")[0].alias("median"),
-                   F.col("__p")[1].alias("p01"), F.col("__p")[2].alias("p99"), "nonzero_voxels")
+        F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("nonzero_voxels"))
+    if accuracy is None:
+        pct = exact_quantiles(fg, "v", [0.5, 0.01, 0.99], ["session_id"], names=["median", "p01", "p99"]).drop("n")
+    else:
+        p = F.percentile_approx("v", [0.5, 0.01, 0.99], accuracy).cast("array<double>")
+        pct = fg.groupBy("session_id").agg(p.alias("__p")).select(
+            "session_id", F.col("__p")[0].alias("median"), F.col("__p")[1].alias("p01"), F.col("__p")[2].alias("p99"))
+    st = st.join(pct, "session_id").select("session_id", "min", "max", "mean", "std", "median", "p01", "p99",
+                                           "nonzero_voxels")
     s = sessions.select(F.col(q(key)).alias("session_id")).distinct()
     j = s.join(st, "session_id", "left")
     return j.select("session_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in FOREGROUND_STATS],
@@ -58,16 +63,22 @@ def mid_slices(slabs: DataFrame, meta: DataFrame, values: str = "labels") -> Dat
     """
     m = meta.select("session_id", (F.col("dims")[0] / 2).cast("int").alias("ci"),
                     (F.col("dims")[1] / 2).cast("int").alias("cj"), (F.col("dims")[2] / 2).cast("int").alias("ck"))
-    j = slabs.select("session_id", "k", "nj", values).join(m, "session_id")
-    x = j.select("session_id", "k", "nj", "ci", "cj", "ck", F.posexplode(values).alias("p", "val"))
-    i = F.floor(F.col("p") / F.col("nj")).cast("int")
-    jj = (F.col("p") % F.col("nj")).cast("int")
-    plane = F.explode(F.array(
-        F.when(F.col("k") == F.col("ck"), F.struct(F.lit("axial").alias("plane"), i.alias("u"), jj.alias("v"))),
-        F.when(jj == F.col("cj"), F.struct(F.lit("coronal").alias("plane"), i.alias("u"), F.col("k").alias("v"))),
-        F.when(i == F.col("ci"), F.struct(F.lit("sagittal").alias("plane"), jj.alias("u"), F.col("k").alias("v")))))
-    out = x.select("session_id", "val", plane.alias("pl")).where(F.col("pl").isNotNull())
-    return out.select("session_id", "pl.plane", "pl.u", "pl.v", F.col("val").alias("value"))
+    j = slabs.select("session_id", "k", "nj", F.col(values).alias("arr")).join(m, "session_id")
+    nj, k = F.col("nj"), F.col("k")
+
+    def cell(plane, u, v, x):
+        return F.struct(F.lit(plane).alias("plane"), u.cast("int").alias("u"), v.cast("int").alias("v"),
+                        x.alias("value"))
+
+    # pick the plane elements inside each slab array before exploding (index arithmetic, no voxel rows)
+    axial = F.when(k == F.col("ck"), F.transform("arr", lambda x, p: cell("axial", F.floor(p / nj), p % nj, x)))
+    coronal = F.transform(F.filter(F.transform("arr", lambda x, p: F.struct(p.alias("p"), x.alias("x"))),
+                                   lambda s: s["p"] % nj == F.col("cj")),
+                          lambda s: cell("coronal", F.floor(s["p"] / nj), k, s["x"]))
+    sagittal = F.transform(F.slice("arr", F.col("ci") * nj + 1, nj), lambda x, p: cell("sagittal", p, k, x))
+    elem = dict(j.dtypes)["arr"][len("array<"):-1]
+    none = F.array().cast(f"array<struct<plane:string,u:int,v:int,value:{elem}>>")
+    return j.select("session_id", F.inline(F.concat(F.coalesce(axial, none), coronal, sagittal)))
 
 
 def session_qc(sessions: DataFrame, images: dict[str, tuple[DataFrame, str]], key: str = "session_id") -> DataFrame:
