@@ -138,10 +138,14 @@ def fit_imputer(df: DataFrame, strategy: str = "median", numeric=None, categoric
             continue
         exprs.append(e.cast("double").alias(c))
     for c in categorical:
-        exprs.append(F.coalesce(F.mode(F.col(q(c)), True), F.lit("Unknown")).alias(c))
+        exprs.append(F.lit(None).cast("string").alias(c))
     if not exprs:
         return df.sparkSession.range(1).select()
     row = df.agg(*exprs)
+    if categorical:
+        modes = most_frequent(df, categorical)
+        row = row.select(*[F.lit(modes.get(c) or "Unknown").alias(c) if c in categorical else F.col(q(c))
+                           for c in row.columns])
     if not exact_median:
         return row
     # exact medians of all numeric columns in ONE pipeline: unpivot to (column, value), group by column
@@ -153,6 +157,20 @@ def fit_imputer(df: DataFrame, strategy: str = "median", numeric=None, categoric
                         for c in row.columns])
 
 
+def most_frequent(df: DataFrame, columns: list[str]) -> dict:
+    """Mode of every string column, ties to the smallest value, None when all null.
+
+    Counts per (column, value) with partial aggregation, then one bounded
+    ``min_by`` per column over (−count, value): no step holds a column's
+    distinct values in one place.
+    """
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("v"))
+                                        for c in columns]))).where(F.col("v").isNotNull())
+    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("column").agg(F.min_by("v", F.struct((-F.col("n")).alias("n"), F.col("v"))).alias("mode"))
+    return {r["column"]: r["mode"] for r in best.collect()}
+
+
 def apply_imputer(df: DataFrame, fitted: DataFrame) -> DataFrame:
     """Fill nulls (and NaN) with the fitted statistic; column order kept.
 

@@ -14,8 +14,19 @@ from pyspark.sql import functions as F
 from cohortlab.functions.columns import q
 
 
-def fit_label_encoder(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row; per column the sorted array of distinct string values."""
+MAX_CATEGORIES = 100_000
+
+
+def fit_label_encoder(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """One row; per column the sorted array of distinct string values.
+
+    A cardinality sketch runs first: a column with more than ``max_categories``
+    distinct values is not categorical and is refused instead of collected.
+    """
+    card = df.agg(*[F.approx_count_distinct(F.col(q(c))).alias(c) for c in columns]).first()
+    wide = [c for c in columns if card[c] > max_categories]
+    if wide:
+        raise ValueError(f"too many categories to label-encode: {', '.join(f'{c}≈{card[c]}' for c in wide)}")
     return df.agg(*[F.array_sort(F.collect_set(F.col(q(c)).cast("string"))).alias(c) for c in columns])
 
 
