@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q
+from cohortlab.operators.merge import BROADCAST_ROWS
+from cohortlab.session import cut_lineage
 
 ACCURACY = 10_000
 
@@ -47,6 +49,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
         F.count(F.lit(1)).alias("__n"),
         F.percentile_approx("__v", [max(p - d, 0.0) for p in probs], accuracy).alias("__lo"),
         F.percentile_approx("__v", [min(p + d, 1.0) for p in probs], accuracy).alias("__hi"))
+    # one row per group, reused three times: write it once; broadcast it when its row count is small
+    st = cut_lineage(st)
+    bcast = bcast or st.count() <= BROADCAST_ROWS
     j = base.join(F.broadcast(st) if bcast else st, g, "inner")
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
     # per (group, p): rows below the bracket, rows inside, and the nearest value on each side

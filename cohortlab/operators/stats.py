@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q, safe_corr, truthy
+from cohortlab.operators.merge import join_small_side
 from cohortlab.operators.quantiles import exact_quantiles
 
 
@@ -142,7 +143,7 @@ def class_histogram(df: DataFrame, cls: str, value: str, bins: int = 20) -> Data
     v = _v(value)
     base = df.select(F.col(q(cls)).alias("cls"), v.alias("v")).where(F.col("v").isNotNull())
     rng = base.groupBy("cls").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    j = base.join(rng, "cls")
+    j = join_small_side(base, rng, ["cls"])
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") > F.col("lo"),
                F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
@@ -158,7 +159,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     v = _v(value)
     base = df.select(F.col(q(group)).alias("g"), v.alias("v")).where(F.col("v").isNotNull())
     qs = exact_quantiles(base, "v", [0.25, 0.5, 0.75], ["g"], names=["q1", "median", "q3"]).drop("n")
-    j = base.join(qs, "g")
+    j = join_small_side(base, qs, ["g"])
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     out = j.groupBy("g", "q1", "median", "q3").agg(
