@@ -52,15 +52,15 @@ def prepare(df: DataFrame, target: str | None = None, key: str = "ID", subject:
     strs = set(clean.string_columns(df))
     imp_num = [c for c in feats + [target] if c in num]
     imp_cat = [c for c in feats if c in strs]
+    if checkpoint:
+        # every fit below (imputation, dictionaries, split, scaler) is a small action over this
+        # input: write it once to the shared checkpoint folder instead of recomputing its lineage
+        df = cut_lineage(df)
     imputer = clean.fit_imputer(df, strategy, numeric=imp_num, categorical=imp_cat)
     fill = imputer.first().asDict() if imputer.columns else {}
     d = clean.apply_imputer(df, imputer)
     if suffix:
         d = clean.drop_suffix(d, key, suffix)
-    if checkpoint:
-        # encoder, split and scaler fits run several small actions on this frame:
-        # write it once to the shared checkpoint folder instead of recomputing its lineage
-        d = cut_lineage(d)
     cats = [c for c in feats if c in strs]
     codes = {}
     if cats:

@@ -61,13 +61,18 @@ def regional_features(sessions: DataFrame, slabs: DataFrame, meta: DataFrame, et
     ``sessions`` carries the session key and the eTIV column; sessions with no
     volume get status ``missing_image`` and null features.
     """
-    stats = roi_tissue_stats(slabs, roi_boxes(meta))
+    decoded = meta.where(F.col("status") == "success") if "status" in meta.columns else meta
+    stats = roi_tissue_stats(slabs, roi_boxes(decoded))
     feats = derive_regional(pivot_regions(stats))
     s = sessions.select(F.col(q(key)).alias("session_id"), F.col(q(etiv)).cast("double").alias("__etiv"))
     j = s.join(feats, "session_id", "left")
-    has = F.col("regional_extraction_status").isNotNull()
-    j = j.withColumn("regional_extraction_status",
-                     F.when(has, F.col("regional_extraction_status")).otherwise(F.lit("missing_image")))
+    status = F.when(F.col("regional_extraction_status").isNotNull(), F.col("regional_extraction_status"))
+    if "status" in meta.columns:  # a volume that failed to decode is an 'error', not a missing image
+        failed = meta.where(F.col("status") == "error").select("session_id", F.lit(True).alias("__err")).distinct()
+        j = j.join(failed, "session_id", "left")
+        status = status.when(F.col("__err"), F.lit("error"))
+    j = j.withColumn("regional_extraction_status", status.otherwise(F.lit("missing_image")))
+    j = j.drop("__err") if "__err" in j.columns else j
     e = F.col("__etiv")
     for r, sides in ETIV_RATIOS:
         for side in sides:

@@ -118,7 +118,45 @@ def c9_importance(spark, sf):
     return a.unionByName(b)
 
 
-@register("e5_model_cv")
+def _nb_cv_sql(k_folds=5):
+    parts = [PREP_CTE + """
+, tf AS (SELECT tr.*, CAST((row_number() OVER (PARTITION BY target ORDER BY md5(CAST(session_id AS VARCHAR) || ':42')) - 1)
+                          % 5 AS INTEGER) AS fold FROM tr)"""]
+    for k in range(k_folds):
+        fit = f"(SELECT * FROM tf WHERE fold <> {k})"
+        eps = "1e-9 * greatest(" + ", ".join(f"var_pop({c})" for c in FEATS) + ")"
+        par = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) + (SELECT e FROM eps{k}) AS v_{c}" for c in FEATS)
+
+        def jll(p):
+            s = f"ln({p}.prior)"
+            for c in FEATS:
+                s += f" - 0.5 * ln(2.0 * pi() * {p}.v_{c}) - (t.{c} - {p}.m_{c}) ^ 2 / (2.0 * {p}.v_{c})"
+            return s
+        parts.append(f"""
+, eps{k} AS (SELECT {eps} AS e FROM {fit} f),
+par{k} AS (SELECT target AS cls, count(*) / (SELECT count(*) FROM {fit} g) AS prior, {par} FROM {fit} f GROUP BY target),
+pr{k} AS (SELECT {k} AS fold, t.target, CASE WHEN ({jll('b')}) - ({jll('a')}) > 0 THEN 1 ELSE 0 END AS pred
+          FROM (SELECT * FROM tf WHERE fold = {k}) t, (SELECT * FROM par{k} WHERE cls = 0) a,
+               (SELECT * FROM par{k} WHERE cls = 1) b)""")
+    union = " UNION ALL ".join(f"SELECT * FROM pr{k}" for k in range(k_folds))
+    parts.append(f"""
+, preds AS ({union}),
+c AS (SELECT fold, count(*) FILTER (WHERE target = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE target = 0 AND pred = 1) AS fp,
+             count(*) FILTER (WHERE target = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE target = 1 AND pred = 1) AS tp
+      FROM preds GROUP BY fold),
+m AS (SELECT fold, CASE WHEN tn + fp + fn + tp > 0 THEN (tp + tn) / (tn + fp + fn + tp) ELSE 0.0 END AS accuracy,
+             CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+             CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score FROM c),
+l AS (SELECT fold, 'accuracy' AS metric, accuracy AS value FROM m UNION ALL SELECT fold, 'precision', precision FROM m
+      UNION ALL SELECT fold, 'recall', recall FROM m UNION ALL SELECT fold, 'f1_score', f1_score FROM m)
+SELECT metric, round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS std,
+       list(round(value, 9) ORDER BY fold) AS fold_values
+FROM l GROUP BY metric""")
+    return "".join(parts)
+
+
+@register("e5_model_cv", _nb_cv_sql())
 def e5_model_cv(spark, sf):
     """5-fold stratified CV of naive Bayes on the training rows: mean, population std, fold values."""
     p = prepared(spark, sf)
@@ -130,7 +168,9 @@ def e5_model_cv(spark, sf):
     scored = parts[0]
     for s in parts[1:]:
         scored = scored.unionByName(s)
-    return metrics.cv_summary(metrics.fold_metrics(scored, "fold", "target", "pred"))
+    out = metrics.cv_summary(metrics.fold_metrics(scored, "fold", "target", "pred"))
+    return out.select("metric", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"),
+                      F.transform("fold_values", lambda v: F.round(v, 9)).alias("fold_values"))
 
 
 @register("e6_model_suite")

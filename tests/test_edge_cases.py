@@ -240,6 +240,21 @@ def test_label_encoder(spark):
     assert not math.isnan(1.0)
 
 
+def test_regional_status_error_and_missing(spark):
+    from cohortlab.operators.region import regional_features
+    ident = [1.0, 0, 0, 0, 0, 1.0, 0, 0, 0, 0, 1.0, 0, 0, 0, 0, 1.0]
+    meta = spark.createDataFrame([(1, [4, 4, 4], [1.0, 1.0, 1.0], [float(a) for a in ident], "success"),
+                                  (2, None, None, None, "error")],
+                                 "session_id long, dims array<int>, zooms array<double>, affine array<double>, "
+                                 "status string")
+    slabs = spark.createDataFrame([(1, k, 4, 4, [2] * 16, [1.0] * 16) for k in range(4)],
+                                  "session_id long, k int, ni int, nj int, labels array<int>, values array<double>")
+    sessions = spark.createDataFrame([(1, 1000.0), (2, 1000.0), (3, 1000.0)], "session_id long, etiv double")
+    got = {r.session_id: r.regional_extraction_status
+           for r in regional_features(sessions, slabs, meta).select("session_id", "regional_extraction_status").collect()}
+    assert got == {1: "success", 2: "error", 3: "missing_image"}
+
+
 def test_schema_options(spark):
     from cohortlab.operators.audit import LEAKAGE_COLUMNS
     df = spark.createDataFrame([("OAS1_0001_MR1", "F", 70, 29.0, 0.0, "x")],
