@@ -58,10 +58,17 @@ def roc_auc(df: DataFrame, score: str = "score", truth: str = "truth", group: li
     else:
         b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(g)
     per_b = b.groupBy(*group, "bucket").agg(F.sum("neg").alias("bneg"))
-    wb = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1) if group else \
-        Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_b.select(*group, "bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("off"))
-    j = b.join(offs, group + ["bucket"])
+    if group:
+        wb = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offs = per_b.select(*group, "bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("off"))
+        j = b.join(offs, group + ["bucket"])
+    else:  # ≤ buckets rows: prefix sums on the driver, applied as a literal map (no join, no window)
+        acc, off = 0, {}
+        for r in sorted(per_b.collect(), key=lambda r: r["bucket"]):
+            off[float(r["bucket"])] = acc
+            acc += r["bneg"]
+        m = F.create_map(*[x for k, v in off.items() for x in (F.lit(k), F.lit(int(v)))]) if off else None
+        j = b.withColumn("off", F.element_at(m, F.col("bucket")) if m is not None else F.lit(0))
     wi = Window.partitionBy(*group, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("off") + F.coalesce(F.sum("neg").over(wi), F.lit(0))
     contrib = j.select(*group, "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("c"))

@@ -20,6 +20,8 @@ quota = class count − train quota.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,23 +29,29 @@ from cohortlab.functions.columns import q, stable_hash_hex
 from cohortlab.operators.stats import first_per_group
 
 
+def quota_table(counts: dict, test_size: float = 0.2) -> dict:
+    """{class: (n_class, n_train, n_test)} by the largest-remainder rule (pure Python, one entry per class)."""
+    n = sum(counts.values())
+    n_train_total = n - math.ceil(n * float(test_size))
+    cont = {c: k / n * n_train_total for c, k in counts.items()}
+    base = {c: math.floor(v) for c, v in cont.items()}
+    need = n_train_total - sum(base.values())
+    order = sorted(counts, key=lambda c: (-(cont[c] - base[c]), c))
+    extra = set(order[:need])
+    return {c: (counts[c], base[c] + (c in extra), counts[c] - base[c] - (c in extra)) for c in counts}
+
+
 def class_quotas(df: DataFrame, cls: str, test_size: float = 0.2) -> DataFrame:
-    """(cls, n_class, n_train, n_test) per class value (nulls form no class)."""
-    counts = df.where(F.col(q(cls)).isNotNull()).groupBy(F.col(q(cls)).alias("cls")).agg(
-        F.count(F.lit(1)).alias("n_class"))
-    n = counts.select(F.sum("n_class")).scalar()
-    n_test_total = F.ceil(n * F.lit(float(test_size))).cast("long")
-    n_train_total = n - n_test_total
-    cont = counts.select("cls", "n_class", (F.col("n_class") / n * n_train_total).alias("cont"))
-    floored = cont.select("*", F.floor("cont").cast("long").alias("base"),
-                          (F.col("cont") - F.floor("cont")).alias("rem"))
-    need = n_train_total - floored.select(F.sum("base")).scalar()
-    # the frame has one row per class: a window over it is tiny
-    w = Window.orderBy(F.col("rem").desc(), F.col("cls").asc())
-    ranked = floored.select("*", F.row_number().over(w).alias("__r"))
-    n_train = F.col("base") + F.when(F.col("__r") <= need, 1).otherwise(0)
-    return ranked.select(F.col("cls").alias(cls), "n_class", n_train.alias("n_train"),
-                         (F.col("n_class") - n_train).alias("n_test"))
+    """(cls, n_class, n_train, n_test) per class value (nulls form no class).
+
+    One grouped count; the per-class table (one row per class) is finished on the driver.
+    """
+    counts = {r["cls"]: r["n"] for r in df.where(F.col(q(cls)).isNotNull())
+              .groupBy(F.col(q(cls)).alias("cls")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    field = df.schema[cls]
+    rows = [(c, *v) for c, v in sorted(quota_table(counts, test_size).items())] if counts else []
+    return df.sparkSession.createDataFrame(
+        rows, f"`{cls}` {field.dataType.simpleString()}, n_class long, n_train long, n_test long")
 
 
 def _prefix(h, digits: int):
