@@ -66,10 +66,10 @@ def knn_candidates(train: DataFrame, queries: DataFrame, features: list[str], la
         outs = []
         for s in range(0, len(qid), QUERY_CHUNK):
             Qc = Q[s:s + QUERY_CHUNK]
-            diff = Qc[:, None, :] - T[None, :, :]
             d2 = np.zeros((Qc.shape[0], T.shape[0]))
-            for j in range(nf):  # feature by feature, left to right
-                d2 = d2 + diff[:, :, j] * diff[:, :, j]
+            for j in range(nf):  # feature by feature, left to right (no 3-D temporary)
+                diff = Qc[:, j, None] - T[None, :, j]
+                d2 += diff * diff
             d = np.sqrt(d2)
             # stable sort on distance keeps tid order among equal distances
             idx = np.argsort(d, axis=1, kind="stable")[:, :kk]

@@ -49,9 +49,10 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
         F.count(F.lit(1)).alias("__n"),
         F.percentile_approx("__v", [max(p - d, 0.0) for p in probs], accuracy).alias("__lo"),
         F.percentile_approx("__v", [min(p + d, 1.0) for p in probs], accuracy).alias("__hi"))
-    # one row per group, reused three times: write it once; broadcast it when its row count is small
-    st = cut_lineage(st)
-    bcast = bcast or st.count() <= BROADCAST_ROWS
+    if not bcast:
+        # one row per group, reused three times: write it once; broadcast it when its row count is small
+        st = cut_lineage(st)
+        bcast = st.count() <= BROADCAST_ROWS
     j = base.join(F.broadcast(st) if bcast else st, g, "inner")
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
     # per (group, p): rows below the bracket, rows inside, and the nearest value on each side
@@ -66,10 +67,10 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
     ranked = cand.select(*g, "__i", "__v", (F.row_number().over(Window.partitionBy(*g, "__i").orderBy("__v")) - 1)
                          .alias("__r"))
     info = st.select(*g, "__n").join(edges, g, "inner")
-    info = F.broadcast(info) if bcast else info
     at = F.col("__i") + 1
     below = F.element_at(F.array(*[F.col(f"__b{i}") for i in range(m)]), at)
-    inner = ranked.join(info, g, "inner").select(*g, "__i", "__v", "__n", (F.col("__r") + below).alias("__rank"))
+    inner = ranked.join(F.broadcast(info) if bcast else info, g, "inner").select(
+        *g, "__i", "__v", "__n", (F.col("__r") + below).alias("__rank"))
     bounds = info.select(*g, "__n", *[f"__b{i}" for i in range(m)], F.inline(F.array(*[e for i in range(m) for e in (
         F.struct(F.lit(i).alias("__i"), F.col(f"__prev{i}").alias("__v"), (F.col(f"__b{i}") - 1).alias("__rank")),
         F.struct(F.lit(i).alias("__i"), F.col(f"__next{i}").alias("__v"),
