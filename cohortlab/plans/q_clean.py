@@ -83,6 +83,16 @@ def g5_value_counts(spark, sf):
     return rounded(profile.value_counts(T.docs(spark, sf), "quality"), 6)
 
 
+@register("w5_missing_sorted",
+          V + ", prof AS (" + "\nUNION ALL\n".join(
+              f"SELECT '{c}' AS column, count(*) - count({c}) AS n_missing FROM visits" for c, _ in VISIT_TYPES)
+          + ')\nSELECT "column", n_missing FROM prof WHERE n_missing > 0')
+def w5_missing_sorted(spark, sf):
+    """Columns that have missing values, by ascending missing count (the profile's plot order)."""
+    p = profile.profile_columns(T.visits(spark, sf))
+    return p.where(F.col("n_missing") > 0).orderBy("n_missing", "column").select("column", "n_missing")
+
+
 def _completeness_sql():
     parts = [f"SELECT '{c}' AS column, count(*) - count({c}) AS miss, count(*) AS n FROM visits" for c, _ in VISIT_TYPES]
     return V + ", cols AS (" + " UNION ALL ".join(parts) + """)
