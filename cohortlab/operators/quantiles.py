@@ -24,7 +24,7 @@ from cohortlab.functions.columns import nan_to_null, q
 from cohortlab.operators.merge import BROADCAST_ROWS
 from cohortlab.session import cut_lineage
 
-ACCURACY = 10_000
+ACCURACY = 2_000   # bracket ±3/2000: about 0.3% of a group's rows are ranked; exactness does not depend on it
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], group: list[str] | None = None,
@@ -45,12 +45,15 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
     keys = [F.col(q(c)).alias(c) for c in user_group] or [F.lit(0).alias("__g")]
     base = df.select(*keys, nan_to_null(val.cast("double")).alias("__v")).where(F.col("__v").isNotNull())
     d = 3.0 / accuracy
-    st = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", [max(p - d, 0.0) for p in probs], accuracy).alias("__lo"),
-        F.percentile_approx("__v", [min(p + d, 1.0) for p in probs], accuracy).alias("__hi"))
-    if not bcast:
-        # one row per group, reused three times: write it once; broadcast it when its row count is small
+    # one sketch per group answers both bracket ends
+    ends = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
+    st = base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"),
+                              F.percentile_approx("__v", ends, accuracy).alias("__e"))
+    st = st.select(*g, "__n", F.slice("__e", 1, m).alias("__lo"), F.slice("__e", m + 1, m).alias("__hi"))
+    # one row per group, reused three times: materialise it once
+    if bcast:  # known small (no group / one group per column): keep it as a local relation
+        st = df.sparkSession.createDataFrame(st.collect(), st.schema)
+    else:      # unknown cardinality: write it once, broadcast it when its row count is small
         st = cut_lineage(st)
         bcast = st.count() <= BROADCAST_ROWS
     j = base.join(F.broadcast(st) if bcast else st, g, "inner")
