@@ -17,6 +17,8 @@ Without a group the statistics table has exactly one row and is broadcast.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from cohortlab.operators.merge import BROADCAST_ROWS
 from cohortlab.session import cut_lineage
 
 ACCURACY = 2_000   # bracket ±3/2000: about 0.3% of a group's rows are ranked; exactness does not depend on it
+MAX_CANDIDATES = 5_000_000   # rows ranked per (group, p) at most; the accuracy grows with the largest group
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], group: list[str] | None = None,
@@ -44,18 +47,26 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
     val = F.col(q(value)) if isinstance(value, str) else value
     keys = [F.col(q(c)).alias(c) for c in user_group] or [F.lit(0).alias("__g")]
     base = df.select(*keys, nan_to_null(val.cast("double")).alias("__v")).where(F.col("__v").isNotNull())
-    d = 3.0 / accuracy
-    # one sketch per group answers both bracket ends
-    ends = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
-    st = base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"),
-                              F.percentile_approx("__v", ends, accuracy).alias("__e"))
-    st = st.select(*g, "__n", F.slice("__e", 1, m).alias("__lo"), F.slice("__e", m + 1, m).alias("__hi"))
-    # one row per group, reused three times: materialise it once
-    if bcast:  # known small (no group / one group per column): keep it as a local relation
-        st = df.sparkSession.createDataFrame(st.collect(), st.schema)
-    else:      # unknown cardinality: write it once, broadcast it when its row count is small
-        st = cut_lineage(st)
-        bcast = st.count() <= BROADCAST_ROWS
+
+    def sketch(acc: int) -> DataFrame:
+        d = 3.0 / acc
+        # one sketch per group answers both bracket ends
+        ends = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
+        s = base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", ends, acc).alias("__e"))
+        s = s.select(*g, "__n", F.slice("__e", 1, m).alias("__lo"), F.slice("__e", m + 1, m).alias("__hi"))
+        # one row per group, reused three times: materialise it once
+        if bcast:  # known small (no group / one group per column): keep it as a local relation
+            return df.sparkSession.createDataFrame(s.collect(), s.schema)
+        return cut_lineage(s)  # unknown cardinality: write it once
+
+    st = sketch(accuracy)
+    # about 6 n / accuracy rows of a group fall inside its bracket: for very large groups raise the
+    # accuracy so that no (group, p) ranks more than MAX_CANDIDATES rows in one window partition
+    n_max = st.agg(F.max("__n")).first()[0] or 0
+    if 6 * n_max / accuracy > MAX_CANDIDATES:
+        st = sketch(int(math.ceil(6 * n_max / MAX_CANDIDATES)))
+    if not bcast:
+        bcast = st.count() <= BROADCAST_ROWS  # broadcast when the per-group table is small
     j = base.join(F.broadcast(st) if bcast else st, g, "inner")
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
     # per (group, p): rows below the bracket, rows inside, and the nearest value on each side

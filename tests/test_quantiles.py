@@ -23,6 +23,16 @@ def test_exact_quantiles_small_and_tied_groups(spark):
         assert [got[g][f"q{i}"] for i in range(len(PROBS))] == pytest.approx(list(e), abs=1e-12)
 
 
+def test_accuracy_grows_with_group_size(spark, monkeypatch):
+    import cohortlab.operators.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_CANDIDATES", 100)   # force the re-sketch at a coarse start accuracy
+    df = spark.range(5001).selectExpr("cast(id % 2 as int) as g", "cast(id * 13 % 5001 as double) as v")
+    got = {r.g: r for r in Q.exact_quantiles(df, "v", [0.5, 0.9], ["g"], accuracy=10).collect()}
+    for g in (0, 1):
+        vals = np.array([(i * 13 % 5001) for i in range(5001) if i % 2 == g], dtype=float)
+        assert got[g].q0 == pytest.approx(np.percentile(vals, 50)) and got[g].q1 == pytest.approx(np.percentile(vals, 90))
+
+
 def test_exact_quantiles_global(spark):
     df = spark.range(10001).selectExpr("cast(id * 7 % 10001 as double) / 3 as v")
     r = exact_quantiles(df, "v", [0.5, 0.333], accuracy=50).first()
