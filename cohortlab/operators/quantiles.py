@@ -6,20 +6,22 @@ hot group that is unbounded. Here, per group and probability p:
 1. n and a bracket [lo, hi] from the quantile sketch at p ∓ 3/accuracy (one
    partial/final aggregation). The sketch's rank error is at most
    n/accuracy, so the order statistics at floor/ceil((n-1)p) lie inside;
-2. ``below`` = rows under lo, and the candidates = rows inside [lo, hi]
-   (about 6n/accuracy rows per group and probability);
-3. the candidates alone are ranked inside (group, p) and the values at ranks
-   floor((n-1)p) and ceil((n-1)p) are interpolated: v_lo + (v_hi - v_lo)·frac
-   (the same formula as the SQL ``quantile_cont``).
+2. one more aggregation per group: ``below`` = rows under lo, the sorted
+   candidates inside [lo, hi] (about 6n/accuracy rows; the accuracy is raised
+   with the largest group so that this never exceeds MAX_CANDIDATES), and the
+   nearest value on each side of the bracket;
+3. the values at ranks floor((n-1)p) and ceil((n-1)p) are read from those by
+   index and interpolated: v_lo + (v_hi - v_lo)·frac (the formula of the SQL
+   ``quantile_cont``).
 
-Without a group the statistics table has exactly one row and is broadcast.
+The per-group statistics table is broadcast when it is known or counted to be small.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q
@@ -69,36 +71,25 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
         bcast = st.count() <= BROADCAST_ROWS  # broadcast when the per-group table is small
     j = base.join(F.broadcast(st) if bcast else st, g, "inner")
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
-    # per (group, p): rows below the bracket, rows inside, and the nearest value on each side
-    # (the neighbours cover the interpolation partner when the bracket is one rank short)
-    edges = j.groupBy(*g).agg(*[e for i in range(m) for e in (
+    # ONE aggregation per group and p: rows below the bracket, the (bounded) sorted candidates
+    # inside it, and the nearest value on each side (they cover an interpolation partner that
+    # sits one rank outside the bracket)
+    agg = j.groupBy(*g).agg(F.max("__n").alias("__n"), *[e for i in range(m) for e in (
         F.count_if(v < lo[i]).alias(f"__b{i}"),
-        F.count_if((lo[i] <= v) & (v <= hi[i])).alias(f"__c{i}"),
+        F.array_sort(F.collect_list(F.when((lo[i] <= v) & (v <= hi[i]), v))).alias(f"__c{i}"),
         F.max(F.when(v < lo[i], v)).alias(f"__prev{i}"),
         F.min(F.when(v > hi[i], v)).alias(f"__next{i}"))])
-    inside = F.filter(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: (lo[i] <= v) & (v <= hi[i]))
-    cand = j.select(*g, "__v", F.explode(inside).alias("__i"))
-    ranked = cand.select(*g, "__i", "__v", (F.row_number().over(Window.partitionBy(*g, "__i").orderBy("__v")) - 1)
-                         .alias("__r"))
-    info = st.select(*g, "__n").join(edges, g, "inner")
-    at = F.col("__i") + 1
-    below = F.element_at(F.array(*[F.col(f"__b{i}") for i in range(m)]), at)
-    inner = ranked.join(F.broadcast(info) if bcast else info, g, "inner").select(
-        *g, "__i", "__v", "__n", (F.col("__r") + below).alias("__rank"))
-    bounds = info.select(*g, "__n", *[f"__b{i}" for i in range(m)], F.inline(F.array(*[e for i in range(m) for e in (
-        F.struct(F.lit(i).alias("__i"), F.col(f"__prev{i}").alias("__v"), (F.col(f"__b{i}") - 1).alias("__rank")),
-        F.struct(F.lit(i).alias("__i"), F.col(f"__next{i}").alias("__v"),
-                 (F.col(f"__b{i}") + F.col(f"__c{i}")).alias("__rank")))]))).where(F.col("__v").isNotNull())
-    r = inner.unionByName(bounds.select(*g, "__i", "__v", "__n", "__rank"))
-    pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
-    r = r.select(*g, "__i", "__v", "__rank", pos.alias("__pos"))
-    klo, khi = F.floor(F.col("__pos")), F.ceil(F.col("__pos"))
-    per = r.where((F.col("__rank") == klo) | (F.col("__rank") == khi)).groupBy(*g, "__i").agg(
-        F.max(F.when(F.col("__rank") == klo, F.col("__v"))).alias("__vlo"),
-        F.max(F.when(F.col("__rank") == khi, F.col("__v"))).alias("__vhi"),
-        F.max("__pos").alias("__pos"))
-    frac = F.col("__pos") - F.floor(F.col("__pos"))
-    val_i = F.when(frac == 0, F.col("__vlo")).otherwise(F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * frac)
-    wide = per.groupBy(*g).agg(*[F.max(F.when(F.col("__i") == i, val_i)).alias(names[i]) for i in range(m)])
-    out = st.select(*g, "__n").join(wide, g, "left")
-    return out.select(*user_group, F.col("__n").alias("n"), *names)
+
+    def at_rank(k, i):
+        b, c = F.col(f"__b{i}"), F.col(f"__c{i}")
+        return (F.when(k == b - 1, F.col(f"__prev{i}"))
+                .when((k >= b) & (k < b + F.size(c)), F.element_at(c, (k - b + 1).cast("int")))
+                .when(k == b + F.size(c), F.col(f"__next{i}")))
+
+    vals = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        frac = pos - F.floor(pos)
+        vlo, vhi = at_rank(F.floor(pos), i), at_rank(F.ceil(pos), i)
+        vals.append(F.when(frac == 0, vlo).otherwise(vlo + (vhi - vlo) * frac).alias(names[i]))
+    return agg.select(*user_group, F.col("__n").alias("n"), *vals)
