@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +72,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
                 F.min("component").alias("component"))
         before = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def range_bounds(df: DataFrame, key: str, parts: int, per_part: int = 32) -> list[int]:
+    """Upper bounds (exclusive) that cut the integer ``key`` into about ``parts`` even ranges.
+
+    The same rows always give the same bounds: the sample is chosen by a hash of the key, about ``per_part`` keys
+    a range, which is all that the driver sees. Null keys belong to the first range.
+    """
+    ids = df.select(col(key).cast("long").alias("k")).where("k IS NOT NULL")
+    n = ids.count()
+    if n == 0 or parts <= 1:
+        return []
+    every = max(1, n // (parts * per_part))
+    keys = [r.k for r in ids.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).distinct().orderBy("k").collect()]
+    return sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if keys else []
+
+
+def range_part(key: str, bounds: list[int]) -> Column:
+    """Number of the range of ``range_bounds`` in which a key lies."""
+    cuts, low = np.array(bounds, np.int64), -(2**63)
+
+    @F.pandas_udf("int")
+    def part(k: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, k.to_numpy(np.int64), "right").astype(np.int32))
+
+    return part(F.coalesce(col(key).cast("long"), F.lit(low)))

@@ -38,3 +38,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
+
+
+@register("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document, its edited text and their likeness."""
+    from cohortlab.llm.fingerprints import edited_pairs
+
+    return edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
