@@ -98,3 +98,10 @@ def range_part(key: str, bounds: list[int]) -> Column:
         return pd.Series(np.searchsorted(cuts, k.to_numpy(np.int64), "right").astype(np.int32))
 
     return part(F.coalesce(col(key).cast("long"), F.lit(low)))
+
+
+def shared_folder(spark: SparkSession, stem: str) -> str:
+    """A new name in the folder that driver and executors share (under spark.checkpoint.dir)."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"

@@ -101,3 +101,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return (mix(docs).select("doc_id", "source", word_tokens("text").alias("n_tokens"), "mix_epoch", "mix_block", "mix_order"))
+
+
+OP4_SQL = """
+WITH h AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+g AS (SELECT *, ('0x' || substr(x, 1, 10))::BIGINT AS a0, ('0x' || substr(x, 11, 10))::BIGINT AS a1,
+  ('0x' || substr(x, 21, 10))::BIGINT AS a2, ('0x' || substr(x, 31, 10))::BIGINT AS a3 FROM h),
+d AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (((CASE i // 8 WHEN 0 THEN a0 WHEN 1 THEN a1 WHEN 2 THEN a2 ELSE a3 END) >> (35 - 5 * (i % 8))) & 31)::INT + 1, 1)),
+    'string_agg', '') AS payload_digest FROM g),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as a sharded archive in the shared folder, then read it back."""
+    from cohortlab.llm.common import shared_folder
+    from cohortlab.llm.warc import read_warc, write_warc
+
+    out = shared_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), out)
+    return read_warc(spark, out, with_payload=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
