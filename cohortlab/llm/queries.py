@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import table
+from cohortlab.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(table(spark, sf_dir, "pages"), out)
     return read_warc(spark, out, with_payload=False).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learned outside the held-out quarter."""
+    from cohortlab.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    return (quality.score(docs, model).withColumn("held_out", crc_mod("doc_id", 4) == 2)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted")))
