@@ -139,3 +139,14 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
     return (quality.score(docs, model).withColumn("held_out", crc_mod("doc_id", 4) == 2)
             .select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learned outside the held-out fifth."""
+    from cohortlab.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return (toxicity.score(docs, model).withColumn("held_out", crc_mod("doc_id", 5) == 0)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
