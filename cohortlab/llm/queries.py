@@ -150,3 +150,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
     return (toxicity.score(docs, model).withColumn("held_out", crc_mod("doc_id", 5) == 0)
             .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digests of base spans, all spans."""
+    from cohortlab.llm.pii import find_personal
+
+    docs = find_personal(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    said = lambda s: F.concat_ws(",", F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+    base = F.filter("spans", lambda x: x["kind"] != "context")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return docs.select("doc_id", count("email"), count("ip"), count("card"), count("phone"),
+                       F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"),
+                       count("context"))
