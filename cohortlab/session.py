@@ -7,6 +7,7 @@ Cluster jobs read ``spark.checkpoint.dir`` from the session; only local runs
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,18 +40,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder. Where none is set, a local master gets a scratch folder of its own; any
+    other master is an error, as its executors would write to folders that the others cannot read."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder under the master {sc.master}")
         configured = tempfile.mkdtemp(prefix="cohortlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package (once in each application), wherever they start."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="cohortlab-pkg-")
+    copy = os.path.join(folder, "src")
+    shutil.copytree(os.path.join(root, "cohortlab"), os.path.join(copy, "cohortlab"),
+                    ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "cohortlab"), "zip", copy))
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
