@@ -7,11 +7,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.session import ensure_checkpoint_dir
+from cohortlab.session import ensure_checkpoint_dir, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark (the path may be of any store that Spark knows)."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -164,3 +164,26 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", count("email"), count("ip"), count("card"), count("phone"),
                        F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"),
                        count("context"))
+
+
+OP5_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+g AS (SELECT vec_id, v FROM e WHERE v IS NOT NULL AND len(v) > 0 AND list_count(v) = len(v)
+      AND len(list_filter(v, lambda x: isfinite(x))) = len(v) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS c FROM e UNION SELECT l.b, r.c FROM r JOIN l ON r.a = l.a),
+m AS (SELECT a, min(c) AS component_id FROM r GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id)::BIGINT AS n_links, m.component_id,
+  e.vec_id = m.component_id AS kept
+FROM e JOIN m ON m.a = e.vec_id
+"""
+
+
+@register("op5_vector_dedup", OP5_SQL)
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    from cohortlab.llm.vector_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
