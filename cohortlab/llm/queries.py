@@ -187,3 +187,28 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortlab.llm.vector_dedup import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP7_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS ws FROM documents),
+u AS (SELECT min(doc_id) AS node, any_value(ws) AS ws, coalesce(text, '') AS text FROM w GROUP BY coalesce(text, '')),
+s AS (SELECT DISTINCT node, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS g
+      FROM (SELECT node, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM u WHERE len(ws) > 0)),
+n AS (SELECT node, count(*) AS n FROM s GROUP BY node),
+c AS (SELECT a.node AS a, b.node AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.node < b.node GROUP BY a.node, b.node),
+p AS (SELECT a, b FROM c JOIN n x ON x.node = a JOIN n y ON y.node = b WHERE k >= 0.8 * (x.n + y.n - k)),
+l AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT node AS a, node AS c FROM u UNION SELECT l.b, r.c FROM r JOIN l ON r.a = l.a),
+m AS (SELECT a, min(c) AS class_id FROM r GROUP BY a)
+SELECT w.doc_id, m.class_id, w.doc_id = m.class_id AS kept
+FROM w JOIN u ON u.text = coalesce(w.text, '') JOIN m ON m.a = u.node
+"""
+
+
+@register("op7_minhash_dedup", OP7_SQL)
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: five-word shingles, similarity 0.8."""
+    from cohortlab.llm.text_dedup import near_texts
+
+    return near_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
