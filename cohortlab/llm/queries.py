@@ -212,3 +212,13 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortlab.llm.text_dedup import near_texts
 
     return near_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op1_chat_format")
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations written as raw transcripts, parsed back and rendered; a quarter of them does not train."""
+    from cohortlab.llm import chat
+
+    raw = chat.as_transcript(table(spark, sf_dir, "conversations"))
+    model = chat.fit(raw.where(crc_mod("conv", 4) != 2))
+    return (chat.parse(raw, model).withColumnRenamed("id", "conv_id").withColumn("held_out", crc_mod("conv_id", 4) == 2))
