@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import crc_mod, table
+import corpus_pipeline
+from cohortlab.llm.common import crc_mod, table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,12 +23,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer(name: str) -> str:
-    """Place of a public vocabulary file (the same on every worker)."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 @register("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
@@ -222,3 +217,6 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = chat.as_transcript(table(spark, sf_dir, "conversations"))
     model = chat.fit(raw.where(crc_mod("conv", 4) != 2))
     return (chat.parse(raw, model).withColumnRenamed("id", "conv_id").withColumn("held_out", crc_mod("conv_id", 4) == 2))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
