@@ -4,7 +4,8 @@ Method. A word (a run of letters and digits, in lower case) is the bag of its ch
 into a table of vectors; a window of a few words is the average of its words, a word the average of its n-grams; a
 linear softmax reads the window. Vectors and softmax are trained jointly in numpy, from labels of whole documents:
 a document's windows share its gradient by how toxic each looks (a softmax that sharpens as training goes on), so a
-toxic document needs one toxic window and a clean one none. Misspellings that were never seen share n-grams with
+toxic document needs one toxic window and a clean one none. Only n-grams whose share of documents differs between the
+classes by ``least_z`` standard errors are trained; the others would learn single documents by heart. Misspellings that were never seen share n-grams with
 words that were. A document's score is that of its most toxic window, over the whole text.
 
 Training takes a bounded sample: of each class the ``train_rows`` // 2 labelled documents with the smallest hash of
@@ -101,7 +102,8 @@ class SubwordModel:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, seed: int = 7) -> SubwordModel:
+def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, seed: int = 7,
+        least_z: float = 3.0) -> SubwordModel:
     """Joint training of vectors and softmax by Adagrad on all documents of the sample."""
     n = len(texts)
     share = float(np.mean(y)) if n else 0.0
@@ -119,6 +121,14 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
     starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     target, count = y[doc[starts]], len(first)
     edges = np.searchsorted(gwin, np.arange(count + 1))
+    # grams whose share of documents does not differ between the classes can only name documents: they stay at zero
+    pair = np.unique(grams.astype(np.int64) * n + doc[gwin])
+    hits = [np.bincount(pair[y[pair % n] == v] // n, minlength=BUCKETS) for v in (1, 0)]
+    sizes = [max(1, int((y == v).sum())) for v in (1, 0)]
+    both = sum(hits) / sum(sizes)
+    spread_of = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
+    seen = (np.abs(hits[0] / sizes[0] - hits[1] / sizes[1]) >= least_z * spread_of) & (sum(hits) > 1)
+    weight[~seen[grams]] = 0
     used = np.unique(grams)
     local = np.searchsorted(used, grams).astype(np.int32)
     rng = np.random.default_rng(seed)
@@ -150,7 +160,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
         sums[0][rows] += grad ** 2
         vectors[rows] -= 0.1 * step * grad / np.sqrt(sums[0][rows])
     table = np.zeros(BUCKETS, np.float32)
-    table[used] = vectors @ (heads[1] - heads[0])
+    table[used] = np.where(seen[used], vectors @ (heads[1] - heads[0]), 0)
     return SubwordModel(table, float(bias[1] - bias[0]))
 
 
