@@ -168,8 +168,10 @@ def find_personal(df: DataFrame, key: str = "doc_id", text: str = "text", out: s
              .select(F.col("k0").alias(f"{mark}0"), F.col("k1").alias(f"{mark}1"),
                      F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias(f"{mark}s")))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return (df.join(spans, own.eqNullSafe(spans[f"{mark}0"]) & (text_mark == spans[f"{mark}1"]), "left")
-            .withColumn(out, F.coalesce(F.col(f"{mark}s"), empty)).drop(f"{mark}0", f"{mark}1", f"{mark}s"))
+    # the keys are columns, so that the texts themselves stay out of the join where nobody reads them
+    marked = df.withColumns({f"{mark}a": own, f"{mark}b": text_mark})
+    return (marked.join(spans, marked[f"{mark}a"].eqNullSafe(spans[f"{mark}0"]) & (marked[f"{mark}b"] == spans[f"{mark}1"]), "left")
+            .withColumn(out, F.coalesce(F.col(f"{mark}s"), empty)).drop(*(f"{mark}{x}" for x in "ab01s")))
 
 
 def redact(df: DataFrame, spans: str = "spans", text: str = "text") -> DataFrame:
