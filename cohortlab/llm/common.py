@@ -45,6 +45,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, stem: str) -> DataFrame:
+    """The frame written as Parquet in the shared folder and read again: lineage ends, and Spark knows its size, so
+    it broadcasts it in joins where that is small enough and shuffles it where not."""
+    path = shared_folder(df.sparkSession, stem)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
     """(node, component): the smallest node that is reachable from each node that has a link.
 

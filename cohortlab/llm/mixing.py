@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import col, cut, text_of
+from cohortlab.llm.common import col, cut, stored, text_of
 
 #: Levels of the bisection in one job, and jobs.
 LEVELS, JOBS = 4, 10
@@ -102,10 +102,10 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
             raise ValueError(f"column {name} exists already")
     src = F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("~"))  # null apart from any text
     bucket = F.pmod(hash60(f"{seed}b", col(key)), F.lit(buckets))
-    work = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), src.alias("src"), bucket.alias("bucket"),
-                     word_tokens(text).alias("tokens"), hash60(f"{seed}d", col(key), src).alias("place"))
-    slim = work.select("src", "bucket", "tokens", "place")
-    held = cut(slim.groupBy("src", "bucket").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")))
+    place = hash60(f"{seed}d", col(key), src)
+    work = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), src.alias("src"), bucket.alias("bucket"), place.alias("place"))
+    slim = df.select(src.alias("src"), bucket.alias("bucket"), place.alias("place"), col(text).alias("text"))
+    held = cut(slim.groupBy("src", "bucket").agg(F.sum(word_tokens("text")).alias("tokens")))
     sources = held.groupBy("src").agg(F.sum("tokens").alias("tokens"))
     total, k = sources.agg(F.sum("tokens"), F.count(F.when(F.col("tokens") > 0, 1))).first()
     total, k = int(total or 0), int(k or 0)
@@ -115,30 +115,31 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
                             max_repeat) if k > 1 else 1.0
     norm = shares.where("p > 0").agg(F.sum(F.pow("p", F.lit(alpha)))).first()[0] or 1.0
     repeat = F.when(F.col("p") > 0, F.lit(budget) * F.pow("p", F.lit(alpha)) / F.lit(norm) / F.col("tokens")).otherwise(1.0)
-    weighed = (shares.withColumn("repeat", repeat).withColumn("whole", F.floor("repeat").cast("long"))
+    weighed = (shares.withColumn("repeat", F.round(repeat, 9))  # what arithmetic leaves over 1 is no epoch
+               .withColumn("whole", F.floor("repeat").cast("long"))
                .withColumn("rest", (F.col("repeat") - F.col("whole")) * F.col("tokens")))
     # where the partial epoch ends: first the bucket, then the document in it
     by_bucket = Window.partitionBy("src").orderBy("turn", "bucket")
     ranked = (held.withColumn("turn", hash60(f"{seed}t", F.col("src"), F.col("bucket")))
               .withColumn("before", F.sum("tokens").over(by_bucket) - F.col("tokens"))
               .join(weighed.select("src", "rest"), "src").where("before < rest"))
-    ends = cut(ranked.groupBy("src").agg(F.max(F.struct("turn", "bucket", "before")).alias("end"))
+    ends = stored(ranked.groupBy("src").agg(F.max(F.struct("turn", "bucket", "before")).alias("end"))
                .select("src", F.col("end.turn").alias("end_turn"), F.col("end.bucket").alias("end_bucket"),
-                       F.col("end.before").alias("end_before")))
+                       F.col("end.before").alias("end_before")), "mix-ends")
     same_place = (slim.join(ends.select("src", F.col("end_bucket").alias("bucket")), ["src", "bucket"], "left_semi")
-                  .groupBy("src", "place").agg(F.sum("tokens").alias("tokens")))
+                  .groupBy("src", "place").agg(F.sum(word_tokens("text")).alias("tokens")))
     by_place = Window.partitionBy("src").orderBy("place")
     last = (same_place.withColumn("before", F.sum("tokens").over(by_place) - F.col("tokens"))
             .join(ends, "src").join(weighed.select("src", "rest"), "src")
             .where("end_before + before < rest").groupBy("src").agg(F.max("place").alias("end_place")))
-    plan = cut(weighed.select("src", "repeat", "whole").join(ends, "src", "left").join(last, "src", "left"))
+    plan = stored(weighed.select("src", "repeat", "whole").join(ends, "src", "left").join(last, "src", "left"), "mix-plan")
     blocks = max(1, math.ceil(budget / block_tokens))
     turn = hash60(f"{seed}t", F.col("src"), F.col("bucket"))
     here, end = F.struct(F.col("turn"), F.col("bucket"), F.col("place")), F.struct("end_turn", "end_bucket", "end_place")
     copies = F.col("whole") + F.when(F.col("end_place").isNotNull() & (here <= end), 1).otherwise(0)
-    place = (F.col("mix_epoch") + F.col("turn") / F.lit(float(2**60))) / F.greatest("repeat", F.lit(1e-9))
+    part = (F.col("mix_epoch") + F.col("turn") / F.lit(float(2**60))) / F.greatest("repeat", F.lit(1e-9))
     return (work.withColumn("turn", turn).join(plan, "src").withColumn("copies", copies).where("copies > 0")
             .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-            .withColumn("mix_block", F.floor(F.least(place, F.lit(1 - 1e-9)) * F.lit(blocks)).cast("long"))
+            .withColumn("mix_block", F.floor(F.least(part, F.lit(1 - 1e-9)) * F.lit(blocks)).cast("long"))
             .withColumn("mix_order", hash60(f"{seed}o", F.col("mix_epoch"), F.col("place")))
             .select("row.*", "mix_epoch", "mix_block", "mix_order"))

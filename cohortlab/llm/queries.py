@@ -68,7 +68,7 @@ bis AS (
 al AS (SELECT CASE WHEN ln(list_sum(list_transform(l, lambda x: exp(x)))) - list_sum(list_transform(l, lambda x: exp(x) * x))
         / list_sum(list_transform(l, lambda x: exp(x))) >= target THEN 1.0 ELSE lo END AS a FROM bis, lg WHERE i = 40),
 n AS (SELECT a, sum(pow(tokens / total::DOUBLE, a)) AS norm FROM s, al, tot GROUP BY a),
-p AS (SELECT src, tokens, total::DOUBLE * pow(tokens / total::DOUBLE, a) / norm / tokens AS rep FROM s, n, tot),
+p AS (SELECT src, tokens, round(total::DOUBLE * pow(tokens / total::DOUBLE, a) / norm / tokens, 9) AS rep FROM s, n, tot),
 q AS (SELECT src, rep, floor(rep)::BIGINT AS whole, (rep - floor(rep)) * tokens AS rest FROM p),
 rb AS (SELECT src, bucket, turn, sum(tokens) OVER (PARTITION BY src ORDER BY turn, bucket) - tokens AS before FROM b),
 e AS (SELECT src, max({'t': turn, 'b': bucket, 'f': before}) AS x FROM rb JOIN q USING (src) WHERE before < rest GROUP BY src),
