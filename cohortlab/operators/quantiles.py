@@ -1,35 +1,36 @@
-"""Exact linear-interpolated quantiles without holding a whole group in one task.
+"""Exact linear-interpolated quantiles without holding a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one final task; for a
-hot group that is unbounded. Here, per group and probability p:
+hot group that is unbounded. Here equal values are counted before anything
+else, so ties never meet as rows, and per group and probability p:
 
-1. n and a bracket [lo, hi] from the quantile sketch at p ∓ 3/accuracy (one
-   partial/final aggregation). The sketch's rank error is at most
-   n/accuracy, so the order statistics at floor/ceil((n-1)p) lie inside;
-2. one more aggregation per group: ``below`` = rows under lo, the sorted
-   candidates inside [lo, hi] (about 6n/accuracy rows; the accuracy is raised
-   with the largest group so that this never exceeds MAX_CANDIDATES), and the
-   nearest value on each side of the bracket;
-3. the values at ranks floor((n-1)p) and ceil((n-1)p) are read from those by
-   index and interpolated: v_lo + (v_hi - v_lo)·frac (the formula of the SQL
-   ``quantile_cont``).
+1. a bracket [lo, hi] from the quantile sketch at p ∓ 3/accuracy. The
+   sketch's rank error is at most n/accuracy, so the order statistics at
+   floor/ceil((n-1)p) lie inside it or are its neighbours;
+2. the counted values fall into three classes: below the bracket (one row,
+   with the largest value), inside (a row per distinct value) and above (one
+   row, with the smallest). This is an aggregation with map-side combine;
+3. running counts over the classes and values give ranks: a sorted window
+   that spills, over the distinct values inside one bracket, and only where
+   lo < hi (a tied bracket has one value);
+4. the values at ranks floor((n-1)p) and ceil((n-1)p) are interpolated:
+   v_lo + (v_hi - v_lo)·frac (the formula of the SQL ``quantile_cont``).
 
-The per-group statistics table is broadcast when it is known or counted to be small.
+Nothing is collected into arrays and nothing depends on a size switch. The
+per-group brackets are a stored table that Spark broadcasts or shuffles by its
+size.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q
-from cohortlab.operators.merge import BROADCAST_ROWS
-from cohortlab.session import cut_lineage
+from cohortlab.session import stored
 
-ACCURACY = 2_000   # bracket ±3/2000: about 0.3% of a group's rows are ranked; exactness does not depend on it
-MAX_CANDIDATES = 5_000_000   # rows ranked per (group, p) at most; the accuracy grows with the largest group
+ACCURACY = 10_000   # bracket ±3/10000: ranks about 0.06% of a group; exactness does not depend on it
+_BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], group: list[str] | None = None,
@@ -37,12 +38,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
                     small_groups: bool = False) -> DataFrame:
     """(group..., n, <names>) — exact interpolated quantiles of the non-null, non-NaN values.
 
-    ``small_groups=True`` declares a proven small number of groups (e.g. one per
-    column name): the per-group statistics are then broadcast instead of joined
-    on a handful of hot keys.
+    ``small_groups=True`` declares a structural bound on the groups (e.g. one
+    per column name): their brackets are then kept as a local relation.
     """
     user_group = list(group or [])
-    bcast = small_groups or not user_group
+    local = small_groups or not user_group
     g = user_group or ["__g"]
     names = names or [f"q{i}" for i in range(len(probs))]
     m = len(probs)
@@ -50,46 +50,37 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
     keys = [F.col(q(c)).alias(c) for c in user_group] or [F.lit(0).alias("__g")]
     base = df.select(*keys, nan_to_null(val.cast("double")).alias("__v")).where(F.col("__v").isNotNull())
 
-    def sketch(acc: int) -> DataFrame:
-        d = 3.0 / acc
-        # one sketch per group answers both bracket ends
-        ends = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
-        s = base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", ends, acc).alias("__e"))
-        s = s.select(*g, "__n", F.slice("__e", 1, m).alias("__lo"), F.slice("__e", m + 1, m).alias("__hi"))
-        # one row per group, reused three times: materialise it once
-        if bcast:  # known small (no group / one group per column): keep it as a local relation
-            return df.sparkSession.createDataFrame(s.collect(), s.schema)
-        return cut_lineage(s)  # unknown cardinality: write it once
+    # one sketch per group answers both bracket ends
+    d = 3.0 / accuracy
+    ends = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
+    brackets = (base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", ends, accuracy).alias("__e"))
+                .select(*g, "__n", F.posexplode(F.arrays_zip(F.slice("__e", 1, m).alias("lo"), F.slice("__e", m + 1, m).alias("hi")))
+                        .alias("__i", "__b"))
+                .select(*g, "__n", "__i", F.col("__b.lo").alias("__lo"), F.col("__b.hi").alias("__hi")))
+    brackets = (df.sparkSession.createDataFrame(brackets.collect(), brackets.schema) if local else stored(brackets, "quantile-brackets"))
 
-    st = sketch(accuracy)
-    # about 6 n / accuracy rows of a group fall inside its bracket: for very large groups raise the
-    # accuracy so that no (group, p) ranks more than MAX_CANDIDATES rows in one window partition
-    n_max = st.agg(F.max("__n")).first()[0] or 0
-    if 6 * n_max / accuracy > MAX_CANDIDATES:
-        st = sketch(int(math.ceil(6 * n_max / MAX_CANDIDATES)))
-    if not bcast:
-        bcast = st.count() <= BROADCAST_ROWS  # broadcast when the per-group table is small
-    j = base.join(F.broadcast(st) if bcast else st, g, "inner")
-    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
-    # ONE aggregation per group and p: rows below the bracket, the (bounded) sorted candidates
-    # inside it, and the nearest value on each side (they cover an interpolation partner that
-    # sits one rank outside the bracket)
-    agg = j.groupBy(*g).agg(F.max("__n").alias("__n"), *[e for i in range(m) for e in (
-        F.count_if(v < lo[i]).alias(f"__b{i}"),
-        F.array_sort(F.collect_list(F.when((lo[i] <= v) & (v <= hi[i]), v))).alias(f"__c{i}"),
-        F.max(F.when(v < lo[i], v)).alias(f"__prev{i}"),
-        F.min(F.when(v > hi[i], v)).alias(f"__next{i}"))])
+    v = F.col("__v")
+    counted = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    kind = F.when(v < F.col("__lo"), _BELOW).when(v > F.col("__hi"), _ABOVE).otherwise(_INSIDE)
+    classes = (counted.join(brackets, g).withColumn("__k", kind)
+               .groupBy(*g, "__i", "__n", "__k", F.when(F.col("__k") == _INSIDE, v).alias("__in"))
+               .agg(F.sum("__c").alias("__c"), F.max(v).alias("__max"), F.min(v).alias("__min")))
+    running = Window.partitionBy(*g, "__i").orderBy("__k", "__in")
+    pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
+    ranked = (classes.withColumn("__end", F.sum("__c").over(running)).withColumn("__start", F.col("__end") - F.col("__c"))
+              .withColumn("__pos", pos))
 
-    def at_rank(k, i):
-        b, c = F.col(f"__b{i}"), F.col(f"__c{i}")
-        return (F.when(k == b - 1, F.col(f"__prev{i}"))
-                .when((k >= b) & (k < b + F.size(c)), F.element_at(c, (k - b + 1).cast("int")))
-                .when(k == b + F.size(c), F.col(f"__next{i}")))
+    def at_rank(k: Column) -> Column:
+        """The value of rank k, from the row that covers it: below, only the last rank is known, above, only the first."""
+        here = (F.col("__start") <= k) & (k < F.col("__end"))
+        known = F.when(F.col("__k") == _BELOW, F.when(k == F.col("__end") - 1, F.col("__max"))).when(
+            F.col("__k") == _ABOVE, F.when(k == F.col("__start"), F.col("__min"))).otherwise(F.col("__in"))
+        return F.max(F.when(here, known))
 
-    vals = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("__n") - 1)
-        frac = pos - F.floor(pos)
-        vlo, vhi = at_rank(F.floor(pos), i), at_rank(F.ceil(pos), i)
-        vals.append(F.when(frac == 0, vlo).otherwise(vlo + (vhi - vlo) * frac).alias(names[i]))
-    return agg.select(*user_group, F.col("__n").alias("n"), *vals)
+    frac = F.col("__pos") - F.floor("__pos")
+    found = (ranked.groupBy(*g, "__i", "__n", "__pos")
+             .agg(at_rank(F.floor("__pos")).alias("__lo"), at_rank(F.ceil("__pos")).alias("__hi"))
+             .withColumn("__q", F.when(frac == 0, F.col("__lo")).otherwise(
+                 F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac)))
+    return found.groupBy(*g).agg(F.max("__n").alias("n"), *[
+        F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(name) for i, name in enumerate(names)]).select(*user_group, "n", *names)
