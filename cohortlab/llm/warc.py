@@ -95,10 +95,12 @@ def write_warc(df: DataFrame, out: str, key: str = "page_id", url: str = "url",
     bounds = range_bounds(df, key, max(1, -(-total // shard_bytes)))
     revisits = plan_records(df, key, payload, min_revisit_bytes)
     rows = (df.select(col(key).cast("long").alias("k"), col(url).cast("string").alias("url"), text_of(payload).alias("body"))
-            .withColumn("digest", sha1_base32(F.encode("body", "utf-8"))).join(revisits, ["k", "digest"], "left")
-            .withColumn("shard", range_part("k", bounds)))
-    dealt = (rows.repartitionById(len(bounds) + 1, F.col("shard"))
-             .sortWithinPartitions(F.col("k").asc_nulls_first(), "digest", F.col("url").asc_nulls_first())
+            .withColumn("digest", sha1_base32(F.encode("body", "utf-8"))).withColumn("first", F.lit(None).cast("long")))
+    # what a record revisits travels as a row of its own just before it: payloads move once, without a join
+    marks = revisits.select("k", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("body"), "digest", "first")
+    dealt = (rows.unionByName(marks).withColumn("shard", range_part("k", bounds))
+             .repartitionById(len(bounds) + 1, F.col("shard"))
+             .sortWithinPartitions(F.col("k").asc_nulls_first(), "digest", F.col("first").isNull(), F.col("url").asc_nulls_first())
              .select("shard", "k", "url", "body", "digest", "first"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +127,13 @@ def write_warc(df: DataFrame, out: str, key: str = "page_id", url: str = "url",
             size += len(packed)
 
         shard, number, size, name, temp, sha, counts, last, copy = -1, 0, 0, "", "", None, [], None, 0
+        marked, to = None, None
         for batch in batches:
-            for s, k, target, body, digest, first in zip(*(c.to_pylist() for c in batch.columns)):
+            for s, k, target, body, digest, mark in zip(*(c.to_pylist() for c in batch.columns)):
+                if mark is not None:
+                    marked, to = (k, digest), mark
+                    continue
+                first = to if marked == (k, digest) else None
                 if stream is not None and (s != shard or size >= roll_bytes):
                     close()
                     number = number + 1 if s == shard else 0
