@@ -87,13 +87,26 @@ def argmax_index(arr: str | Column) -> Column:
 
 
 def display_round(c: str | Column, digits: int = 4) -> Column:
-    """Half-even rounding of the binary value, as Python's ``round`` does for display values.
+    """Half-even rounding of the exact binary value, as Python's ``round`` does for display values.
 
-    ``bround`` would round the shortest decimal string of the double instead
-    (0.02125 → 0.0212, where Python gives 0.0213), so scale, ``rint``, unscale.
+    ``bround`` would round the shortest decimal string of the double instead (0.02125 → 0.0212, where Python gives
+    0.0213), and a scaled product may land on a half that the exact value misses (0.04125 · 10⁴). So the product's
+    rounding error is computed without error (the halves of both factors multiply exactly) and decides such ties.
     """
-    p = float(10 ** digits)
-    return F.rint(col(c) * p) / p
+    x, s = col(c).cast("double"), float(10 ** digits)
+
+    def halves(v):
+        big = v * 134217729.0  # 2**27 + 1: the high half has 26 bits
+        high = big - (big - v)
+        return high, v - high
+
+    p = x * F.lit(s)
+    (xh, xl), (sh, sl) = halves(x), halves(s)
+    err = ((xh * sh - p) + xh * sl + xl * sh) + xl * sl
+    low = F.floor(p).cast("double")
+    tie = (p - low) == 0.5
+    whole = F.when(tie & (err > 0), low + 1).when(tie & (err < 0), low).otherwise(F.rint(p))
+    return F.when(F.abs(x) < 2.0 ** 52 / s, whole / F.lit(s)).otherwise(x)
 
 
 def stable_hash_hex(key: str | Column, seed: int) -> Column:

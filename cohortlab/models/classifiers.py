@@ -38,11 +38,12 @@ MODEL_TYPES = ("random_forest", "logistic_regression", "svm", "xgboost", "gradie
                "naive_bayes", "adaboost")
 
 # Hyper-parameters of the reference suite.
-RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt")
-XGB_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1)
-GB_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1)
+RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", maxBins=256)
+XGB_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, maxBins=256)
+GB_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, maxBins=256)
 LR_C, LR_MAX_ITER = 1.0, 1000
 SVM_C = 1.0
+SVM_MAX_ITER = 10_000   # the optimiser stops at its tolerance; the bound only guards against a loop
 KNN_K = 5
 NB_VAR_SMOOTHING = 1e-9
 ADA_ROUNDS, ADA_RATE = 100, 1.0
@@ -305,7 +306,7 @@ def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_comp
 
     tr = featurize(train).select(VEC, F.col(q(label)).cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
     n = tr.count()
-    svc = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=200).fit(tr)
+    svc = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=SVM_MAX_ITER).fit(tr)
     margins = svc.transform(tr).select(vector_to_array("rawPrediction")[1].alias("m"), "__y")
     platt = LogisticRegression(featuresCol="mv", labelCol="__y", regParam=0.0).fit(
         margins.select(array_to_vector(F.array("m")).alias("mv"), "__y"))

@@ -53,17 +53,17 @@ def drop_suffix(df: DataFrame, column: str, suffix: str) -> DataFrame:
 
 
 def binary_target(df: DataFrame, target_col: str, negative: str = NEGATIVE_LABEL,
-                  out: str = "target") -> DataFrame:
+                  out: str = "target", rating: bool | None = None) -> DataFrame:
     """P5: a rating column → (c > 0); a string label → (c != negative); otherwise a copy.
 
-    Missing ratings map to 0 and missing labels to 1 (a null predicate is False).
-    ``target_col`` names the rating when it is numeric and not a label column.
+    Missing ratings map to 0 and missing labels to 1 (a null predicate is False). ``rating`` says whether a numeric
+    column is a rating; by default only the column named CDR (in any case) is one, other numbers are copied.
     """
     dt = df.schema[target_col].dataType
     c = F.col(q(target_col))
     if target_col in ("Dementia", "Group"):
         expr = (~c.eqNullSafe(F.lit(negative))).cast("int") if isinstance(dt, T.StringType) else c
-    elif isinstance(dt, T.NumericType):
+    elif isinstance(dt, T.NumericType) and (target_col.upper() == "CDR" if rating is None else rating):
         expr = truthy(c > 0).cast("int")
     elif isinstance(dt, T.StringType):
         expr = (~c.eqNullSafe(F.lit(negative))).cast("int")

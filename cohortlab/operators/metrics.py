@@ -43,13 +43,22 @@ def binary_metrics(conf: DataFrame) -> DataFrame:
                        F.array(F.array(tn, fp), F.array(fn, tp)).alias("confusion_matrix"))
 
 
+#: Distinct scores that one task ranks, about.
+ROWS_PER_BUCKET = 100_000
+
+
 def roc_auc(df: DataFrame, score: str = "score", truth: str = "truth", group: list[str] | None = None,
-            buckets: int = 1024, rel_err: float = 1e-4) -> DataFrame:
-    """Exact tie-aware ROC AUC per group; null when a group has one class only."""
+            buckets: int | None = None, rel_err: float = 1e-4) -> DataFrame:
+    """Exact tie-aware ROC AUC per group; null when a group has one class only.
+
+    ``buckets``: ranges of scores that are ranked apart, by default one per ``ROWS_PER_BUCKET`` rows.
+    """
     group = list(group or [])
     g = df.groupBy(*[F.col(q(c)) for c in group], F.col(q(score)).cast("double").alias("s")).agg(
         F.count_if(F.col(q(truth)) == 1).alias("pos"), F.count_if(F.col(q(truth)) == 0).alias("neg"))
     g = g.where(F.col("s").isNotNull())
+    if buckets is None:
+        buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
     # ordered buckets: quantile cut points of the distinct scores (≤ buckets + 1 doubles on the driver)
     cuts = g.approxQuantile("s", [i / buckets for i in range(1, buckets)], rel_err) if buckets > 1 else []
     splits = [float("-inf")] + sorted(set(c for c in cuts if c == c)) + [float("inf")]
@@ -123,9 +132,12 @@ def cv_summary(fold_metrics: DataFrame, group: list[str] | None = None, fold: st
 
 
 def fold_metrics(scored: DataFrame, fold: str = "fold", truth: str = "truth", pred: str = "pred",
-                 group: list[str] | None = None) -> DataFrame:
-    """Per-fold accuracy / precision / recall / f1 as long rows (input of :func:`cv_summary`)."""
+                 group: list[str] | None = None, score: str | None = None) -> DataFrame:
+    """Per-fold accuracy / precision / recall / f1 — and the exact AUC where a ``score`` column is named — as long
+    rows (input of :func:`cv_summary`)."""
     g = list(group or []) + [fold]
     m = binary_metrics(confusion(scored, truth, pred, g))
     names = ("accuracy", "precision", "recall", "f1_score")
+    if score is not None:
+        m, names = m.join(roc_auc(scored, score, truth, g), g, "left"), (*names, "roc_auc")
     return m.select(*g, F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])))

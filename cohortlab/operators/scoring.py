@@ -81,7 +81,7 @@ def compare_models(first: DataFrame, second_fn, key: str) -> DataFrame:
         second = second_fn()
         return first.join(second, key, "left").withColumn("second_error", F.lit(None).cast("string"))
     except Exception as e:  # noqa: BLE001 - a failing comparison model must not fail the batch
-        return first.withColumn("second_error", F.lit(f"{type(e).__name__}: {e}"[:300]))
+        return first.withColumn("second_error", F.lit(f"{type(e).__name__}: {e}"))
 
 
 def ground_truth(rating: Column) -> tuple[Column, Column]:

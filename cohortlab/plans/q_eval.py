@@ -52,7 +52,7 @@ SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + neg
        AS roc_auc FROM c""")
 def e3_roc_auc(spark, sf):
     """Exact tie-aware ROC AUC through bucketed prefix sums."""
-    return rounded(metrics.roc_auc(T.score(spark, sf), buckets=64), 9)
+    return rounded(metrics.roc_auc(T.score(spark, sf)), 9)
 
 
 @register("e4_classification_report", S + """

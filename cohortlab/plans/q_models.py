@@ -86,9 +86,9 @@ def _model_query(name, model_type, doc):
     def fn(spark, sf):
         p = prepared(spark, sf)
         f = C.fit(model_type, p.where(F.col("split") == "train"), FEATS)
-        scored = f.transform(p.where(F.col("split") == "test"))
+        scored = cut_lineage(f.transform(p.where(F.col("split") == "test")).select("p1", "pred", "target"))
         conf = metrics.binary_metrics(metrics.confusion(scored, "target", "pred"))
-        auc = metrics.roc_auc(scored, "p1", "target", buckets=256)
+        auc = metrics.roc_auc(scored, "p1", "target")
         out = conf.select(F.lit(model_type).alias("model"), "accuracy", "precision", "recall", "f1_score",
                           "tn", "fp", "fn", "tp")
         return rounded(out.select("*", auc.select("roc_auc").scalar().alias("roc_auc")), 6)
@@ -180,16 +180,11 @@ def e6_model_suite(spark, sf):
     return res.drop("training_time")
 
 
-# The reference scenarios re-aimed at the fixture's columns (clinical role → column).
-FIXTURE_SCENARIOS = (
-    ("Baseline (All Features)", ()),
-    ("Without MMSE", ("disc",)),
-    ("Without Global Brain Metrics", ("qty", "price", "tax")),
-    ("Without MMSE and Global", ("disc", "qty", "price", "tax")),
-    ("Demographics Only", ("disc", "qty", "price", "tax", "n_items")),
-    ("MMSE Only", ("status", "priority", "n_items", "qty", "price", "tax")),
-    ("Global Metrics Only", ("status", "priority", "n_items", "disc")),
-)
+# The scenarios re-aimed at the fixture's columns (clinical role → column).
+ROLE_COLUMNS = {"MMSE": ("disc",), "nWBV": ("qty",), "eTIV": ("price",), "ASF": ("tax",), "Age": ("priority",), "M/F": ("status",),
+                "SES": ("n_items",), "Educ": ()}
+FIXTURE_SCENARIOS = tuple((name, rule, tuple(c for role in roles for c in ROLE_COLUMNS[role]))
+                          for name, rule, roles in suite.ABLATION_SCENARIOS)
 
 
 @register("e7_ablation_grid")

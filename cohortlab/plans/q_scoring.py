@@ -142,8 +142,8 @@ VIEW = {"session_id": "session_id", "ID": "id", "price": "etiv", "disc": "nwbv",
 
 
 @register("x5_patient_view", T.with_ctes(T.VISITS_CTE) + """
-SELECT session_id, ID AS id, round_even(price, 4) AS etiv, round_even(disc, 4) AS nwbv, round_even(tax, 4) AS asf,
-       round_even(qty, 4) AS mmse, round_even(cdr, 4) AS cdr,
+SELECT session_id, ID AS id, CAST(printf('%.4f', price) AS DOUBLE) AS etiv, CAST(printf('%.4f', disc) AS DOUBLE) AS nwbv, CAST(printf('%.4f', tax) AS DOUBLE) AS asf,
+       CAST(printf('%.4f', qty) AS DOUBLE) AS mmse, CAST(printf('%.4f', cdr) AS DOUBLE) AS cdr,
        CASE WHEN cdr IS NOT NULL THEN CAST(cdr > 0 AS INTEGER) END AS ground_truth,
        CASE WHEN coalesce(cdr > 0, false) THEN 'Demented' ELSE 'Non-Demented' END AS ground_truth_label
 FROM visits""")
@@ -153,7 +153,7 @@ def x5_patient_view(spark, sf):
 
 
 @register("p25_display_round", T.with_ctes(T.VISITS_CTE) + """
-SELECT session_id, round_even(disc, 4) AS disc, round_even(tax, 4) AS tax, status FROM visits""")
+SELECT session_id, CAST(printf('%.4f', disc) AS DOUBLE) AS disc, CAST(printf('%.4f', tax) AS DOUBLE) AS tax, status FROM visits""")
 def p25_display_round(spark, sf):
     """4-decimal half-even rounding, nulls and strings kept."""
     v = T.visits(spark, sf)

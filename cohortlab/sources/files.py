@@ -180,7 +180,7 @@ def _decode_batches(batches):
                                  plane.ravel().tolist(), None, None, None, None, None))
             except Exception as e:  # noqa: BLE001 - a broken file becomes a status row
                 rows.append((r.session_id, "meta", None, None, None, None, None, None, None, None, "error",
-                             f"{type(e).__name__}: {e}"[:300]))
+                             f"{type(e).__name__}: {e}"))
         yield pd.DataFrame(rows, columns=["session_id", "kind", "k", "ni", "nj", "labels", "values", "dims",
                                           "zooms", "affine", "status", "error"])
 

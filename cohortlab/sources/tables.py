@@ -275,8 +275,8 @@ SCENARIOS = (
     ("1-URGENT", "Baseline (All Features)"),
     ("2-HIGH", "Without MMSE"),
     ("3-MEDIUM", "Without Global Brain Metrics"),
-    ("4-NOT SPECIFIED", "Without MMSE and Global"),
-    ("5-LOW", "MMSE Only"),
+    ("4-NOT SPECIFIED", "Without MMSE + Global"),
+    ("5-LOW", "Only MMSE"),
 )
 # Model names (fixed values), one per order status.
 RUN_MODELS = (("F", "random_forest"), ("O", "logistic_regression"), ("P", "xgboost"))
@@ -312,8 +312,8 @@ RUNS_CTE = """
 rn AS (SELECT l_orderkey, count(*) AS n_items FROM lineitem GROUP BY l_orderkey),
 rg AS (
   SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'Baseline (All Features)' WHEN '2-HIGH' THEN 'Without MMSE'
-           WHEN '3-MEDIUM' THEN 'Without Global Brain Metrics' WHEN '4-NOT SPECIFIED' THEN 'Without MMSE and Global'
-           WHEN '5-LOW' THEN 'MMSE Only' END AS scenario,
+           WHEN '3-MEDIUM' THEN 'Without Global Brain Metrics' WHEN '4-NOT SPECIFIED' THEN 'Without MMSE + Global'
+           WHEN '5-LOW' THEN 'Only MMSE' END AS scenario,
          CASE o_orderstatus WHEN 'F' THEN 'random_forest' WHEN 'O' THEN 'logistic_regression' WHEN 'P' THEN 'xgboost' END AS model,
          CAST(o_totalprice > 250000 AS INTEGER) AS pred,
          CAST(coalesce(n_items, 0) > 4 AS INTEGER) AS truth
