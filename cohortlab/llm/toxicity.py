@@ -19,6 +19,7 @@ repeated labels count as their mean, from 0.5 on as 1; without both classes ever
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import col, text_of
 
 GRAMS, BUCKETS, WINDOW, DIM = (3, 4, 5), 2**18, 4, 16
+_BLANK = re.compile(r"\s").search
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,29 +79,46 @@ class SubwordModel:
     table: np.ndarray
     bias: float
 
-    def predict(self, texts: list[str], chars: int = 1_000_000) -> np.ndarray:
-        out, a = np.empty(len(texts)), 0
-        while a < len(texts):
-            b, n = a, 0
-            while b < len(texts) and (b == a or n + len(texts[b]) <= chars):
-                n += len(texts[b])
-                b += 1
-            out[a:b] = self._predict(texts[a:b])
-            a = b
-        return out
-
-    def _predict(self, texts: list[str]) -> np.ndarray:
-        z = np.full(len(texts), self.bias)
-        grams, words, owner = bags(texts)
-        if len(owner):
+    def predict(self, texts: list[str]) -> np.ndarray:
+        pieces, whose = [], []
+        for i, t in enumerate(texts):
+            for piece in _pieces(t):
+                pieces.append(piece)
+                whose.append(i)
+        z, best = np.full(len(pieces), self.bias), np.full(len(texts), -np.inf)
+        for first, grams, words, owner in _parts(pieces):
+            if not len(owner):
+                continue
             n = len(owner)
             mean = np.bincount(words, self.table[grams], n) / np.bincount(words, minlength=n)
             win = windows(owner, WINDOW)
             value = np.bincount(win, mean) / np.bincount(win) + self.bias
             text = owner[np.concatenate([[True], win[1:] != win[:-1]])]
             at = np.concatenate([[True], text[1:] != text[:-1]])
-            z[text[at]] = np.maximum.reduceat(value, np.flatnonzero(at))
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+            z[text[at] + first] = np.maximum.reduceat(value, np.flatnonzero(at))
+        np.maximum.at(best, np.array(whose, np.int64), z)
+        return 1 / (1 + np.exp(-np.clip(best, -50, 50)))
+
+
+def _pieces(text: str, chars: int = 500_000):
+    """A text, or its pieces between blanks if it is very long."""
+    a = 0
+    while len(text) - a > chars and (blank := _BLANK(text, a + chars)):
+        yield text[a:blank.start()]
+        a = blank.end()
+    yield text[a:]
+
+
+def _parts(texts: list[str], chars: int = 500_000):
+    """(first text, grams, words, owner) of a few texts at a time, so that their n-grams stay few."""
+    a = 0
+    while a < len(texts):
+        b, n = a, 0
+        while b < len(texts) and (b == a or n + len(texts[b]) <= chars):
+            n += len(texts[b])
+            b += 1
+        yield (a, *bags(texts[a:b]))
+        a = b
 
 
 def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, seed: int = 7,
@@ -109,28 +128,40 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
     share = float(np.mean(y)) if n else 0.0
     if share in (0.0, 1.0):
         return SubwordModel(np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    grams, words, owner = bags(texts)
-    win = windows(owner, WINDOW)
-    # what a gram weighs in its window: one over the grams of its word and the words of its window
-    weight = (1.0 / np.bincount(words, minlength=len(owner))[words] / np.bincount(win)[win[words]]).astype(np.float32)
-    gwin = win[words]
+    y = np.asarray(y, float)
+    # grams whose share of documents does not differ between the classes can only name documents: they stay at zero
+    hits = np.zeros((2, BUCKETS))
+    for at, grams, words, owner in _parts(texts):
+        pair = np.unique(grams.astype(np.int64) * n + owner[words] + at)
+        for v in (0, 1):
+            hits[v] += np.bincount(pair[y[pair % n] == v] // n, minlength=BUCKETS)
+    sizes = [max(1, int((y == v).sum())) for v in (0, 1)]
+    both = hits.sum(axis=0) / sum(sizes)
+    error = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
+    seen = (np.abs(hits[1] / sizes[1] - hits[0] / sizes[0]) >= least_z * error) & (hits.sum(axis=0) > 1)
+    # windows with such grams, and one without for each document
+    kept: list[tuple[np.ndarray, ...]] = []
+    doc, count = [np.arange(n)], n
+    for at, grams, words, owner in _parts(texts):
+        win = windows(owner, WINDOW)
+        weight = 1.0 / np.bincount(words, minlength=len(owner))[words] / np.bincount(win)[win[words]]
+        on = seen[grams]
+        names, place = np.unique(win[words[on]], return_inverse=True)
+        kept.append((grams[on], weight[on].astype(np.float32), place + count))
+        doc.append(owner[np.searchsorted(win, names)] + at)
+        count += len(names)
+    grams, weight, gwin = (np.concatenate(c) for c in zip(*kept))
+    doc = np.concatenate(doc)
+    order = np.argsort(doc, kind="stable")  # windows by document
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    doc, gwin = doc[order], place[gwin]
     order = np.argsort(gwin, kind="stable")
     grams, weight, gwin = grams[order], weight[order], gwin[order]
-    first = np.flatnonzero(np.concatenate([[True], win[1:] != win[:-1]]))
-    doc = owner[first]  # document of every window
-    starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    target, count = y[doc[starts]], len(first)
-    edges = np.searchsorted(gwin, np.arange(count + 1))
-    # grams whose share of documents does not differ between the classes can only name documents: they stay at zero
-    pair = np.unique(grams.astype(np.int64) * n + doc[gwin])
-    hits = [np.bincount(pair[y[pair % n] == v] // n, minlength=BUCKETS) for v in (1, 0)]
-    sizes = [max(1, int((y == v).sum())) for v in (1, 0)]
-    both = sum(hits) / sum(sizes)
-    spread_of = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
-    seen = (np.abs(hits[0] / sizes[0] - hits[1] / sizes[1]) >= least_z * spread_of) & (sum(hits) > 1)
-    weight[~seen[grams]] = 0
-    used = np.unique(grams)
-    local = np.searchsorted(used, grams).astype(np.int32)
+    starts, target = np.searchsorted(doc, np.arange(n)), y
+    used, local = np.unique(grams, return_inverse=True)
+    if not len(used):
+        return SubwordModel(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     heads, bias = rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
@@ -140,17 +171,14 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
     for r in range(rounds):
         sharp = 1.0 + 9.0 * min(1.0, 2 * r / rounds)
         fold = vectors @ (heads[1] - heads[0]).astype(np.float32)
-        z = np.add.reduceat(weight * fold[local], edges[:-1]) + (bias[1] - bias[0])
+        z = np.bincount(gwin, weight * fold[local], count) + (bias[1] - bias[0])
         top = np.repeat(np.maximum.reduceat(z, starts), spread)
         part = np.exp(sharp * (z - top))
         part /= np.repeat(np.add.reduceat(part, starts), spread)
         pooled = np.add.reduceat(part * z, starts)
         err = (1 / (1 + np.exp(-np.clip(pooled, -50, 50))) - target) * even  # of the document's logit
         coef = np.repeat(err, spread) * part
-        live = np.flatnonzero(np.abs(coef) > 1e-3 * np.repeat(np.abs(err), spread))  # windows that matter now
-        lengths = edges[live + 1] - edges[live]
-        at = np.repeat(edges[live] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        push = np.bincount(local[at], weight[at] * np.repeat(coef[live], lengths), len(used))
+        push = np.bincount(local, weight * coef[gwin], len(used))
         mean = push @ vectors  # gradient of the difference of the heads
         for value, total, grad in ((heads, sums[1], np.stack([-mean, mean])), (bias, sums[2], np.array([-coef.sum(), coef.sum()]))):
             total += grad ** 2
@@ -160,7 +188,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
         sums[0][rows] += grad ** 2
         vectors[rows] -= 0.1 * step * grad / np.sqrt(sums[0][rows])
     table = np.zeros(BUCKETS, np.float32)
-    table[used] = np.where(seen[used], vectors @ (heads[1] - heads[0]), 0)
+    table[used] = vectors @ (heads[1] - heads[0])
     return SubwordModel(table, float(bias[1] - bias[0]))
 
 
