@@ -43,7 +43,7 @@ XGB_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, maxBins=256)
 GB_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, maxBins=256)
 LR_C, LR_MAX_ITER = 1.0, 1000
 SVM_C = 1.0
-SVM_MAX_ITER = 10_000   # the optimiser stops at its tolerance; the bound only guards against a loop
+SVM_MAX_ITER = 500   # LinearSVC stops earlier at its tolerance
 KNN_K = 5
 NB_VAR_SMOOTHING = 1e-9
 ADA_ROUNDS, ADA_RATE = 100, 1.0
@@ -79,11 +79,16 @@ def _spark_ml(model_type: str, est, train: DataFrame, features: list[str], label
     finally:
         tr.unpersist()
 
+    return spark_ml_fitted(model_type, model, features)
+
+
+def spark_ml_fitted(model_type: str, model, features: list[str]) -> Fitted:
+    """A fitted or loaded Spark ML classification model behind the common interface."""
     def predict(df: DataFrame) -> DataFrame:
         out = model.transform(assemble(df, features))
-        p1 = vector_to_array(F.col(est.getProbabilityCol()))[1]
+        p1 = vector_to_array(F.col(model.getProbabilityCol()))[1]
         return (out.withColumn("p1", p1)
-                .drop(VEC, est.getRawPredictionCol(), est.getProbabilityCol(), est.getPredictionCol())
+                .drop(VEC, model.getRawPredictionCol(), model.getProbabilityCol(), model.getPredictionCol())
                 .withColumn("pred", (F.col("p1") > 0.5).cast("int")))
 
     imp = coef = None
@@ -248,7 +253,12 @@ def fit_adaboost(train: DataFrame, features: list[str], label: str = "target", r
         alphas.append(alpha)
         pred = F.lit(left) if f is None else F.when(F.col(f"b{f}") <= j, F.lit(left)).otherwise(F.lit(right))
         score = score + F.lit(alpha) * (pred != F.col("y")).cast("double")
-    total = sum(alphas)
+    return adaboost_fitted(features, stumps, alphas)
+
+
+def adaboost_fitted(features: list[str], stumps: list, alphas: list[float]) -> Fitted:
+    """The weighted vote of stumps (feature, bin, left class, right class, threshold)."""
+    total, d = sum(alphas), len(features)
 
     def stump_pred(s):
         f, j, left, right, thr = s
@@ -310,17 +320,24 @@ def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_comp
     margins = svc.transform(tr).select(vector_to_array("rawPrediction")[1].alias("m"), "__y")
     platt = LogisticRegression(featuresCol="mv", labelCol="__y", regParam=0.0).fit(
         margins.select(array_to_vector(F.array("m")).alias("mv"), "__y"))
-    a, c0 = float(platt.coefficients[0]), float(platt.intercept)
     tr.unpersist()
+    return svm_fitted(features, svc, w, b, float(platt.coefficients[0]), float(platt.intercept), gamma)
+
+
+def svm_fitted(features: list[str], svc, w: np.ndarray, b: np.ndarray, a: float, c0: float, gamma: float) -> Fitted:
+    """A linear SVM over random Fourier features (w, b) with Platt's probabilities (a, c0)."""
+    rff = _rff_udf(w, b)
 
     def predict(df: DataFrame) -> DataFrame:
+        featurize = lambda x: x.withColumn(VEC, array_to_vector(rff(F.array(*[F.col(q(c)).cast("double") for c in features]))))
         out = svc.transform(featurize(df))
         m = vector_to_array("rawPrediction")[1]
         p1 = 1.0 / (1.0 + F.exp(-(F.lit(a) * m + F.lit(c0))))
         return (out.withColumn("p1", p1).drop(VEC, "rawPrediction", "prediction")
                 .withColumn("pred", (F.col("p1") > 0.5).cast("int")))
 
-    return Fitted("svm", features, predict, extra={"gamma": gamma})
+    return Fitted("svm", features, predict, spark_model=svc,
+                  extra={"gamma": gamma, "w": w.tolist(), "b": b.tolist(), "a": a, "c0": c0})
 
 
 def importance_table(spark, fitted: Fitted) -> DataFrame | None:

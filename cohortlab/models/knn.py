@@ -111,4 +111,4 @@ def fit_knn(train: DataFrame, features: list[str], label: str = "target", train_
         out = qd.join(votes, qd[q(key)].cast("long") == votes["qid"], "left").drop("qid")
         return out.drop("__qid") if key == "__qid" else out
 
-    return Fitted("knn", features, predict, extra={"k": k})
+    return Fitted("knn", features, predict, extra={"k": k, "label": label, "train_key": tk, "train": tr, "block_rows": block_rows})

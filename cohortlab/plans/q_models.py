@@ -82,6 +82,16 @@ def c6_knn(spark, sf):
     return out.select(KEY, F.round("p1", 6).alias("p1"), "pred")
 
 
+def fit_any(model_type, train):
+    if model_type == "knn":
+        return fit_knn(train, FEATS, "target", train_key=KEY, block_rows=10_000)
+    return C.fit(model_type, train, FEATS)
+
+
+def score_any(fitted, test):
+    return fitted.predict_fn(test, KEY) if fitted.model_type == "knn" else fitted.transform(test)
+
+
 def _model_query(name, model_type, doc):
     def fn(spark, sf):
         p = prepared(spark, sf)

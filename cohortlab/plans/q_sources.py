@@ -36,15 +36,15 @@ def s2_matrix_roundtrip(spark, sf):
 
 
 @register("s3_metrics_roundtrip", T.with_ctes(T.RUNS_CTE) + """
-SELECT model, round(accuracy, 9) AS accuracy, 0.0 AS precision, 0.0 AS recall, round(f1_score, 9) AS f1_score,
-       round(roc_auc, 9) AS roc_auc
-FROM runs WHERE scenario = 'Baseline (All Features)'""")
+SELECT scenario || '~' || model AS model, round(accuracy, 9) AS accuracy, 0.0 AS precision, 0.0 AS recall,
+       round(f1_score, 9) AS f1_score, round(roc_auc, 9) AS roc_auc
+FROM runs""")
 def s3_metrics_roundtrip(spark, sf):
-    """Per-model metric JSON (one folder per model) read back; absent keys read as 0."""
-    r = T.runs(spark, sf).where(F.col("scenario") == "Baseline (All Features)").select(
-        "model", "accuracy", "f1_score", "roc_auc")
+    """Metric JSON of every scenario and model (one folder each) read back; absent keys read as 0."""
+    r = T.runs(spark, sf).select(F.concat_ws("~", "scenario", "model").alias("model"), "accuracy", "f1_score", "roc_auc")
     path = sinks.write_json(r, sinks.scratch_path(spark, "metrics"), partition_by=["model"])
-    return rounded(files.read_metrics(spark, path), 9)
+    back = files.read_metrics(spark, path, model_re=r"model=([^/]+)", glob="*.json")
+    return rounded(back.withColumn("model", F.url_decode(F.replace("model", F.lit("+"), F.lit("%2B")))), 9)
 
 
 @register("s4_session_manifest", L + """
@@ -126,6 +126,28 @@ def s12_model_roundtrip(spark, sf):
     return g.transform(p.where(F.col("split") == "test")).select(q_models.KEY, F.round("p1", 6).alias("p1"), "pred")
 
 
+#: One of each way to be saved that is quick to fit; the tests cover all eight.
+SAVED_KINDS = ("random_forest", "logistic_regression", "knn", "naive_bayes")
+
+
+@register("s12_models_roundtrip", q_prep._prep_body() + """
+SELECT m.model, count(*) AS n_test, 0 AS n_changed FROM sp, (SELECT unnest([""" + ", ".join(f"'{m}'" for m in SAVED_KINDS) + """]) AS model) m
+WHERE split = 'test' GROUP BY m.model""")
+def s12_models_roundtrip(spark, sf):
+    """Models fitted, saved, loaded and used to score the test rows: no prediction may change."""
+    p = q_models.prepared(spark, sf)
+    train, test = p.where(F.col("split") == "train"), p.where(F.col("split") == "test")
+    out = None
+    for kind in SAVED_KINDS:
+        f = q_models.fit_any(kind, train)
+        g = sinks.load_model(spark, sinks.save_model(f, sinks.scratch_path(spark, f"model-{kind}"), spark))
+        a, b = (q_models.score_any(x, test).select(q_models.KEY, F.round("p1", 9).alias(n)) for x, n in ((f, "a"), (g, "b")))
+        one = a.join(b, q_models.KEY, "full").agg(F.count(F.lit(1)).alias("n_test"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).cast("int").alias("n_changed"))
+        one = one.select(F.lit(kind).alias("model"), "n_test", "n_changed")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("s13_run_metadata", q_prep._prep_body() + f"""
 SELECT 'visits' AS dataset, 'cdr' AS target, {list(q_models.FEATS)} AS features, {len(q_models.FEATS)} AS n_features,
        count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test,

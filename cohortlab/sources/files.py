@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlab.functions.columns import nan_to_null_all
+from cohortlab.functions.columns import nan_to_null_all, q
 
 # File-name endings of the session files.
 SEG_HDR, SEG_TXT, T88_HDR = "_fseg.hdr", "_fseg.txt", "_t88_masked_gfc.hdr"
@@ -48,11 +48,21 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return r.load(root).select("path")
 
 
+METRIC_FILES = ("*_metrics.json", r"([^/]+)_metrics\.json$")   # fixed values: how one model's metrics are named
+COMPARISON_FILE = "model_comparison.csv"
+
+
 def read_metrics(spark: SparkSession, root: str, keys=("accuracy", "precision", "recall", "f1_score", "roc_auc"),
-                 model_re: str = r"model=([^/]+)") -> DataFrame:
-    """S3: metric JSON records → (model, metric columns); a missing key reads as 0."""
+                 model_re: str = METRIC_FILES[1], glob: str = METRIC_FILES[0]) -> DataFrame:
+    """S3: one row per model (model, metric columns). A comparison table in ``root`` wins; else every model's metric
+    file is one JSON document, on one line or indented, named by its model. A missing key reads as 0."""
     schema = T.StructType([T.StructField(k, T.DoubleType()) for k in keys])
-    df = spark.read.schema(schema).option("multiLine", "false").json(root)
+    table = list_files(spark, root, COMPARISON_FILE).first()
+    if table is not None:
+        df = spark.read.option("header", "true").csv(table["path"])
+        return df.select("model", *[(F.col(q(k)).cast("double") if k in df.columns else F.lit(0.0)).alias(k) for k in keys])
+    df = (spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", glob).json(root))
     return df.select(F.regexp_extract(F.input_file_name(), model_re, 1).alias("model"),
                      *[F.coalesce(F.col(k), F.lit(0.0)).alias(k) for k in keys])
 

@@ -7,12 +7,15 @@ names; scratch output goes under the session's shared checkpoint folder
 
 from __future__ import annotations
 
+import json
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlab.functions.columns import q
 from cohortlab.session import ensure_checkpoint_dir
 
 
@@ -90,21 +93,51 @@ def _is_num(s: str) -> bool:
         return False
 
 
+MODEL_SCHEMA = "model_type string, features array<string>, importances string, coefficients string, params string"
+
+
 def save_model(fitted, path: str, spark: SparkSession) -> str:
-    """Spark ML models through their writer; exact models as a parameter table."""
+    """Any of the eight models as a folder: ``about`` (type, features, parameters), and where the model has one its
+    Spark ML model, its parameter table or its training rows."""
+    extra = dict(fitted.extra)
+    if "params" in extra:
+        spark.createDataFrame(extra.pop("params")).write.mode("overwrite").parquet(f"{path}/params")
+    if "train" in extra:
+        keep = [*fitted.features, extra["label"], extra["train_key"]]
+        extra.pop("train").select(*[F.col(q(c)) for c in dict.fromkeys(keep)]).write.mode("overwrite").parquet(f"{path}/train")
     if fitted.spark_model is not None:
-        fitted.spark_model.write().overwrite().save(path)
-    elif "params" in fitted.extra:
-        spark.createDataFrame(fitted.extra["params"]).write.mode("overwrite").parquet(path)
-    else:
-        raise ValueError(f"{fitted.model_type} has no persistable state")
+        fitted.spark_model.write().overwrite().save(f"{path}/model")
+    row = (fitted.model_type, list(fitted.features), json.dumps(fitted.importances), json.dumps(fitted.coefficients), json.dumps(extra))
+    spark.createDataFrame([row], MODEL_SCHEMA).write.mode("overwrite").parquet(f"{path}/about")
     return path
 
 
+def load_model(spark: SparkSession, path: str):
+    """A saved model of any type, ready to score."""
+    from pyspark.ml import classification as ml
+
+    from cohortlab.models import classifiers as C
+    from cohortlab.models.knn import fit_knn
+
+    row = spark.read.parquet(f"{path}/about").first()
+    kind, features, extra = row["model_type"], list(row["features"]), json.loads(row["params"])
+    if kind == "naive_bayes":
+        return load_naive_bayes(spark, path, features)
+    if kind == "knn":
+        return fit_knn(spark.read.parquet(f"{path}/train"), features, extra["label"], extra["train_key"], extra["k"], extra["block_rows"])
+    if kind == "adaboost":
+        return C.adaboost_fitted(features, extra["stumps"], extra["alphas"])
+    if kind == "svm":
+        return C.svm_fitted(features, ml.LinearSVCModel.load(f"{path}/model"), np.array(extra["w"]), np.array(extra["b"]),
+                            extra["a"], extra["c0"], extra["gamma"])
+    model = {"random_forest": ml.RandomForestClassificationModel, "logistic_regression": ml.LogisticRegressionModel}.get(kind, ml.GBTClassificationModel)
+    return C.spark_ml_fitted(kind, model.load(f"{path}/model"), features)
+
+
 def load_naive_bayes(spark: SparkSession, path: str, features: list[str]):
     """A saved naive Bayes parameter table back to a fitted model."""
     from cohortlab.models.classifiers import Fitted, naive_bayes_scores
-    rows = spark.read.parquet(path).collect()
+    rows = spark.read.parquet(f"{path}/params").collect()
     return Fitted("naive_bayes", features, lambda df: naive_bayes_scores(df, rows, features), extra={"params": rows})
 
 

@@ -55,10 +55,21 @@ def test_listing_manifest_pairs(spark, tmp_path):
     assert (s.total, s.success, s.failed) == (2, 1, 1)
 
 
+def test_metrics_scan_reads_written_files(spark, tmp_path):
+    import json
+    for kind, acc in (("svm", 0.7), ("knn", 0.8)):
+        (tmp_path / f"{kind}_metrics.json").write_text(json.dumps({"accuracy": acc, "recall": 0.5, "confusion_matrix": [[1, 2], [3, 4]]}, indent=2))
+    (tmp_path / "other.json").write_text("{}")
+    rows = {r.model: r for r in files.read_metrics(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"svm", "knn"} and rows["svm"].accuracy == 0.7 and rows["knn"].recall == 0.5 and rows["knn"].roc_auc == 0.0
+    (tmp_path / "model_comparison.csv").write_text("model,accuracy,roc_auc\nsvm,0.9,0.95\n")   # the comparison table wins
+    assert [tuple(r) for r in files.read_metrics(spark, str(tmp_path)).collect()] == [("svm", 0.9, 0.0, 0.0, 0.0, 0.95)]
+
+
 def test_metrics_json_roundtrip(spark):
     df = spark.createDataFrame([("knn", 0.8, 0.9), ("svm", 0.7, None)], "model string, accuracy double, roc_auc double")
     path = sinks.write_json(df, sinks.scratch_path(spark, "t-metrics"), partition_by=["model"])
-    back = {r.model: r for r in files.read_metrics(spark, path).collect()}
+    back = {r.model: r for r in files.read_metrics(spark, path, model_re=r"model=([^/]+)", glob="*.json").collect()}
     assert back["knn"].accuracy == 0.8 and back["knn"].precision == 0.0 and back["svm"].roc_auc == 0.0
 
 
@@ -85,3 +96,22 @@ def test_clinical_scan_nan(spark, tmp_path):
     r = df.orderBy("ID").collect()
     assert r[0].MMSE is None and r[0].Subject_ID == "OAS1_0001_MR1" and r[0].dataset == "cross-sectional"
     assert df.where(F.col("MMSE").isNull()).count() == 1
+
+
+def test_all_models_survive_a_round_trip(spark, monkeypatch):
+    monkeypatch.setattr(C, "ADA_ROUNDS", 3)
+    for params in (C.RF_PARAMS, C.XGB_PARAMS, C.GB_PARAMS):
+        monkeypatch.setitem(params, "maxDepth", 2)
+        monkeypatch.setitem(params, "numTrees" if "numTrees" in params else "maxIter", 3)
+    rng = np.random.default_rng(0)
+    rows = [(i, float(a), float(b), int(a + b > 0)) for i, (a, b) in enumerate(rng.normal(size=(60, 2)))]
+    df = spark.createDataFrame(rows, "id long, x double, y double, target int")
+    from cohortlab.models.knn import fit_knn
+    for kind in C.MODEL_TYPES:
+        f = fit_knn(df, ["x", "y"], "target", train_key="id") if kind == "knn" else (
+            C.fit_svm(df, ["x", "y"], n_components=8) if kind == "svm" else C.fit(kind, df, ["x", "y"]))
+        g = sinks.load_model(spark, sinks.save_model(f, sinks.scratch_path(spark, f"t-{kind}"), spark))
+        assert g.model_type == kind and g.features == ["x", "y"]
+        score = lambda m: {r.id: r.p1 for r in (m.predict_fn(df, "id") if kind == "knn" else m.transform(df)).collect()}
+        a, b = score(f), score(g)
+        assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], abs=1e-12) for i in a), kind
