@@ -7,12 +7,12 @@ below a rank at which about k ln k + 2k darts are expected, however many element
 the k coordinates is the signature, and two texts agree in a coordinate with the probability of their weighted Jaccard
 similarity. Rows of coordinates form bands; texts that share a band meet in a bucket.
 
-Equal texts collapse to one node first. Buckets with the same members count once. Buckets of two give a pair; larger
-ones are read in blocks that share the bucket's centre, and give a spanning forest of the most alike signatures instead
-of all pairs. Pairs are verified by the exact similarity of the whole shingle sets. In buckets whose members then still
-lie in several components, all pairs across components whose signatures allow the similarity are verified too, block
-against block. So links are lost only where a band or, by four standard deviations, a signature errs: with 26 bands of 5,
-1 in 30,000 at a similarity of 0.8.
+Equal texts collapse to one node first. Buckets with the same members count once. Small buckets give a spanning forest of
+their most alike signatures, buckets of more than a block a star: linear in their members, never all pairs. The families
+that these edges span hold every pair that shares a band. Each family is then compared block against block: signatures
+rule out the pairs that cannot reach the similarity (by four standard deviations), whole shingle sets decide the others,
+and a task returns a spanning forest of its links. So links are lost only where the bands miss: with 26 bands of 5, one in
+30,000 at a similarity of 0.8, and fewer in families, whose members meet all others.
 
 Defined cases: null text counts as empty; texts below five words are one shingle; texts without words are alike only if
 equal; rows with equal texts are one class; a class id is the smallest id in it (null only if it has none), rows that
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import col, components, cut, text_of, tidy_name
+from cohortlab.llm.common import col, components, cut, stored, text_of, tidy_name
 
 BANDS, ROWS, SHINGLE, BLOCK = 26, 5, 5, 512
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
@@ -209,49 +209,19 @@ def near_texts(df: DataFrame, key: str = "doc_id", text: str = "text", similarit
     members = cut(spread.join(buckets.where("n > 2").select("bucket", "n", "centre"), "bucket")
                   .join(nodes.select("node", "sig"), "node"))
 
-    # blocks of a bucket share its centre
-    chunks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    own = F.array(F.pmod(F.hash("node"), chunks))
-    blocks = (members.withColumn("chunk", F.explode(F.when(F.col("node") == F.col("centre"), F.sequence(F.lit(0), chunks - 1)).otherwise(own)))
-              .select("bucket", "chunk", "node", "sig"))
-
     def forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _grouped(frames, ["bucket", "chunk"]):
+        for pdf in _grouped(frames, ["bucket"]):
             got = _forest_pairs(pdf["node"].to_numpy(), _sigs(pdf), least)
             if got:
-                yield pd.DataFrame({"a": [min(p) for p in got], "b": [max(p) for p in got]})
-
-    def ordered(frame: DataFrame, *by: str) -> DataFrame:
-        return frame.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by, "node")
-
-    first = cut(pairs.unionByName(ordered(blocks, "bucket", "chunk").mapInPandas(forest, "a long, b long")).distinct())
-    links = verify(df, first, text, similarity, size, counted)
+                yield pd.DataFrame(got, columns=["a", "b"])
+
+    small = members.where(F.col("n") <= BLOCK).repartition("bucket").sortWithinPartitions("bucket", "node")
+    edges = (pairs.unionByName(small.select("bucket", "node", "sig").mapInPandas(forest, "a long, b long"))
+             .unionByName(members.where((F.col("n") > BLOCK) & (F.col("node") != F.col("centre")))
+                          .select(F.col("centre").alias("a"), F.col("node").alias("b"))))
+    family = components(edges)
+    links = link_families(df, family, nodes.select("node", "sig"), text, similarity, least, size, counted)
     label = components(links)
-
-    # buckets that still hold several components: all plausible pairs across them
-    named = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"))
-    chunked = (named.join(mixed, "bucket").withColumn("chunk", F.pmod(F.hash("node"), chunks))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-               .withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
-               .select("bucket", "lo", "hi", "chunk", "node", "component", "sig"))
-
-    def across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _grouped(frames, ["bucket", "lo", "hi"]):
-            node, comp, sig, side = pdf["node"].to_numpy(), pdf["component"].to_numpy(), _sigs(pdf), pdf["chunk"].to_numpy()
-            same = pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
-            i = np.arange(len(node)) if same else np.flatnonzero(side == pdf["lo"].iloc[0])
-            j = np.arange(len(node)) if same else np.flatnonzero(side == pdf["hi"].iloc[0])
-            for a in range(0, len(i), 64):
-                p, q = np.nonzero((_alike(sig[i[a:a + 64]], sig[j]) >= least) & (comp[i[a:a + 64], None] != comp[None, j]))
-                if len(p):
-                    u, v = node[i[a:a + 64]][p], node[j][q]
-                    yield pd.DataFrame({"a": np.minimum(u, v), "b": np.maximum(u, v)})
-
-    second = cut(ordered(chunked, "bucket", "lo", "hi").mapInPandas(across, "a long, b long").distinct()
-                 .join(first, ["a", "b"], "left_anti"))
-    more = verify(df, second, text, similarity, size, counted)
-    label = components(links.unionByName(more))
     classes = nodes.select("h0", "h1", "node", "rep").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = classes.groupBy("component").agg(F.min("rep").alias("class_id"))
     classes = classes.join(names, "component").select("h0", "h1", "class_id")
@@ -259,11 +229,10 @@ def near_texts(df: DataFrame, key: str = "doc_id", text: str = "text", similarit
             .select(F.col("id").alias(key), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")))
 
 
-def verify(df: DataFrame, pairs: DataFrame, text: str, similarity: float, size: int, counted: bool) -> DataFrame:
-    """The pairs (a, b) of text nodes whose exact similarity reaches ``similarity``."""
+def _sets(df: DataFrame, wanted: DataFrame, text: str, size: int, counted: bool) -> DataFrame:
+    """(node, items): the sorted shingle hashes of the wanted text nodes; ``counted``: one item for each copy."""
     t = text_of(text)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    src = (df.select(F.xxhash64(F.xxhash64(t), F.xxhash64(F.lit(1), t)).alias("node"), t.alias("t")).join(wanted, "node", "left_semi"))
+    src = df.select(F.xxhash64(F.xxhash64(t), F.xxhash64(F.lit(1), t)).alias("node"), t.alias("t")).join(wanted, "node", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,7 +242,7 @@ def verify(df: DataFrame, pairs: DataFrame, text: str, similarity: float, size:
                     done.add(node)
                     element, count = shingles(t, size)
                     if counted:
-                        element = _mix(np.repeat(element, count) + np.concatenate([np.arange(c, dtype=np.uint64) for c in count]) * _M3)
+                        element = np.unique(_mix(np.repeat(element, count) + np.concatenate([np.arange(c, dtype=np.uint64) for c in count]) * _M3))
                     at.append(i)
                     sets.append(element.view(np.int64))
             ends = np.cumsum([0, *map(len, sets)])
@@ -281,11 +250,67 @@ def verify(df: DataFrame, pairs: DataFrame, text: str, similarity: float, size:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())),
                                               pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["node", "items"])
 
-    sets = cut(src.mapInArrow(run, "node long, items array<long>").groupBy("node").agg(F.first("items").alias("items")))
-    both = F.size(F.array_intersect("x", "y"))
-    return cut(pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-               .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-               .where(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b"))
+    return src.mapInArrow(run, "node long, items array<long>").groupBy("node").agg(F.first("items").alias("items"))
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Items that two sets without repeats share."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _links(node: np.ndarray, sig: np.ndarray, items: list, i: np.ndarray, j: np.ndarray, similarity: float,
+           least: float) -> list[tuple[int, int]]:
+    """Spanning forest of the links between the rows ``i`` and ``j`` of a block pair (the same rows: within them)."""
+    root, out, sizes = list(range(len(node))), [], np.array([len(x) for x in items])
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    like = _alike(sig[i], sig[j])
+    if len(i) == len(j) and (i == j).all():
+        like = np.triu(like, 1)
+    p, q = np.nonzero(like >= least)
+    order = np.argsort(-like[p, q], kind="stable")
+    p, q = i[p[order]], j[q[order]]
+    fits = np.minimum(sizes[p], sizes[q]) >= similarity * np.maximum(sizes[p], sizes[q])
+    for a, b in zip(p[fits].tolist(), q[fits].tolist()):
+        x, y = find(a), find(b)
+        if x != y:
+            k = _common(items[a], items[b])
+            if k >= similarity * (sizes[a] + sizes[b] - k):
+                root[x] = y
+                out.append((node[a], node[b]))
+    return out
+
+
+def link_families(df: DataFrame, family: DataFrame, sigs: DataFrame, text: str, similarity: float, least: float, size: int,
+                  counted: bool) -> DataFrame:
+    """Forest edges (a, b) of the links within families (node, component), block against block."""
+    family = stored(family, "families")
+    sets = _sets(df, family.select("node"), text, size, counted)
+    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("chunks"))
+    full = (family.join(stored(sizes.where("chunks > 1"), "large-families"), "component", "left")
+            .withColumn("chunks", F.coalesce("chunks", F.lit(1))).join(sigs, "node").join(sets, "node"))
+    dealt = (full.withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
+             .select("component", "lo", "hi", "chunk", "node", "sig", "items"))
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _grouped(frames, ["component", "lo", "hi"]):
+            node, side = pdf["node"].to_numpy(), pdf["chunk"].to_numpy()
+            lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+            got = _links(node, _sigs(pdf), pdf["items"].tolist(), np.flatnonzero(side == lo), np.flatnonzero(side == hi), similarity, least)
+            if got:
+                yield pd.DataFrame(got, columns=["a", "b"])
+
+    by = ("component", "lo", "hi")
+    return cut(dealt.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by, "node").mapInPandas(compare, "a long, b long"))
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
