@@ -316,5 +316,5 @@ def link_families(df: DataFrame, family: DataFrame, sigs: DataFrame, text: str,
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
     """The rows of ``df`` that represent their class (all rows of its smallest id); columns as they are."""
     mark = tidy_name(df, "gone")
-    gone = near_texts(df, key, text, similarity).where("NOT kept").select(F.col(key).alias(mark)).distinct()
+    gone = stored(near_texts(df, key, text, similarity).where("NOT kept").select(F.col(key).alias(mark)).distinct(), "near-copies")
     return df.join(gone, col(key).cast("long") == F.col(mark), "left_anti")
