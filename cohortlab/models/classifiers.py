@@ -13,7 +13,7 @@
   round on a checkpointed, binned frame (see :func:`fit_adaboost`).
 * svm: RBF kernel approximated by random Fourier features (gamma = 1 / (d var X),
   seeded, Arrow-batched pandas UDF), LinearSVC, then Platt scaling.
-* knn lives in :mod:`cohortlab.models.knn` (exact, size-checked broadcast).
+* knn lives in :mod:`cohortlab.models.knn` (exact, blocked).
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ def spark_ml_fitted(model_type: str, model, features: list[str]) -> Fitted:
 
 def fit(model_type: str, train: DataFrame, features: list[str], label: str = "target", seed: int = 42) -> Fitted:
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Unknown model type: {model_type}")
+        raise ValueError(f"no model is called {model_type!r}; there are {MODEL_TYPES}")
     common = dict(featuresCol=VEC, labelCol=label)
     if model_type == "random_forest":
         return _spark_ml(model_type, RandomForestClassifier(seed=seed, **common, **RF_PARAMS), train, features, label)

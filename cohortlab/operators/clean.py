@@ -26,7 +26,7 @@ def detect_target(df: DataFrame, candidates=TARGET_CANDIDATES) -> str:
     for c in candidates:
         if c in df.columns:
             return c
-    raise ValueError(f"No target column found. Looking for: {list(candidates)}")
+    raise ValueError(f"the frame has none of the target columns {list(candidates)}")
 
 
 def feature_columns(df: DataFrame, target: str, exclude=ID_COLUMNS) -> list[str]:

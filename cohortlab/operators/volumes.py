@@ -2,9 +2,8 @@
 
 Intensities live in the slab ``values`` arrays. Statistics explode only the
 values they need and aggregate per session with partial aggregation; exact
-percentiles keep a value → count map per session (bounded by the number of
-distinct intensities of one image), or use ``accuracy=`` for the approximate
-sketch.
+percentiles rank counted values (see ``quantiles``), or use ``accuracy=`` for
+the approximate sketch.
 """
 
 from __future__ import annotations
@@ -81,27 +80,38 @@ def mid_slices(slabs: DataFrame, meta: DataFrame, values: str = "labels") -> Dat
     return j.select("session_id", F.inline(F.concat(F.coalesce(axial, none), coronal, sagittal)))
 
 
-def session_qc(sessions: DataFrame, images: dict[str, tuple[DataFrame, str]], key: str = "session_id") -> DataFrame:
+def session_qc(sessions: DataFrame, images: dict[str, tuple], key: str = "session_id") -> DataFrame:
     """Per session, per image type: status and foreground stats; qc_pass and error list.
 
-    ``images`` maps an image type to (slabs, values column). A missing image
-    gives status ``missing`` and an error entry but does NOT fail qc_pass;
-    only ``failed`` / ``error`` do.
+    ``images`` maps an image type to (slabs, values column) or (slabs, values column, meta) with the reader's
+    meta rows (session_id, status, error, dims, zooms). A missing image gives status ``missing`` and an error entry
+    but does NOT fail qc_pass; a status of ``failed`` or ``error`` in meta does. With meta, the shape and the voxel
+    sizes of good images are added.
     """
     s = sessions.select(F.col(q(key)).alias("session_id")).distinct()
     out = s
     statuses, errors = [], []
-    for t, (sl, col) in images.items():
+    for t, (sl, col, *more) in images.items():
         have = sl.select("session_id").distinct().withColumn(f"__has_{t}", F.lit(True))
         fg = foreground_stats(s, sl, col)
         fg = fg.select("session_id", *[F.col(c).alias(f"{t}_{c}") for c in fg.columns if c != "session_id"])
         out = out.join(have, "session_id", "left").join(fg, "session_id", "left")
         st = F.when(F.col(f"__has_{t}"), "success").otherwise("missing")
+        if more:  # one row a session; a broken file wins over a good one
+            told = more[0].groupBy("session_id").agg(
+                F.max(F.when(F.col("status") != "success", F.struct("status", "error"))).alias(f"__bad_{t}"),
+                F.max("dims").alias(f"{t}_shape"), F.max("zooms").alias(f"{t}_voxel_dims"))
+            out = out.join(told, "session_id", "left")
+            st = F.coalesce(F.col(f"__bad_{t}.status"), st)
         out = out.withColumn(f"{t}_status", st).drop(f"__has_{t}")
         for c in FOREGROUND_STATS + ("nonzero_voxels",):
             out = out.withColumn(f"{t}_{c}", F.when(F.col(f"{t}_status") == "success", F.col(f"{t}_{c}")))
         statuses.append(F.col(f"{t}_status"))
-        errors.append(F.when(F.col(f"{t}_status") == "missing", F.lit(f"{t} file missing")))
+        said = F.when(F.col(f"{t}_status") == "missing", F.lit(f"{t} file missing"))
+        if more:
+            out = out.withColumn(f"{t}_error", F.col(f"__bad_{t}.error")).drop(f"__bad_{t}")
+            said = said.when(F.col(f"{t}_error").isNotNull(), F.concat(F.lit(f"{t}: "), F.col(f"{t}_error")))
+        errors.append(said)
     bad = F.lit(False)
     for st in statuses:
         bad = bad | st.isin("failed", "error")

@@ -177,9 +177,11 @@ def decode_volume(header: bytes, data: bytes | None = None):
 
 def _decode_batches(batches):
     for pdf in batches:
-        rows = []
         for r in pdf.itertuples(index=False):
+            rows = []  # one file's rows at a time
             try:
+                if r.data is None and not r.nii:
+                    raise FileNotFoundError("the header has no data file")
                 arr, zooms, affine = decode_volume(bytes(r.header), None if r.data is None else bytes(r.data))
                 nx, ny, nz = arr.shape
                 rows.append((r.session_id, "meta", None, None, None, None, None, [nx, ny, nz], zooms, affine,
@@ -191,8 +193,8 @@ def _decode_batches(batches):
             except Exception as e:  # noqa: BLE001 - a broken file becomes a status row
                 rows.append((r.session_id, "meta", None, None, None, None, None, None, None, None, "error",
                              f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["session_id", "kind", "k", "ni", "nj", "labels", "values", "dims",
-                                          "zooms", "affine", "status", "error"])
+            yield pd.DataFrame(rows, columns=["session_id", "kind", "k", "ni", "nj", "labels", "values", "dims",
+                                              "zooms", "affine", "status", "error"])
 
 
 def read_volumes(spark: SparkSession, root: str, session_re: str = r"(OAS1_\d+_MR\d+)",
@@ -203,16 +205,18 @@ def read_volumes(spark: SparkSession, root: str, session_re: str = r"(OAS1_\d+_M
     ``meta`` row with status 'error'. ``.nii`` / ``.nii.gz`` single files work
     with ``header_glob='*.nii*'``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    def read(glob: str) -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+
     p = F.col("path")
     is_nii = p.rlike(r"\.nii(\.gz)?$")
-    hdr = files.where(p.endswith(".hdr") | is_nii).select(
+    hdr = read(header_glob).select(
         F.regexp_extract(p, session_re, 1).alias("session_id"),
         F.regexp_replace(p, r"\.(hdr|nii(\.gz)?)$", "").alias("stem"), F.col("content").alias("header"), is_nii.alias("nii"))
-    img = files.where(p.endswith(".img")).select(F.regexp_replace(p, r"\.img$", "").alias("stem"),
+    img = read("*.img").select(F.regexp_replace(p, r"\.img$", "").alias("stem"),
                                                   F.col("content").alias("data"))
-    pairs = hdr.join(img, "stem", "left").where(F.col("nii") | F.col("data").isNotNull())
-    return pairs.select("session_id", "header", "data").mapInPandas(_decode_batches, VOLUME_SCHEMA)
+    pairs = hdr.join(img, "stem", "left")  # a header without its data file keeps a row, and becomes a status
+    return pairs.select("session_id", "header", "data", "nii").mapInPandas(_decode_batches, VOLUME_SCHEMA)
 
 
 def split_volumes(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -29,10 +29,20 @@ def test_volume_decode(spark, tmp_path):
     d.mkdir(parents=True)
     arr = np.arange(24).reshape((4, 3, 2), order="F") % 4
     _analyze_pair(str(d), "OAS1_0001_MR1_fseg", arr, (1.0, 2.0, 3.0))
-    with open(str(d / "OAS1_0002_MR1_fseg.hdr"), "wb") as f:   # header without data file: skipped
+    other = tmp_path / "disc1" / "OAS1_0002_MR1"
+    other.mkdir()
+    with open(str(other / "OAS1_0002_MR1_fseg.hdr"), "wb") as f:   # header without data file: a status row
         f.write(b"\x00" * 348)
     slabs, meta = files.split_volumes(files.read_volumes(spark, str(tmp_path)))
-    m = meta.first()
+    bad = meta.where("status <> 'success'").collect()
+    assert [(r.session_id, r.status) for r in bad] == [("OAS1_0002_MR1", "error")] and "data file" in bad[0].error
+    from cohortlab.operators.volumes import qc_summary, session_qc
+    sessions = spark.createDataFrame([("OAS1_0001_MR1",), ("OAS1_0002_MR1",), ("OAS1_0003_MR1",)], "session_id string")
+    qc = session_qc(sessions, {"seg": (slabs, "values", meta)})
+    got = {r.session_id[5:9]: (r.seg_status, r.qc_pass, r.seg_shape) for r in qc.collect()}
+    assert got == {"0001": ("success", True, [4, 3, 2]), "0002": ("error", False, None), "0003": ("missing", True, None)}
+    assert tuple(qc_summary(qc).first()) == (3, 2, 1)
+    m = meta.where("status = 'success'").first()
     assert m.session_id == "OAS1_0001_MR1" and m.dims == [4, 3, 2] and m.zooms == [1.0, 2.0, 3.0]
     assert m.affine[0] == -1.0 and m.status == "success"
     got = {r.k: r.labels for r in slabs.collect()}
