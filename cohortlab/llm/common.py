@@ -10,9 +10,21 @@ from pyspark.sql import functions as F
 from cohortlab.session import ensure_checkpoint_dir, ship_package
 
 
+#: Rows of an Arrow batch: documents are long, and Python workers keep the memory of their largest batch.
+BATCH_ROWS = 1_000
+
+
+def ready(spark: SparkSession) -> None:
+    """Give the workers the package, and Arrow batches that fit documents where the session has Spark's default."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark (the path may be of any store that Spark knows)."""
-    ship_package(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

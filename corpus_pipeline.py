@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.llm import mixing, pii, quality, text_dedup
-from cohortlab.llm.common import col, crc_mod, shared_folder, table, text_of, tidy_name, tokenizer
+from cohortlab.llm.common import col, crc_mod, ready, shared_folder, table, text_of, tidy_name, tokenizer
 from cohortlab.llm.sentencepiece_codec import encode_decode
-from cohortlab.session import ship_package
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of good quality is 0.7 or more; trained on all of them but the held-out quarter."""
-    ship_package(spark)
+    ready(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
     mark = tidy_name(docs, "quality")
     return quality.score(docs, model, out=mark).where(col(mark) >= 0.7).drop(mark)
@@ -29,13 +28,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest id."""
-    ship_package(spark)
+    ready(spark)
     return text_dedup.keep_one(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind, and n_chars counted anew."""
-    ship_package(spark)
+    ready(spark)
     mark = tidy_name(docs, "spans")
     clean = pii.redact(pii.find_personal(docs, out=mark), mark).drop(mark)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
@@ -43,7 +42,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture of sources with as many tokens as there are: documents repeat or rest by their source's weight."""
-    ship_package(spark)
+    ready(spark)
     names = [tidy_name(docs, f"mix{i}") for i in range(len(docs.columns))]  # the mixture's own names are free then
     mixed = mixing.mix(docs.toDF(*names), *(names[docs.columns.index(c)] for c in ("doc_id", "source", "text")))
     return mixed.drop("mix_epoch", "mix_block", "mix_order").toDF(*docs.columns)
@@ -51,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    ship_package(spark)
+    ready(spark)
     src = docs.select("doc_id", "source", text_of("text").alias("text"))
     return (encode_decode(src, tokenizer("piece_bpe_32k.model"), decoded=None)
             .select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"))
