@@ -36,7 +36,8 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts at once: bucket and word of every n-gram, and the text of every word."""
-    codes = np.frombuffer("\0".join(["", *(t.lower() for t in texts), ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    plain = (t.lower().replace("\0", " ") for t in texts)  # U+0000 parts texts here, and words as a blank does
+    codes = np.frombuffer("\0".join(["", *plain, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     text = np.cumsum(codes == 0) - 1
     wordy = _WORDY[np.minimum(codes, len(_WORDY) - 1)]
     c = np.where(wordy, codes, 0).astype(np.uint64)

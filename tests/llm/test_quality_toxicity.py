@@ -50,6 +50,16 @@ def test_misspellings_share_vectors():
     assert (m.predict(unseen) >= 0.5).mean() > 0.9 and (m.predict(texts[250:]) < 0.5).mean() > 0.9
 
 
+def test_nul_characters_within_texts_part_words_only():
+    texts = ["aa\0bb cc dd\0", "ee ff", "gg hh", "\0ii jj", "kk\0\0ll mm"]
+    blank = [t.replace("\0", " ") for t in texts]
+    m = toxicity.SubwordModel(np.random.default_rng(3).normal(size=toxicity.BUCKETS).astype(np.float32), 0.1)
+    assert m.predict(texts).tolist() == m.predict(blank).tolist() == [m.predict([t])[0] for t in blank]
+    marked = [f"{t} bad" if i % 2 else t for i, t in enumerate(texts * 20)]
+    y = np.array([float(i % 2) for i in range(len(marked))])
+    assert (toxicity.fit(marked, y).table == toxicity.fit([t.replace("\0", " ") for t in marked], y).table).all()
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, odd, none):
     labels = spark.createDataFrame([(5, 1), (5, 1), (6, None), (None, 1), (9, 0), (10, 0)], "doc_id long, toxic int")
     m = toxicity.train(odd, labels, crc_mod("doc_id", 5) >= 0)
