@@ -15,8 +15,9 @@ and a task returns a spanning forest of its links. So links are lost only where
 30,000 at a similarity of 0.8, and fewer in families, whose members meet all others.
 
 Defined cases: null text counts as empty; texts below five words are one shingle; texts without words are alike only if
-equal; rows with equal texts are one class; a class id is the smallest id in it (null only if it has none), rows that
-repeat an id are all rows of that id. Extra columns are not read by ``near_texts``, and pass through ``keep_one``.
+equal; rows with equal texts are one class; a class id is the smallest id in it (null only if it has none). ``near_texts``
+marks all rows of that id as kept; ``keep_one`` keeps the rows of that id with one text of the class (ids may repeat with
+other texts), or one row of a class without an id. Extra columns are not read by ``near_texts``, and pass through ``keep_one``.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.llm.common import col, components, cut, stored, text_of, tidy_name
@@ -118,10 +119,15 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _hashes(text: str) -> tuple[Column, Column]:
+    """The two hashes that name a text."""
+    return F.xxhash64(text_of(text)), F.xxhash64(F.lit(1), text_of(text))
+
+
 def sign(df: DataFrame, key: str, text: str, bands: int, rows: int, size: int, counted: bool) -> DataFrame:
     """(id, h0, h1, sig, bands): key, two hashes of the text, a byte of every coordinate and the band hashes."""
-    t = text_of(text)
-    src = df.select(col(key).cast("long").alias("id"), F.xxhash64(t).alias("h0"), F.xxhash64(F.lit(1), t).alias("h1"), t.alias("t"))
+    h0, h1 = _hashes(text)
+    src = df.select(col(key).cast("long").alias("id"), h0.alias("h0"), h1.alias("h1"), text_of(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,6 +202,13 @@ def _sigs(pdf: pd.DataFrame) -> np.ndarray:
 def near_texts(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, bands: int = BANDS,
                rows: int = ROWS, size: int = SHINGLE, counted: bool = False) -> DataFrame:
     """(key, class_id, kept) for every row. ``counted``: elements weigh their counts (multisets) instead of 1."""
+    return (_classes(df, key, text, similarity, bands, rows, size, counted)
+            .select(F.col("id").alias(key), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")))
+
+
+def _classes(df: DataFrame, key: str, text: str, similarity: float, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE,
+             counted: bool = False) -> DataFrame:
+    """(id, h0, h1, class_id, head) for every row; ``head``: the row has the id and text that represent its class."""
     least = similarity - 4 * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     signed = cut(sign(df, key, text, bands, rows, size, counted))
     nodes = cut(signed.groupBy("h0", "h1").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
@@ -223,10 +236,11 @@ def near_texts(df: DataFrame, key: str = "doc_id", text: str = "text", similarit
     links = link_families(df, family, nodes.select("node", "sig"), text, similarity, least, size, counted)
     label = components(links)
     classes = nodes.select("h0", "h1", "node", "rep").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = classes.groupBy("component").agg(F.min("rep").alias("class_id"))
-    classes = classes.join(names, "component").select("h0", "h1", "class_id")
+    names = classes.groupBy("component").agg(
+        F.min("rep").alias("class_id"), F.min(F.struct(F.col("rep").isNull().alias("bare"), "rep", "h0", "h1")).alias("top"))
+    classes = classes.join(names, "component").select("h0", "h1", "class_id", (F.struct("h0", "h1") == F.struct("top.h0", "top.h1")).alias("own"))
     return (signed.select(F.col("id"), "h0", "h1").join(classes, ["h0", "h1"])
-            .select(F.col("id").alias(key), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")))
+            .select("id", "h0", "h1", "class_id", (F.col("own") & F.col("id").eqNullSafe(F.col("class_id"))).alias("head")))
 
 
 def _sets(df: DataFrame, wanted: DataFrame, text: str, size: int, counted: bool) -> DataFrame:
@@ -314,7 +328,14 @@ def link_families(df: DataFrame, family: DataFrame, sigs: DataFrame, text: str,
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
-    """The rows of ``df`` that represent their class (all rows of its smallest id); columns as they are."""
-    mark = tidy_name(df, "gone")
-    gone = stored(near_texts(df, key, text, similarity).where("NOT kept").select(F.col(key).alias(mark)).distinct(), "near-copies")
-    return df.join(gone, col(key).cast("long") == F.col(mark), "left_anti")
+    """The document of ``df`` that represents each class: all rows that have its id and text, or one row where the class
+    has no id; columns as they are."""
+    marks = [tidy_name(df, m) for m in ("id", "h0", "h1")]
+    own, h0, h1 = marks
+    wide = df.withColumns(dict(zip(marks, (col(key).cast("long"), *_hashes(text)))))
+    found = _classes(df, key, text, similarity).where("NOT head OR id IS NULL").select("id", "h0", "h1", "head").distinct()
+    found = stored(found.toDF(*marks, "head"), "near-copies")
+    gone = found.where(col(own).isNotNull()).drop("head")
+    bare = found.where(col(own).isNull() & F.col("head")).select(h0, h1)
+    return (wide.where(col(own).isNotNull()).join(gone, marks, "left_anti").select(*map(col, df.columns))
+            .union(wide.where(col(own).isNull()).dropDuplicates([h0, h1]).join(bare, [h0, h1], "left_semi").select(*map(col, df.columns))))

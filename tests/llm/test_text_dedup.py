@@ -79,3 +79,12 @@ def test_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 3, 4, 5, 7, 8, 9, 9, 10]
     assert near_texts(none).count() == 0 and keep_one(none).count() == 0
+
+
+def test_one_document_stays_where_ids_repeat_or_are_missing(spark):
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(rng.choices([f"w{i}" for i in range(400)], k=80)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (None, f"{c} end"), (3, d), (3, f"{d} end"), (4, d), (None, None), (None, "")]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    stays = sorted((r.doc_id or 0, (r.text or "")[:-4] if (r.text or "").endswith(" end") else r.text or "") for r in got)
+    assert stays == sorted([(1, a), (2, b), (0, c), (3, d), (0, "")])
