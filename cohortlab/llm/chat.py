@@ -11,7 +11,8 @@ for states; then each segment is decoded between the states at its ends. Those p
 one vector, so a conversation of any length is exact and is never gathered.
 
 Defined cases: null text counts as an empty line; rows without a conversation id are a conversation each; rows that
-repeat id and turn follow each other by a hash of their text; a null turn comes first; roles that are not known are
+repeat id and turn follow each other by a hash of their text; a null turn comes first; only a marker of the decoded role
+is taken off a turn, so an unmarked turn that opens with such a marker's words (an answer 'A) ...') reads as marked; roles that are not known are
 written without a marker and do not train; an empty table gives an empty result; extra columns are not read.
 """
 
@@ -40,11 +41,17 @@ _ROLE_OF = {w: r for r, words in SPEAKERS.items() for w in words}
 
 
 def split_marker(line: str) -> tuple[str, str]:
-    """(role, 'other' or '', the rest) of a line that may open with a speaker marker."""
+    """(role, 'other' or '', the rest) of a line that may open with a speaker marker; a small 'a' or 'q' names a list item."""
     m = _MARKER(line)
     if not m or len(m[1]) > 14:
         return "", line
-    return _ROLE_OF.get(m[1].lower(), "other"), line[m.end():]
+    return "other" if m[1] in ("a", "q") else _ROLE_OF.get(m[1].lower(), "other"), line[m.end():]
+
+
+def said(line: str, role: str) -> str:
+    """A turn's first line without the marker of its role; any other opening is part of the text."""
+    marker, rest = split_marker(line)
+    return rest if marker == role else line
 
 
 def symbol(line: str, before: str | None) -> str:
@@ -229,7 +236,7 @@ def parse(transcripts: DataFrame, model: RoleModel, segment: int = 512) -> DataF
             for i, s in enumerate(path):
                 if s % 2 == 0 or i == 0:
                     rows.append([*where[i], s // 2, s % 2 == 1, []])
-                rows[-1][5].append(split_marker(lines[i])[1] if s % 2 == 0 else lines[i])
+                rows[-1][5].append(said(lines[i], ROLES[s // 2]) if s % 2 == 0 else lines[i])
             texts = ["\n".join(r[5]).strip("\n") for r in rows]
             yield pd.DataFrame({"id": pdf["id"].iloc[0], "start_turn": pd.array([r[0] for r in rows], "Int64"), "start_line": [r[1] for r in rows],
                                 "role": [ROLES[r[3]] for r in rows], "continues": [r[4] for r in rows], "source_role": [r[2] for r in rows],

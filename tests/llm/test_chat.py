@@ -31,6 +31,23 @@ def test_markers():
     assert chat.split_marker("plain line") == ("", "plain line") and chat.split_marker("") == ("", "")
 
 
+def test_only_the_marker_of_the_role_is_taken_off():
+    assert chat.said("User: hi", "user") == "hi" and chat.said("A: yes", "assistant") == chat.said("[Bot] yes", "assistant") == "yes"
+    for line in ("Note: hi", "Step 2: hi", "**Bold** text", "- item: hi", "a) first", "User: hi", "plain"):
+        assert chat.said(line, "assistant") == line
+
+
+def test_unmarked_turns_keep_their_openings(spark, model):
+    openings = ["Note: ", "Step 2: ", "**Bold** ", "- item: ", "a) ", "PS> ", ""]
+    rows = [(c, t, role, openings[(c + t) % 7] + text) for c, t, role, text in talks(14, 6, seed=3)]
+    raw = chat.as_transcript(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), missing=1)
+    got = {}
+    for r in sorted(chat.parse(raw, model).collect(), key=lambda r: (r.id, r.start_turn, r.start_line)):
+        assert r.rendered == f"<|{r.role}|>\n{r.text}\n"
+        got.setdefault(r.id, []).append(r.text)
+    assert {c: "\n".join(t) for c, t in got.items()} == {c: "\n".join(x[3] for x in rows if x[0] == c) for c in range(14)}
+
+
 def test_viterbi_is_the_best_of_all_paths(model):
     from itertools import product
 
