@@ -41,11 +41,14 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture of sources with as many tokens as there are: documents repeat or rest by their source's weight."""
+    """The mixture of sources with as many tokens as there are: documents repeat or rest by their source's weight,
+    and stand in the mixture's order, so that a stretch of rows holds the sources in proportion."""
     ready(spark)
     names = [tidy_name(docs, f"mix{i}") for i in range(len(docs.columns))]  # the mixture's own names are free then
     mixed = mixing.mix(docs.toDF(*names), *(names[docs.columns.index(c)] for c in ("doc_id", "source", "text")))
-    return mixed.drop("mix_epoch", "mix_block", "mix_order").toDF(*docs.columns)
+    place = ("mix_block", "mix_order")
+    dealt = mixed.repartitionByRange(*place).sortWithinPartitions(*place)
+    return dealt.drop("mix_epoch", *place).toDF(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

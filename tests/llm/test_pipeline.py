@@ -9,7 +9,7 @@ import test_pii as brute_pii
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
-from cohortlab.llm import quality
+from cohortlab.llm import mixing, quality
 from cohortlab.llm.common import crc_mod, table, tokenizer
 from cohortlab.llm.sentencepiece_codec import model
 from llm_samples import SF, needs_data
@@ -50,6 +50,13 @@ def test_stages_on_odd_rows(spark, odd, none):
     assert cp.STAGES[-1][1](spark, odd, SF).count() == odd.count()
 
 
+def test_mixing_writes_the_mixtures_order(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "IF(id < 2400, 'a', 'b') AS source", "repeat('w ', 1000) AS text").cache()
+    got = [r.doc_id for r in cp.mix_sources(spark, docs, SF).collect()]
+    planned = mixing.mix(docs).orderBy("mix_block", "mix_order").select("doc_id", "mix_block").collect()
+    assert len({r.mix_block for r in planned}) == 3 and got == [r.doc_id for r in planned]
+
+
 def test_registered(spark):
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
