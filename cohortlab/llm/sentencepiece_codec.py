@@ -8,8 +8,8 @@ of an Arrow batch work off their agendas together, one row of a numpy matrix eac
 heap, so a unit of any length costs n log n. Units repeat, so each Python worker keeps a bounded table of solved
 units.
 
-A share of the rows of every Arrow batch (``check_every``) is encoded and decoded by the sentencepiece library as
-well; a difference raises an error that names the row.
+The distinct texts of every Arrow batch (or the share ``check_every`` of them) are encoded and decoded by the
+sentencepiece library as well; a difference raises an error that names the row.
 
 Defined cases: null text counts as empty; the empty text has no ids and decodes to itself; ids of null are empty.
 Extra columns pass through; the results' names must not be taken.
@@ -204,12 +204,12 @@ def model(path: str) -> MergeModel:
 
 
 def encode_decode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str | None = "decoded",
-                  check_every: int = 16) -> DataFrame:
+                  check_every: int = 1) -> DataFrame:
     """Add the ids of every whole text and, if named, the text decoded from them.
 
     ``model_path`` must be readable on every worker. ``check_every``: one row in so many, chosen by a checksum of
-    its text, is held against the library (1: all, 0: none). One pass over the rows, no shuffle; a worker holds
-    one Arrow batch.
+    its text, is held against the library (1: all, 0: none), copies in an Arrow batch once. One pass over the rows,
+    no shuffle; a worker holds one Arrow batch.
     """
     for name in filter(None, (ids, decoded)):
         if name.lower() in {c.lower() for c in df.columns}:
@@ -221,17 +221,18 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text", ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = model(model_path)
         for batch in batches:
-            found, ends, back = [], [0], []
+            found, ends, back, known = [], [0], [], {}
             texts = [t or "" for t in batch.column(place).to_pylist()]
             for t, got in zip(texts, codec.encode(texts)):
                 found.append(got)
                 ends.append(ends[-1] + len(got))
-                check = check_every and zlib.crc32(t.encode()) % check_every == 0
-                said = codec.decode(got) if decoded or check else None
+                if t not in known:
+                    check = check_every and zlib.crc32(t.encode()) % check_every == 0
+                    known[t] = said = codec.decode(got) if decoded or check else None
+                    if check and ((want := codec.library.encode(t)) != got.tolist() or codec.library.decode(want) != said):
+                        raise RuntimeError(f"codec and sentencepiece differ on {t[:200]!r}")
                 if decoded:
-                    back.append(said)
-                if check and ((want := codec.library.encode(t)) != got.tolist() or codec.library.decode(want) != said):
-                    raise RuntimeError(f"codec and sentencepiece differ on {t[:200]!r}")
+                    back.append(known[t])
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
             cols = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
             if decoded:

@@ -52,11 +52,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document, and a digest of the text decoded from them."""
     ready(spark)
     src = docs.select("doc_id", "source", text_of("text").alias("text"))
-    return (encode_decode(src, tokenizer("piece_bpe_32k.model"), decoded=None)
-            .select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"))
+    return (encode_decode(src, tokenizer("piece_bpe_32k.model"))
+            .select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                    F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256")))
 
 
 STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates), ("personal_data", hide_personal_data),

@@ -1,5 +1,6 @@
 """The pipeline against plain versions of its stages on a small table, and its stages on odd rows."""
 
+import hashlib
 import os
 
 import numpy as np
@@ -57,6 +58,13 @@ def test_mixing_writes_the_mixtures_order(spark):
     assert len({r.mix_block for r in planned}) == 3 and got == [r.doc_id for r in planned]
 
 
+def test_last_stage_decodes_every_document(spark):
+    docs = spark.createDataFrame([(1, "a", "Plain words."), (2, "a", "é😀  two  blanks"), (3, "b", None)], "doc_id long, source string, text string")
+    lib = model(tokenizer("piece_bpe_32k.model")).library
+    for r in cp.encode_tokens(spark, docs, SF).collect():
+        assert r.decoded_sha256 == hashlib.sha256(lib.decode(r.ids).encode()).hexdigest()
+
+
 def test_registered(spark):
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] and "pipeline" in names

@@ -1,6 +1,8 @@
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from cohortlab.llm.common import tokenizer
 from cohortlab.llm.sentencepiece_codec import encode_decode, model
@@ -47,3 +49,18 @@ def test_empty_table_and_taken_name(none, odd):
     assert encode_decode(none, PATH).count() == 0
     with pytest.raises(ValueError):
         encode_decode(odd, PATH, ids="TEXT")
+
+
+def test_every_distinct_text_is_held_against_the_library(monkeypatch):
+    class Rows:  # gives the function that Spark would run on Arrow batches
+        columns, schema = ["text"], T.StructType([T.StructField("text", T.StringType())])
+        mapInArrow = staticmethod(lambda run, schema: run)
+
+    texts = [f"text number {i} \0 with words" for i in range(40)]
+    batch = lambda t: iter([pa.RecordBatch.from_arrays([pa.array([t, t])], names=["text"])])
+    run = encode_decode(Rows, PATH)
+    assert all(b.num_rows == 2 for t in texts for b in run(batch(t)))
+    monkeypatch.setattr(type(model(PATH)), "decode", lambda self, ids: "wrong")
+    for t in texts:
+        with pytest.raises(RuntimeError):
+            list(run(batch(t)))
