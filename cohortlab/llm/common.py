@@ -36,6 +36,22 @@ def tidy_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def keep_clashes(df: DataFrame, *added: str) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with every column whose name is among ``added`` (without case) renamed by a trailing ``_in``, as often
+    as needed to be free, so that new columns of those names can be added; and the new names by the old ones."""
+    new, taken = {a.lower() for a in added}, {c.lower() for c in df.columns}
+    names, changed = [], {}
+    for c in df.columns:
+        name = c
+        if c.lower() in new:
+            while name.lower() in new or name.lower() in taken:
+                name += "_in"
+            taken.add(name.lower())
+            changed[c] = name
+        names.append(name)
+    return (df.toDF(*names) if changed else df), changed
+
+
 def col(name: str) -> Column:
     """A top-level column whose name may hold dots or spaces."""
     return F.col("`" + name.replace("`", "``") + "`")

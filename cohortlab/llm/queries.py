@@ -219,4 +219,18 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (chat.parse(raw, model).withColumnRenamed("id", "conv_id").withColumn("held_out", crc_mod("conv_id", 4) == 2))
 
 
+@register("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding, one row a component."""
+    from cohortlab.llm import whitening
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", 32)
+    error = whitening.identity_error(vectors, model)
+    share = F.array(*[F.lit(float(e / model.trace)) for e in model.values]) if len(model.values) else F.lit(None).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+                       "whitened", F.get(share, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -68,7 +68,7 @@ def test_last_stage_decodes_every_document(spark):
 def test_registered(spark):
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver test data not present")
