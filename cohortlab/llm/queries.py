@@ -233,4 +233,59 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "whitened", F.get(share, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
 
 
+OP13_SQL = """
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+         lambda r, step: xor(r >> 1, (r & 1) * 3988292384))), 4294967295) % 3 = 0 AS tampered
+  FROM documents),
+a AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+    END AS forged,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos FROM f),
+low AS (
+  SELECT lang, 0 AS lvl, list(leaf ORDER BY pos) AS nodes FROM a GROUP BY lang
+  UNION ALL
+  SELECT lang, lvl + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[i * 8 + 1:i * 8 + 8], ''))) FROM low WHERE len(nodes) > 1),
+roots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS lpos, lvl AS depth FROM low WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY lpos) AS nodes FROM roots
+  UNION ALL
+  SELECT lvl + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[i * 8 + 1:i * 8 + 8], ''))) FROM top WHERE len(nodes) > 1),
+w AS (
+  SELECT a.doc_id, a.lang, 0 AS step, coalesce(forged, leaf) AS node, '' AS proof, pos FROM a
+  UNION ALL
+  SELECT doc_id, lang, step + 1, sha256(concat(lhs, node, rhs)), concat(proof, lhs, rhs), spot // 8 FROM (
+    SELECT doc_id, lang, step, node, proof, spot, array_to_string(nodes[spot // 8 * 8 + 1:spot], '') AS lhs,
+      array_to_string(nodes[spot + 2:spot // 8 * 8 + 8], '') AS rhs
+    FROM (SELECT w.doc_id, w.lang, w.step, w.node, w.proof, CASE WHEN w.step = r.depth THEN r.lpos ELSE w.pos END AS spot,
+            coalesce(low.nodes, top.nodes) AS nodes
+          FROM w JOIN roots r ON r.lang IS NOT DISTINCT FROM w.lang
+          LEFT JOIN low ON low.lang IS NOT DISTINCT FROM w.lang AND low.lvl = w.step AND w.step < r.depth
+          LEFT JOIN top ON top.lvl = w.step - r.depth) x
+    WHERE len(nodes) > 1) y)
+SELECT a.doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM a JOIN roots ON roots.lang IS NOT DISTINCT FROM a.lang, (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1),
+  (SELECT doc_id, max_by(node, step) AS node, max_by(proof, step) AS proof FROM w GROUP BY doc_id) z
+WHERE z.doc_id = a.doc_id
+"""
+
+
+@register("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest, and the root that it gives with a third of the texts changed."""
+    from cohortlab.llm.merkle_manifest import fold, leaf_digest, lower_ascii, manifest, proof_digest
+
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", leaf_digest(*head, F.col("text")).alias("leaf"),
+        F.when(F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) == 0), leaf_digest(*head, lower_ascii(F.col("text")))).alias("forged"))
+    rows = manifest(docs, carry=("forged",)).withColumn("folded_root", fold(F.coalesce("forged", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
