@@ -288,4 +288,73 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_sql() -> str:
+    """Counts, votes, expectation-maximisation on lists, and verdicts."""
+    from cohortlab.llm.quality_rules import RULES, start
+
+    def ruled(r) -> str:
+        value, under = f"({r.over}) * 1000", f"({r.under})"
+        bad = [f"{value} < {r.bad_below} * {under}"] * (r.bad_below is not None) + [f"{value} > {r.bad_above} * {under}"] * (r.bad_above is not None)
+        good = [f"{value} >= {r.good_from} * {under}"] * (r.bad_below is not None) + [f"{value} <= {r.good_to} * {under}"] * (r.bad_above is not None)
+        return f"CASE WHEN {under} = 0 THEN 0 WHEN {' OR '.join(bad)} THEN -1 WHEN {' AND '.join(good)} THEN 1 ELSE 0 END"
+
+    first, kinds = start(RULES), list(dict.fromkeys(r.kind for r in RULES))
+    own = [[False] * len(RULES), *[[r.kind == k for r in RULES] for k in kinds]]
+    classes, rules = f"range(1, {len(own) + 1})", f"range(1, {len(RULES) + 1})"
+    only = lambda c: f"length(regexp_replace(t, '{c}', '', 'g'))"
+    blank = "\\x20\\x09-\\x0D"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^{blank}]+') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]')) AS ls FROM d),
+u AS (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT rid, max(k) AS top FROM (SELECT rid, count(*) AS k FROM u GROUP BY rid, word) x GROUP BY rid),
+g AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS five FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) > 4) x),
+h AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, five) AS k FROM g) x WHERE k > 1),
+rep AS (SELECT rid, count(DISTINCT j) AS k FROM (SELECT rid, unnest(range(i, i + 5)) AS j FROM h) x GROUP BY rid),
+c AS (SELECT doc_id, rid, len(ws)::BIGINT AS n_words, {only(f'[{blank}]')} AS word_chars, {only('[^#*$%&|<>]')} AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.k, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
+    coalesce(top, 0) AS n_top_word, {only('[^A-Z]')} AS n_upper, {only('[^A-Za-z]')} AS n_letters, {only('[' + chr(92) + 'x00-' + chr(92) + 'x7F]')} AS n_wide,
+    {only('[^0-9]')} AS n_digits, {only('[^!]')} AS n_exclaims, {only('[^.!?]')} AS n_stops,
+    len(list_filter(ws, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS n_marked_words,
+    len(list_filter(ws, lambda x: regexp_matches(x, '^[^a-z]*[A-Z][^a-z]*[A-Z][^a-z]*$'))) AS n_loud_words
+  FROM w LEFT JOIN f USING (rid) LEFT JOIN rep USING (rid)),
+v AS (SELECT *, [{', '.join(map(ruled, RULES))}] AS v FROM c),
+pats AS (SELECT list({{'v': v, 'c': k}} ORDER BY v) AS ps, sum(k) AS n FROM (SELECT v, count(*)::DOUBLE AS k FROM v GROUP BY v) x),
+em AS (
+  SELECT 0 AS i, {first.shares.tolist()}::DOUBLE[] AS sh, {first.says_good.tolist()}::DOUBLE[][] AS sa
+  UNION ALL
+  SELECT i + 1, list_transform({classes}, lambda k: (list_sum(list_transform(q, lambda p: p.w[k])) + 1) / (n + {len(own)})),
+    list_transform({classes}, lambda k: list_transform({rules}, lambda j: CASE WHEN k = 1 THEN greatest(raw[1][j], 0.5)
+      WHEN {own}[k][j] THEN least(raw[k][j], greatest(raw[1][j], 0.5)) ELSE raw[k][j] END))
+  FROM (SELECT i, n, q, list_transform({classes}, lambda k: list_transform({rules}, lambda j:
+      (list_sum(list_transform(q, lambda p: CASE WHEN p.v[j] = 1 THEN p.w[k] ELSE 0 END)) + 10 * {first.says_good.tolist()}[k][j])
+      / (list_sum(list_transform(q, lambda p: CASE WHEN p.v[j] <> 0 THEN p.w[k] ELSE 0 END)) + 10))) AS raw
+    FROM (SELECT i, n, list_transform(e, lambda p: {{'v': p.v, 'w': list_transform(p.e, lambda x: p.c * x / list_sum(p.e))}}) AS q
+      FROM (SELECT i, n, list_transform(z, lambda p: {{'v': p.v, 'c': p.c, 'e': list_transform(p.z, lambda x: exp(x - list_max(p.z)))}}) AS e
+        FROM (SELECT i, n, list_transform(ps, lambda p: {{'v': p.v, 'c': p.c, 'z': list_transform({classes}, lambda k: ln(sh[k])
+            + list_sum(list_transform({rules}, lambda j: CASE p.v[j] WHEN 1 THEN ln(sa[k][j]) WHEN -1 THEN ln(1 - sa[k][j]) ELSE 0 END)))}}) AS z
+          FROM em, pats WHERE i < 200) a) b) c) d),
+z AS (SELECT v.*, list_transform({classes}, lambda k: ln(sh[k])
+    + list_sum(list_transform({rules}, lambda j: CASE v.v[j] WHEN 1 THEN ln(sa[k][j]) WHEN -1 THEN ln(1 - sa[k][j]) ELSE 0 END))) AS z
+  FROM v, em WHERE i = 200)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 1 / list_sum(list_transform(z, lambda x: exp(x - z[1]))) >= 0.5 AS kept
+FROM z
+"""
+
+
+@register("op12_quality_rules", op12_sql())
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, the base conditions and the verdict of the rules."""
+    from cohortlab.llm import quality_rules
+    from cohortlab.llm.common import stored
+
+    counted = stored(quality_rules.measure(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",)), "counts")
+    judged = quality_rules.judge(counted, quality_rules.fit(counted))
+    return judged.select("doc_id", *[f"counts.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                         "base_failed", "kept")
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
