@@ -18,13 +18,12 @@ Extra columns pass through; the results' names must not be taken.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -54,15 +53,15 @@ class MergeModel:
         self.rank = {p: order[lib.get_score(i)] for p, i in normal.items() if len(p) > 1}
         if any(x != BLANK and y == BLANK for p in self.rank for x, y in zip(p, p[1:])):
             raise ValueError("a piece of this vocabulary spans a word boundary")
-        hard = "" if any("\n" in p for p in self.rank) else "\n"
-        self.units = re.compile(f"{BLANK}+[^{BLANK}{hard}]*|[^{BLANK}{hard}]+" + ("|\n" if hard else "")).findall
-        self.surface = [b""] * lib.get_piece_size()
+        self.lines_part = not any("\n" in p for p in self.rank)
+        surface = [b""] * lib.get_piece_size()
         for p, i in normal.items():
-            self.surface[i] = p.replace(BLANK, " ").encode()
+            surface[i] = p.replace(BLANK, " ").encode()
         for v, i in enumerate(self.bytes):
             if i >= 0:
-                self.surface[i] = bytes([v])
-        self.surface[self.unk] = " ⁇ ".encode()
+                surface[i] = bytes([v])
+        surface[self.unk] = " ⁇ ".encode()
+        self.surface = pa.array(surface, pa.large_binary())
         self.memo, self.most, self.memo_chars = {}, memo, memo_chars
         self._pairs()
 
@@ -175,22 +174,54 @@ class MergeModel:
                 part, chars = [], 0
         yield from self._encode(part)
 
+    def _cut(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The units of all texts one after the other, by number, and where each text's units end."""
+        raw = [(" " + t.replace(BLANK, " ")).encode() if t else b"" for t in texts]
+        data = b"".join(raw)
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        code = np.frombuffer(data, np.uint8)
+        blank = code == 32
+        opens = np.zeros(len(code) + 1, bool)
+        opens[ends - np.fromiter(map(len, raw), np.int64, len(raw))] = True
+        opens[1:-1] |= blank[1:] & ~blank[:-1]
+        if self.lines_part:
+            opens[:-1] |= code == 10
+            opens[1:] |= code == 10
+        opens[-1] = False
+        starts = np.flatnonzero(opens)
+        offsets = pa.py_buffer(np.append(starts, len(code)).astype(np.int64))
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(data)])
+        return units.dictionary_encode(), np.searchsorted(starts, ends)
+
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        cut = [self.units(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        all_units = set().union(*cut)
-        long = {u: self.solve(u) for u in all_units if len(u) > self.memo_chars}
-        new = [u for u in all_units if u not in self.memo and u not in long]
-        if len(self.memo) + len(new) > self.most:  # the table starts anew with what these texts need
+        cut, ends = self._cut(texts)
+        distinct = pc.replace_substring(cut.dictionary.cast(pa.large_string()), " ", BLANK).to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.memo.get, distinct))
+        new = [i for i, ids in enumerate(known) if ids is None]
+        if len(self.memo) + len(new) > self.most:  # the table starts anew
             self.memo.clear()
-            new = [u for u in all_units if u not in long]
-        self.learn(new)
-        known = (self.memo | long).__getitem__ if long else self.memo.__getitem__
-        for units in cut:
-            yield np.frombuffer(b"".join(map(known, units)), np.int32)
+        self.learn([u for i in new if len(u := distinct[i]) <= self.memo_chars])
+        for i in new:
+            u = distinct[i]
+            known[i] = self.memo[u] if len(u) <= self.memo_chars else self.solve(u)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        solved, number = np.frombuffer(b"".join(known), np.int32), cut.indices.to_numpy()
+        size = sizes[number]
+        done = np.concatenate([[0], size.cumsum()])
+        ids = solved[np.arange(done[-1]) + np.repeat((sizes.cumsum() - sizes)[number] - done[:-1], size)]
+        return iter(np.split(ids, done[ends[:-1]])) if len(texts) else iter(())
 
     def decode(self, ids) -> str:
-        out = b"".join(map(self.surface.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
-        return out.removeprefix(b" ").decode("utf-8", "replace")
+        return next(self.decode_all(np.asarray(ids, np.int32), [len(ids)]))
+
+    def decode_all(self, ids: np.ndarray, ends) -> Iterator[str]:
+        """Texts of ids that lie one after the other; ``ends`` are their ends."""
+        parts = self.surface.take(pa.array(ids))
+        offsets = np.frombuffer(parts.buffers()[1], np.int64)[:len(ids) + 1]
+        data, start = (parts.buffers()[2] or pa.py_buffer(b"")).to_pybytes(), 0
+        for end in offsets[np.asarray(ends, np.int64)].tolist():
+            yield data[start:end].removeprefix(b" ").decode("utf-8", "replace")
+            start = end
 
 
 _MODELS: dict[str, MergeModel] = {}
@@ -221,22 +252,23 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text", ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = model(model_path)
         for batch in batches:
-            found, ends, back, known = [], [0], [], {}
             texts = [t or "" for t in batch.column(place).to_pylist()]
-            for t, got in zip(texts, codec.encode(texts)):
-                found.append(got)
-                ends.append(ends[-1] + len(got))
-                if t not in known:
-                    check = check_every and zlib.crc32(t.encode()) % check_every == 0
-                    known[t] = said = codec.decode(got) if decoded or check else None
-                    if check and ((want := codec.library.encode(t)) != got.tolist() or codec.library.decode(want) != said):
-                        raise RuntimeError(f"codec and sentencepiece differ on {t[:200]!r}")
-                if decoded:
-                    back.append(known[t])
+            at = {t: i for i, t in enumerate(dict.fromkeys(texts))}  # copies are worked off once
+            own = list(codec.encode(list(at)))
+            said = list(codec.decode_all(np.concatenate([*own, np.zeros(0, np.int32)]), np.cumsum([len(x) for x in own])))
+            checked = [i for t, i in at.items() if check_every == 1 or check_every and zlib.crc32(t.encode()) % check_every == 0]
+            if checked:
+                want = codec.library.encode([*map(list(at).__getitem__, checked)], num_threads=1)
+                back = codec.library.decode(want, num_threads=1)
+                for i, ids_wanted, text_wanted in zip(checked, want, back):
+                    if said[i] != text_wanted or not np.array_equal(np.array(ids_wanted, np.int32), own[i]):
+                        raise RuntimeError(f"codec and sentencepiece differ on {list(at)[i][:200]!r}")
+            found = [own[at[t]] for t in texts]
+            ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
             cols = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
             if decoded:
-                cols.append(pa.array(back, pa.string()))
+                cols.append(pa.array([said[at[t]] for t in texts], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, ids, *([decoded] if decoded else [])])
 
     return df.mapInArrow(run, schema)

@@ -60,7 +60,7 @@ def test_every_distinct_text_is_held_against_the_library(monkeypatch):
     batch = lambda t: iter([pa.RecordBatch.from_arrays([pa.array([t, t])], names=["text"])])
     run = encode_decode(Rows, PATH)
     assert all(b.num_rows == 2 for t in texts for b in run(batch(t)))
-    monkeypatch.setattr(type(model(PATH)), "decode", lambda self, ids: "wrong")
+    monkeypatch.setattr(type(model(PATH)), "decode_all", lambda self, ids, ends: ["wrong"] * len(ends))
     for t in texts:
         with pytest.raises(RuntimeError):
             list(run(batch(t)))
