@@ -12,9 +12,3 @@ def spark():
     from cohortlab.session import local_session
     s = local_session(cores="*", shuffle_partitions=8)
     yield s
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the selected columns."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

@@ -9,7 +9,7 @@ from cohortlab.functions.columns import asymmetry_index, display_round, laterali
 from cohortlab.operators import clean, encode, merge, metrics, profile, roi, scale, split, stats
 from cohortlab.operators.region import derive_regional
 from cohortlab.operators.volumes import foreground_stats
-from conftest import rows
+from frame_rows import rows
 
 
 def test_nan_is_missing(spark):
