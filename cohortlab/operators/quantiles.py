@@ -10,13 +10,17 @@ else, so ties never meet as rows, and per group and probability p:
 2. the counted values fall into three classes: below the bracket (one row,
    with the largest value), inside (a row per distinct value) and above (one
    row, with the smallest). This is an aggregation with map-side combine;
-3. running counts over the classes and values give ranks: a sorted window
-   that spills, over the distinct values inside one bracket, and only where
-   lo < hi (a tied bracket has one value);
-4. the values at ranks floor((n-1)p) and ceil((n-1)p) are interpolated:
+3. while a bracket may hold more than ``LIMIT`` distinct values, they are cut
+   into ``CUTS`` parts of about as many values (a sketch of the values
+   inside), the parts are counted, and only those in which the wanted ranks
+   lie stay inside: every pass leaves about a sixtieth, whatever the
+   distribution;
+4. running counts over the classes and values give ranks: a sorted window of
+   ``LIMIT`` + 2 rows at most, however many rows the group has;
+5. the values at ranks floor((n-1)p) and ceil((n-1)p) are interpolated:
    v_lo + (v_hi - v_lo)·frac (the formula of the SQL ``quantile_cont``).
 
-Nothing is collected into arrays and nothing depends on a size switch. The
+Nothing is collected into arrays, and no step is exact for some sizes only. The
 per-group brackets are a stored table that Spark broadcasts or shuffles by its
 size.
 """
@@ -30,12 +34,46 @@ from cohortlab.functions.columns import nan_to_null, q
 from cohortlab.session import stored
 
 ACCURACY = 10_000   # bracket ±3/10000: ranks about 0.06% of a group; exactness does not depend on it
+LIMIT, CUTS = 10_000, 64
 _BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
 
+def _position(probs: list[float]) -> Column:
+    """Rank that is wanted, as a fraction between two rows."""
+    return F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
+
+
+def narrowed(classes: DataFrame, g: list[str], probs: list[float], limit: int, largest: int, accuracy: int) -> DataFrame:
+    """The classes with at most ``limit`` distinct values inside any bracket (see the module's step 3).
+
+    ``largest``: rows of the largest group. A bracket spans 6/accuracy of the ranks and the sketch errs by 1/accuracy at
+    either end, so that bounds the values inside before any is counted.
+    """
+    limit, inside = max(limit, 16), 8 * largest // accuracy + 2
+    run = Window.partitionBy(*g, "__i").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    while inside > limit:
+        classes = stored(classes, "quantile-classes")
+        inner = F.col("__k") == _INSIDE
+        cuts = (classes.where(inner).groupBy(*g, "__i")
+                .agg(F.percentile_approx("__in", [i / CUTS for i in range(1, CUTS)], 16 * CUTS).alias("__cuts")))
+        part = (F.when(F.col("__k") == _BELOW, -1).when(F.col("__k") == _ABOVE, CUTS)
+                .otherwise(F.size(F.filter(F.coalesce("__cuts", F.array().cast("array<double>")), lambda x: x < F.col("__in")))))
+        parted = classes.join(stored(cuts, "quantile-cuts"), [*g, "__i"], "left").withColumn("__part", part).drop("__cuts")
+        counts = (parted.groupBy(*g, "__i", "__n", "__part").agg(F.sum("__c").alias("__c"))
+                  .withColumn("__start", F.coalesce(F.sum("__c").over(run), F.lit(0))).withColumn("__pos", _position(probs)))
+        holds = (F.col("__start") <= F.ceil("__pos")) & (F.floor("__pos") < F.col("__start") + F.col("__c"))
+        spans = counts.where(holds).groupBy(*g, "__i").agg(F.min("__part").alias("__from"), F.max("__part").alias("__to"))
+        kind = F.when(F.col("__part") < F.col("__from"), _BELOW).when(F.col("__part") > F.col("__to"), _ABOVE).otherwise(F.col("__k"))
+        classes = stored(parted.join(stored(spans, "quantile-spans"), [*g, "__i"]).withColumn("__k", kind)
+                         .groupBy(*g, "__i", "__n", "__k", F.when(F.col("__k") == _INSIDE, F.col("__in")).alias("__in"))
+                         .agg(F.sum("__c").alias("__c"), F.max("__max").alias("__max"), F.min("__min").alias("__min")), "quantile-classes")
+        inside = classes.where(inner).groupBy(*g, "__i").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    return classes
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], group: list[str] | None = None,
                     accuracy: int = ACCURACY, names: list[str] | None = None,
-                    small_groups: bool = False) -> DataFrame:
+                    small_groups: bool = False, limit: int = LIMIT) -> DataFrame:
     """(group..., n, <names>) — exact interpolated quantiles of the non-null, non-NaN values.
 
     ``small_groups=True`` declares a structural bound on the groups (e.g. one
@@ -65,10 +103,10 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], grou
     classes = (counted.join(brackets, g).withColumn("__k", kind)
                .groupBy(*g, "__i", "__n", "__k", F.when(F.col("__k") == _INSIDE, v).alias("__in"))
                .agg(F.sum("__c").alias("__c"), F.max(v).alias("__max"), F.min(v).alias("__min")))
+    classes = narrowed(classes, g, probs, limit, brackets.agg(F.max("__n")).first()[0] or 0, accuracy)
     running = Window.partitionBy(*g, "__i").orderBy("__k", "__in")
-    pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
     ranked = (classes.withColumn("__end", F.sum("__c").over(running)).withColumn("__start", F.col("__end") - F.col("__c"))
-              .withColumn("__pos", pos))
+              .withColumn("__pos", _position(probs)))
 
     def at_rank(k: Column) -> Column:
         """The value of rank k, from the row that covers it: below, only the last rank is known, above, only the first."""

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from cohortlab.operators import quantiles
 from cohortlab.operators.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -40,3 +41,25 @@ def test_exact_quantiles_global(spark):
     vals = np.arange(10001) / 3.0
     assert r.n == 10001
     assert r.q0 == pytest.approx(np.percentile(vals, 50)) and r.q1 == pytest.approx(np.percentile(vals, 33.3))
+
+
+def test_windows_do_not_grow_with_the_rows(spark, monkeypatch):
+    """Brackets of a coarse sketch are narrowed until few values are left, for any number of rows and any distribution."""
+    seen, real = [], quantiles.narrowed
+
+    def spy(*args):
+        out = real(*args)
+        most = out.groupBy("g", "__i").count().agg({"count": "max"}).first()[0]
+        seen.append((args[0].groupBy("g", "__i").count().agg({"count": "max"}).first()[0], most))
+        return out
+
+    monkeypatch.setattr(quantiles, "narrowed", spy)
+    for n in (4_000, 40_000):
+        rng = np.random.default_rng(n)
+        vals = {0: np.exp(rng.normal(size=n) * 40), 1: rng.integers(0, 300, n) / 7.0, 2: np.concatenate([np.zeros(n // 2), rng.normal(size=n // 2)])}
+        df = spark.createDataFrame([(g, float(x)) for g, v in vals.items() for x in v], "g int, v double")
+        probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+        got = {r.g: r for r in exact_quantiles(df, "v", probs, ["g"], accuracy=20, limit=40).collect()}
+        for g, v in vals.items():
+            assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx([np.percentile(v, p * 100) for p in probs], rel=1e-12, abs=1e-12)
+    assert seen[0][0] > 400 and seen[1][0] > 4000 and max(x[1] for x in seen) <= 42
