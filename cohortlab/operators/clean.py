@@ -171,13 +171,18 @@ def most_frequent(df: DataFrame, columns: list[str]) -> dict:
     return {r["column"]: r["mode"] for r in best.collect()}
 
 
-def apply_imputer(df: DataFrame, fitted: DataFrame) -> DataFrame:
+def imputer_values(fitted: DataFrame) -> dict:
+    """The fitted row as a dict by column."""
+    return fitted.first().asDict() if fitted.columns else {}
+
+
+def apply_imputer(df: DataFrame, fitted: DataFrame | dict) -> DataFrame:
     """Fill nulls (and NaN) with the fitted statistic; column order kept.
 
-    The fitted frame is ONE row (one value per column): it is read once and
-    the values become literals, which keeps downstream plans flat.
+    ``fitted``: the one row of ``fit_imputer``, or its values where the caller has read it. The values become
+    literals, which keeps downstream plans flat; a column without a statistic stays as it is.
     """
-    row = fitted.first().asDict() if fitted.columns else {}
+    row = fitted if isinstance(fitted, dict) else imputer_values(fitted)
     fl = (T.FloatType, T.DoubleType)
     out = []
     for f in df.schema.fields:
@@ -185,8 +190,7 @@ def apply_imputer(df: DataFrame, fitted: DataFrame) -> DataFrame:
         if f.name in row:
             if isinstance(f.dataType, fl):
                 c = nan_to_null(c)
-            fill = F.lit(row[f.name]) if row[f.name] is not None else F.lit(None).cast(fitted.schema[f.name].dataType)
-            out.append(F.coalesce(c, fill).alias(f.name))
+            out.append((c if row[f.name] is None else F.coalesce(c, F.lit(row[f.name]))).alias(f.name))
         else:
             out.append(c)
     return df.select(out)

@@ -1,9 +1,8 @@
 """Categorical encodings (M1, M2).
 
-M1 learns the sorted distinct values of each categorical column
-(``array_sort(collect_set)``, partially aggregated, bounded by the column's
-cardinality) in one aggregation for all columns, reads that single row once
-and maps a value to its position in the literal dictionary.
+M1's dictionary is a table (column, value, code): the distinct values of all categorical columns come from one
+aggregation, a range sort numbers them within their column (``ranks.numbered``), and rows meet their codes in a join, which
+Spark broadcasts or shuffles by the dictionary's size. A column may have any number of values.
 """
 
 from __future__ import annotations
@@ -12,38 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
+from cohortlab.operators.ranks import numbered
+from cohortlab.session import stored
 
 
-MAX_CATEGORIES = 100_000
+def fit_label_encoder(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, code): the distinct non-null values of each column as text, numbered from 0 in sorted order."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("value")) for c in columns])))
+    places = numbered(long.where(F.col("value").isNotNull()).distinct(), ["column"], ["value"])
+    return stored(places.select("column", "value", F.col("place").cast("int").alias("code")), "dictionary")
 
 
-def fit_label_encoder(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """One row; per column the sorted array of distinct string values.
-
-    A cardinality sketch runs first: a column with more than ``max_categories``
-    distinct values is not categorical and is refused instead of collected.
-    """
-    card = df.agg(*[F.approx_count_distinct(F.col(q(c))).alias(c) for c in columns]).first()
-    wide = [c for c in columns if card[c] > max_categories]
-    if wide:
-        raise ValueError(f"too many categories to label-encode: {', '.join(f'{c}≈{card[c]}' for c in wide)}")
-    return df.agg(*[F.array_sort(F.collect_set(F.col(q(c)).cast("string"))).alias(c) for c in columns])
-
-
-def apply_label_encoder(df: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:
-    """value → 0-based index in the sorted dictionary; unseen or null → null."""
-    sc = set(columns)
-    row = fitted.first().asDict() if columns else {}
-    out = []
-    for f in df.schema.fields:
-        c = F.col(q(f.name))
-        if f.name in sc:
-            codes = F.array(*[F.lit(v) for v in row[f.name]]).cast("array<string>")
-            pos = F.array_position(codes, c.cast("string"))
-            out.append(F.when(pos > 0, pos - 1).cast("int").alias(f.name))
-        else:
-            out.append(c)
-    return df.select(out)
+def apply_label_encoder(df: DataFrame, fitted: DataFrame, columns: list[str], unseen: int | None = None) -> DataFrame:
+    """value → code of the dictionary; null and values that it lacks → ``unseen``. Columns keep their order."""
+    names = {c: f"__code{i}" for i, c in enumerate(columns)}
+    out = df
+    for c, n in names.items():
+        codes = fitted.where(F.col("column") == c).select(F.col("value").alias(f"{n}v"), F.col("code").alias(n))
+        out = out.join(codes, F.col(q(c)).cast("string") == F.col(f"{n}v"), "left")
+    return out.select(*[F.coalesce(F.col(names[c]), F.lit(unseen).cast("int")).alias(c) if c in names else F.col(q(c)) for c in df.columns])
 
 
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,15 +39,6 @@ def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     return apply_label_encoder(df, fit_label_encoder(df, columns), columns)
 
 
-def encoder_params(fitted: DataFrame) -> DataFrame:
-    """(column, value, code) long form of a fitted encoder, for persistence."""
-    parts = [fitted.select(F.lit(c).alias("column"), F.posexplode(q(c)).alias("code", "value")) for c in fitted.columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("column", "value", F.col("code").cast("int").alias("code"))
-
-
 def inference_encode(df: DataFrame, column: str, positive: str = "M", out: str | None = None) -> DataFrame:
     """M2: case-insensitive ``positive`` → 1, anything else (unknown, null) → 0."""
     return df.withColumn(out or column, F.when(F.upper(F.col(q(column))) == positive.upper(), 1).otherwise(0))

@@ -36,13 +36,28 @@ def fit_scaler(train: DataFrame, columns: list[str]) -> DataFrame:
     return st.select(out)
 
 
-def apply_scaler(df: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:
+def fit_columns(train: DataFrame, columns: list[str]) -> tuple[list[str], dict[str, tuple[float, float]]]:
+    """M5 and M6 in one pass over the training rows: the binary columns, and (mean, scale) of the others."""
+    if not columns:
+        return [], {}
+    flags = [F.coalesce(F.bool_and(nan_to_null(F.col(q(c)).cast("double")).isin(0.0, 1.0)), F.lit(True)).alias(f"{c}__binary") for c in columns]
+    aggs = [a for c in columns for v in (nan_to_null(F.col(q(c)).cast("double")),)
+            for a in (F.avg(v).alias(f"{c}__mean"), F.stddev_pop(v).alias(f"{c}__sd"))]
+    row = train.agg(*flags, *aggs).first()
+    binary = [c for c in columns if row[f"{c}__binary"]]
+    return binary, {c: (row[f"{c}__mean"], row[f"{c}__sd"] or 1.0) for c in columns if c not in binary}
+
+
+def apply_scaler(df: DataFrame, fitted: DataFrame | dict, columns: list[str]) -> DataFrame:
     """M6 apply: (x − mean) / scale for ``columns``; nulls stay null; other columns untouched.
 
-    The one-row fitted moments are read once and applied as literals.
+    ``fitted``: the row of ``fit_scaler``, or (mean, scale) by column; applied as literals.
     """
     sc = set(columns)
-    row = fitted.first().asDict() if columns else {}
+    if isinstance(fitted, dict):
+        row = {f"{c}__{n}": v for c, m in fitted.items() for n, v in zip(("mean", "scale"), m)}
+    else:
+        row = fitted.first().asDict() if columns else {}
     out = []
     for f in df.schema.fields:
         c = F.col(q(f.name))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.functions.columns import display_round, nan_to_null, q, truthy
+from cohortlab.operators.encode import apply_label_encoder
 
 # Class labels of the scoring report and of the status map.
 CLASS_LABELS = ("Non-Demented", "Demented")
@@ -28,10 +29,14 @@ STATUS_LABELS = ("Healthy", "Dementia")
 
 
 def align_features(df: DataFrame, features: list[str], key: str, categorical: dict[str, dict] | None = None,
-                   fill: dict[str, float] | None = None) -> DataFrame:
-    """(key, features in order) as doubles; categorical via mapping, everything missing → fill (0.0)."""
+                   fill: dict[str, float] | None = None, dictionary: DataFrame | None = None,
+                   coded: list[str] | None = None) -> DataFrame:
+    """(key, features in order) as doubles; everything missing → fill (0.0). Categorical columns go through a fixed
+    mapping (``categorical``) or, those in ``coded``, through the fitted dictionary, which is joined."""
     categorical = categorical or {}
     fill = fill or {}
+    if dictionary is not None:
+        df = apply_label_encoder(df, dictionary, [c for c in coded or [] if c in df.columns and c in features])
     cols = [F.col(q(key))]
     present = set(df.columns)
     for f in features:

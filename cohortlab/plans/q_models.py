@@ -29,6 +29,12 @@ def prepared(spark, sf):
     return cut_lineage(rounded(q_prep._prepared(spark, sf).data, 6))
 
 
+def state_and_rows(spark, sf):
+    """The fitted preparation and its rounded rows, prepared once."""
+    prep = q_prep._prepared(spark, sf)
+    return prep, cut_lineage(rounded(prep.data, 6))
+
+
 PREP_CTE = "WITH prep AS (\n" + q_prep._prep_sql() + "\n),\ntr AS (SELECT * FROM prep WHERE split = 'train'),\n" \
                                                     "te AS (SELECT * FROM prep WHERE split = 'test')"
 

@@ -170,10 +170,40 @@ sp AS (SELECT enc.*, CASE WHEN subject IN (SELECT subject FROM ts) THEN 'test' E
     return body + f", st AS (SELECT {stats} FROM sp WHERE split = 'train')\n"
 
 
-def _prepared(spark, sf):
+def _prepared(spark, sf, fit_on="all"):
     v = T.visits(spark, sf)
     return prepare.prepare(v, target="cdr", key="ID", subject="subject", order="session_id", suffix="_MR2",
-                           keep=("subject", "session_id"))
+                           keep=("subject", "session_id"), fit_on=fit_on)
+
+
+def _prep_train_sql():
+    """The preparation that fits everything on the training rows: split first, then medians, modes and codes of them."""
+    cols = ["status", "priority"] + NUM
+    stats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL THEN 1.0 "
+                      f"ELSE stddev_pop({c}) END AS s_{c}, coalesce(bool_and({c} IN (0.0, 1.0)), true) AS b_{c}" for c in cols)
+    modes = ", ".join(f"(SELECT {c} FROM tr0 WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS o_{c}"
+                      for c in ("status", "priority"))
+    codes = "".join(f""",
+d_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code FROM (
+  SELECT DISTINCT coalesce({c}, o_{c}) AS v FROM tr0, modes) x)""" for c in ("status", "priority"))
+    fills = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM tr0)) AS {c}" for c in NUM)
+    sel = ", ".join(f"round(CASE WHEN b_{c} THEN {c} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in cols)
+    return V + """
+, flt AS (SELECT *, CAST(coalesce(cdr > 0, false) AS INTEGER) AS target FROM visits WHERE NOT ends_with(ID, '_MR2')),
+subj AS (SELECT subject, target FROM (
+           SELECT subject, target, row_number() OVER (PARTITION BY subject ORDER BY session_id) AS rn FROM flt) WHERE rn = 1)
+""" + QUOTA_SQL.format(cls="target", src="subj", p=0.2) + f"""
+, rk AS (SELECT subject, target, row_number() OVER (PARTITION BY target ORDER BY md5(CAST(subject AS VARCHAR) || ':42')) AS rk
+         FROM subj),
+ts AS (SELECT subject FROM rk JOIN quota ON rk.target = quota.cls WHERE rk <= n_test),
+al AS (SELECT flt.*, CASE WHEN subject IN (SELECT subject FROM ts) THEN 'test' ELSE 'train' END AS split FROM flt),
+tr0 AS (SELECT * FROM al WHERE split = 'train'),
+modes AS (SELECT {modes}){codes},
+sp AS (SELECT session_id, ID, subject, split, target, coalesce(d_status.code, -1) AS status, coalesce(d_priority.code, -1) AS priority, {fills}
+       FROM al CROSS JOIN modes LEFT JOIN d_status ON d_status.v = coalesce(al.status, o_status)
+       LEFT JOIN d_priority ON d_priority.v = coalesce(al.priority, o_priority)),
+st AS (SELECT {stats} FROM sp WHERE split = 'train')
+SELECT ID, subject, session_id, split, target, {sel} FROM sp, st"""
 
 
 @register("m7_prepare", _prep_sql())
@@ -181,3 +211,9 @@ def m7_prepare(spark, sf):
     """impute (all rows) → drop _MR2 → encode → target → subject split → scale on train."""
     p = _prepared(spark, sf)
     return rounded(p.data, 6)
+
+
+@register("m7_prepare_train", _prep_train_sql())
+def m7_prepare_train(spark, sf):
+    """The same with everything fitted on the training rows only (``fit_on='train'``)."""
+    return rounded(_prepared(spark, sf, "train").data, 6)

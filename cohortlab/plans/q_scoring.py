@@ -13,7 +13,7 @@ from cohortlab.functions.columns import display_round
 from cohortlab.models import classifiers as C
 from cohortlab.operators import scoring
 from cohortlab.plans import q_prep
-from cohortlab.plans.q_models import FEATS, KEY, prepared
+from cohortlab.plans.q_models import FEATS, KEY, state_and_rows
 from cohortlab.plans.registry import register, rounded
 from cohortlab.sources import tables as T
 
@@ -25,12 +25,8 @@ def _state(spark, sf):
     return q_prep._prepared(spark, sf)
 
 
-def _categorical(prep):
-    return {c: {v: i for i, v in enumerate(vals)} for c, vals in prep.codes.items()}
-
-
 def _aligned(spark, sf, prep):
-    return scoring.align_features(T.visits(spark, sf), ALIGN, KEY, _categorical(prep))
+    return scoring.align_features(T.visits(spark, sf), ALIGN, KEY, dictionary=prep.dictionary, coded=prep.categorical)
 
 
 def _scaled(spark, sf, prep, mode="full"):
@@ -93,10 +89,9 @@ rep{prefix} AS (SELECT session_id, CAST(p1 > 0.5 AS INTEGER) AS {prefix}predicti
 """
 
 
-def _nb_report(spark, sf, prep, mode, prefix=""):
-    p = prepared(spark, sf)
+def _nb_report(spark, sf, prep, rows, mode, prefix=""):
     feats = [c for c in FEATS if c not in MODE_DROP[mode]]
-    f = C.fit_naive_bayes(p.where(F.col("split") == "train"), feats)
+    f = C.fit_naive_bayes(rows.where(F.col("split") == "train"), feats)
     scored = f.transform(_scaled(spark, sf, prep, mode))
     return rounded(scoring.score_report(scored, KEY, len(feats), prefix), 6)
 
@@ -104,8 +99,7 @@ def _nb_report(spark, sf, prep, mode, prefix=""):
 @register("x3_batch_score", BASE + _nb_sql(FEATS) + "SELECT * FROM rep")
 def x3_batch_score(spark, sf):
     """Every session scored: class, label, confidence, both probabilities, feature count."""
-    prep = _state(spark, sf)
-    return _nb_report(spark, sf, prep, "full")
+    return _nb_report(spark, sf, *state_and_rows(spark, sf), "full")
 
 
 @register("x3_stream_score", BASE + _nb_sql(FEATS) + "SELECT * FROM rep")
@@ -113,12 +107,11 @@ def x3_stream_score(spark, sf):
     """The batch score as a Structured Streaming job: session rows arrive as files (orders), join the
     static per-order aggregate, are scored with the fitted state and appended to Parquet."""
     from cohortlab.streaming.scoring import read_stream_files, run_to_parquet
-    prep = _state(spark, sf)
-    p = prepared(spark, sf)
+    prep, p = state_and_rows(spark, sf)
     f = C.fit_naive_bayes(p.where(F.col("split") == "train"), FEATS)
     orders = read_stream_files(spark, sf, T.table(spark, sf, "orders").schema, glob="orders.parquet")
     v = T.visits_from(orders, T.order_items(spark, sf))
-    aligned = scoring.align_features(v, ALIGN, KEY, _categorical(prep))
+    aligned = scoring.align_features(v, ALIGN, KEY, dictionary=prep.dictionary, coded=prep.categorical)
     scored = f.transform(scoring.scale_and_select(aligned, prep.moments, FEATS, KEY))
     out = run_to_parquet(rounded(scoring.score_report(scored, KEY, len(FEATS)), 6), "x3_stream")
     return spark.read.parquet(out)
@@ -132,9 +125,9 @@ SELECT rep.*, repb_.* EXCLUDE (session_id), CAST(NULL AS VARCHAR) AS second_erro
 FROM rep LEFT JOIN repb_ ON rep.session_id = repb_.session_id""")
 def x4_two_model_comparison(spark, sf):
     """Full model and no-MMSE model on the same rows, side by side."""
-    prep = _state(spark, sf)
-    first = _nb_report(spark, sf, prep, "full")
-    return scoring.compare_models(first, lambda: _nb_report(spark, sf, prep, "no_mmse", "b_"), KEY)
+    fitted = state_and_rows(spark, sf)
+    first = _nb_report(spark, sf, *fitted, "full")
+    return scoring.compare_models(first, lambda: _nb_report(spark, sf, *fitted, "no_mmse", "b_"), KEY)
 
 
 VIEW = {"session_id": "session_id", "ID": "id", "price": "etiv", "disc": "nwbv", "tax": "asf", "qty": "mmse",

@@ -106,14 +106,32 @@ def s9_parquet_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("s11_params_roundtrip")
+def _params_sql():
+    """Fill values, dictionaries, moments and feature order from the same rows."""
+    feats, strings = q_models.FEATS, ("status", "priority")
+    num = lambda c, stat, value, src="": f"SELECT '{c}' AS \"column\", '{stat}' AS stat, CAST(NULL AS VARCHAR) AS text, round(CAST({value} AS DOUBLE), 6) AS number{src}"
+    parts = [num(c, "fill", f"(SELECT median({c}) FROM visits)") for c in q_prep.NUM + ["cdr"]]
+    parts += [f"SELECT '{c}', 'fill', (SELECT {c} FROM visits WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), NULL" for c in strings]
+    parts += [f"SELECT '{c}', 'code', v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) FROM (SELECT DISTINCT {c} AS v FROM flt) x" for c in strings]
+    parts += [num(c, stat, f"{m}_{c}", f" FROM st WHERE NOT b_{c}") for c in feats for stat, m in (("mean", "m"), ("scale", "s"))]
+    parts += [num(c, "feature_order", i) for i, c in enumerate(feats)]
+    return q_prep._prep_body() + "\n" + " UNION ALL ".join(parts)
+
+
+@register("s11_params_roundtrip", _params_sql())
 def s11_params_roundtrip(spark, sf):
     """Fitted preparation state (fill values, dictionaries, moments, feature order) saved and reloaded."""
     prep = q_prep._prepared(spark, sf)
     path = sinks.save_params(prep.params(spark), sinks.scratch_path(spark, "params"))
     back = sinks.load_params(spark, path)
     assert back["features"] == prep.features and back["moments"].keys() == prep.moments.keys()
-    return spark.read.parquet(path)
+    strings = [c for c, v in back["fill"].items() if isinstance(v, str)]
+    rows = [(c, "fill", v if c in strings else None, None if c in strings else v) for c, v in back["fill"].items()]
+    rows += [(c, n, None, x) for c, m in back["moments"].items() for n, x in zip(("mean", "scale"), m)]
+    rows += [(c, "feature_order", None, float(i)) for i, c in enumerate(back["features"])]
+    state = spark.createDataFrame(rows, "column string, stat string, text string, number double")
+    codes = back["dictionary"].select("column", F.lit("code").alias("stat"), F.col("value").alias("text"), F.col("code").cast("double").alias("number"))
+    return rounded(state.unionByName(codes), 6)
 
 
 @register("s12_model_roundtrip", q_models._nb_sql())
@@ -126,8 +144,7 @@ def s12_model_roundtrip(spark, sf):
     return g.transform(p.where(F.col("split") == "test")).select(q_models.KEY, F.round("p1", 6).alias("p1"), "pred")
 
 
-#: One of each way to be saved that is quick to fit; the tests cover all eight.
-SAVED_KINDS = ("random_forest", "logistic_regression", "knn", "naive_bayes")
+SAVED_KINDS = C.MODEL_TYPES
 
 
 @register("s12_models_roundtrip", q_prep._prep_body() + """

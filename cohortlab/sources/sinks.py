@@ -65,21 +65,21 @@ def save_params(params: DataFrame, path: str) -> str:
 
 
 def load_params(spark: SparkSession, path: str) -> dict:
-    """Back to {'fill': {...}, 'codes': {...}, 'moments': {...}, 'features': [...]} (small table)."""
-    rows = spark.read.parquet(path).collect()
-    out = {"fill": {}, "codes": {}, "moments": {}, "features": []}
+    """Back to {'fill': {...}, 'dictionary': (column, value, code), 'moments': {...}, 'features': [...]}; all but the
+    dictionary, which stays a table, are a few values a column."""
+    table = spark.read.parquet(path)
+    code = F.col("stat").startswith("code_")
+    out = {"fill": {}, "moments": {}, "features": [],
+           "dictionary": table.where(code).select("column", "value", F.substring_index("stat", "_", -1).cast("int").alias("code"))}
     order = {}
-    for r in rows:
+    for r in table.where(~code).collect():
         if r.stat == "fill":
             out["fill"][r.column] = None if r.value is None else float(r.value) if _is_num(r.value) else r.value
-        elif r.stat.startswith("code_"):
-            out["codes"].setdefault(r.column, {})[int(r.stat[5:])] = r.value
         elif r.stat in ("mean", "scale"):
             m = out["moments"].setdefault(r.column, [None, None])
             m[0 if r.stat == "mean" else 1] = float(r.value)
         elif r.stat == "feature_order":
             order[int(r.value)] = r.column
-    out["codes"] = {c: [v[i] for i in sorted(v)] for c, v in out["codes"].items()}
     out["moments"] = {c: tuple(v) for c, v in out["moments"].items()}
     out["features"] = [order[i] for i in sorted(order)]
     return out
