@@ -1,21 +1,22 @@
 """Binary-classification metrics over scored rows.
 
-ROC AUC is exact and tie-aware: scores are grouped to distinct values, cut
-into ordered buckets at approximate-quantile points (a Bucketizer over at
-most ``buckets`` splits), and the number of negatives below every score is
-``offset(bucket) + running count inside the bucket``. Windows are
-partitioned by bucket, so no step orders all scores in one task.
+ROC AUC is exact and tie-aware, by a scan of two levels: equal scores are
+counted, a range sort deals the distinct ones out and the result is written
+once; the number of negatives below a score is the prefix sum over the
+ranges before its own (a table of one row a range, joined) plus the running
+count inside the range. No step orders all scores in one task, nothing is
+read by the driver, and the plan is the same for any number of rows.
 
 AUC = Σ_s pos(s) · (neg_below(s) + neg(s) / 2) / (P · N)
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
+from cohortlab.session import stored
 
 
 def _cnt(pred):
@@ -43,47 +44,29 @@ def binary_metrics(conf: DataFrame) -> DataFrame:
                        F.array(F.array(tn, fp), F.array(fn, tp)).alias("confusion_matrix"))
 
 
-#: Distinct scores that one task ranks, about.
-ROWS_PER_BUCKET = 100_000
-
-
 def roc_auc(df: DataFrame, score: str = "score", truth: str = "truth", group: list[str] | None = None,
-            buckets: int | None = None, rel_err: float = 1e-4) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """Exact tie-aware ROC AUC per group; null when a group has one class only.
 
-    ``buckets``: ranges of scores that are ranked apart, by default one per ``ROWS_PER_BUCKET`` rows.
+    ``buckets``: ranges of the sort, by default as many as the session's shuffle partitions.
     """
-    group = list(group or [])
-    g = df.groupBy(*[F.col(q(c)) for c in group], F.col(q(score)).cast("double").alias("s")).agg(
-        F.count_if(F.col(q(truth)) == 1).alias("pos"), F.count_if(F.col(q(truth)) == 0).alias("neg"))
-    g = g.where(F.col("s").isNotNull())
-    if buckets is None:
-        buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
-    # ordered buckets: quantile cut points of the distinct scores (≤ buckets + 1 doubles on the driver)
-    cuts = g.approxQuantile("s", [i / buckets for i in range(1, buckets)], rel_err) if buckets > 1 else []
-    splits = [float("-inf")] + sorted(set(c for c in cuts if c == c)) + [float("inf")]
-    if len(splits) < 3:  # one bucket (or one distinct score): nothing to cut
-        b = g.withColumn("bucket", F.lit(0.0))
-    else:
-        b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(g)
-    per_b = b.groupBy(*group, "bucket").agg(F.sum("neg").alias("bneg"))
-    if group:
-        wb = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offs = per_b.select(*group, "bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("off"))
-        j = b.join(offs, group + ["bucket"])
-    else:  # ≤ buckets rows: prefix sums on the driver, applied as a literal map (no join, no window)
-        acc, off = 0, {}
-        for r in sorted(per_b.collect(), key=lambda r: r["bucket"]):
-            off[float(r["bucket"])] = acc
-            acc += r["bneg"]
-        m = F.create_map(*[x for k, v in off.items() for x in (F.lit(k), F.lit(int(v)))]) if off else None
-        j = b.withColumn("off", F.element_at(m, F.col("bucket")) if m is not None else F.lit(0))
-    wi = Window.partitionBy(*group, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("off") + F.coalesce(F.sum("neg").over(wi), F.lit(0))
-    contrib = j.select(*group, "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("c"))
-    agg = contrib.groupBy(*group).agg(F.sum("c").alias("c"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(*group, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                     F.col("c") / (F.col("P") * F.col("N"))).alias("roc_auc"))
+    names = [f"__g{i}" for i in range(len(group or []))]
+    counted = df.groupBy(*[F.col(q(c)).alias(n) for c, n in zip(group or [], names)], F.col(q(score)).cast("double").alias("s")).agg(
+        F.count_if(F.col(q(truth)) == 1).alias("pos"), F.count_if(F.col(q(truth)) == 0).alias("neg")).where("s IS NOT NULL")
+    order = [*names, "s"]
+    dealt = stored(counted.repartitionByRange(*([buckets] if buckets else []), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()), "auc-scores")
+    before = lambda *by: Window.partitionBy(*names, *by).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (dealt.groupBy(*names, "range").agg(F.sum("neg").alias("n"))
+              .withColumn("below", F.coalesce(F.sum("n").over(before().orderBy("range")), F.lit(0)))
+              .select(*[F.col(n).alias(f"{n}r") for n in names], F.col("range").alias("r"), "below"))
+    same = F.col("range") == F.col("r")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}r"))
+    below = F.col("below") + F.coalesce(F.sum("neg").over(before("range").orderBy("s")), F.lit(0))
+    parts = dealt.join(ranges, same).select(*names, "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("c"))
+    agg = parts.groupBy(*names).agg(F.sum("c").alias("c"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return agg.select(*[F.col(n).alias(c) for c, n in zip(group or [], names)], F.when(
+        (F.col("P") > 0) & (F.col("N") > 0), F.col("c") / (F.col("P") * F.col("N"))).alias("roc_auc"))
 
 
 def classification_report(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:

@@ -200,6 +200,16 @@ def test_one_class(spark):
     assert (m.precision, m.recall, m.f1_score) == (0.0, 0.0, 0.0)
 
 
+def test_auc_plan_does_not_grow(spark):
+    plans = []
+    for n in (1_000, 100_000):
+        df = spark.range(n).selectExpr("id % 997 / 997.0D AS score", "cast((id * 31) % 7 < 3 AS int) AS truth", "id % 2 AS g")
+        out = metrics.roc_auc(df, group=["g"])
+        plans.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+        assert out.count() == 2
+    assert abs(plans[0] - plans[1]) < 50  # paths and names apart, the same plan
+
+
 def test_knn_zero_distance(spark):
     from cohortlab.models.knn import knn_candidates, knn_vote
     train = spark.createDataFrame([(1, 0.0, 0.0, 1), (2, 1.0, 1.0, 0), (3, 2.0, 2.0, 0), (4, 3.0, 3.0, 0),
