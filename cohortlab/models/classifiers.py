@@ -9,8 +9,8 @@
 * naive_bayes: exact Gaussian NB as column expressions — class means and
   population variances from ONE grouped aggregation, smoothing 1e-9 x the
   largest feature variance, log-likelihood and softmax per row.
-* adaboost: discrete SAMME with depth-1 trees; one histogram aggregation per
-  round on a checkpointed, binned frame (see :func:`fit_adaboost`).
+* adaboost: discrete SAMME with depth-1 trees on every threshold (see
+  :mod:`cohortlab.models.boosting`).
 * svm: RBF kernel approximated by random Fourier features (gamma = 1 / (d var X),
   seeded, Arrow-batched pandas UDF), LinearSVC, then Platt scaling.
 * knn lives in :mod:`cohortlab.models.knn` (exact, blocked).
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.functions.columns import q
-from cohortlab.session import cut_lineage
+from cohortlab.models.boosting import fit_stumps
 
 MODEL_TYPES = ("random_forest", "logistic_regression", "svm", "xgboost", "gradient_boosting", "knn",
                "naive_bayes", "adaboost")
@@ -176,93 +176,19 @@ def fit_naive_bayes(train: DataFrame, features: list[str], label: str = "target"
 # C8 AdaBoost (discrete SAMME, depth-1 trees)
 # ---------------------------------------------------------------------------
 
-def _gini(c0: float, c1: float) -> float:
-    n = c0 + c1
-    return 0.0 if n <= 0 else 1.0 - (c0 / n) ** 2 - (c1 / n) ** 2
-
-
-def _best_stump(hist: list, d: int):
-    """From (feature, bin, w0, w1) rows: the depth-1 split with the lowest weighted Gini impurity.
-
-    Returns (feature, bin, left_class, right_class, weighted error) — left is ``bin <= j``.
-    """
-    by_f = {}
-    for r in hist:
-        by_f.setdefault(r["f"], {})[r["b"]] = (r["w0"], r["w1"])
-    t0 = sum(b[0] for b in by_f.get(0, {}).values())   # every feature's bins cover all rows
-    t1 = sum(b[1] for b in by_f.get(0, {}).values())
-    total = t0 + t1
-    best = None
-    for f in range(d):
-        bins = sorted(by_f.get(f, {}))
-        l0 = l1 = 0.0
-        for j in bins[:-1]:
-            w0, w1 = by_f[f][j]
-            l0, l1 = l0 + w0, l1 + w1
-            r0, r1 = t0 - l0, t1 - l1
-            g = ((l0 + l1) * _gini(l0, l1) + (r0 + r1) * _gini(r0, r1)) / total
-            if best is None or g < best[0] - 1e-15:
-                best = (g, f, j, l0, l1, r0, r1)
-    if best is None:  # no split possible: one leaf with the majority class
-        cls = 1 if t1 > t0 else 0
-        return None, None, cls, cls, (min(t0, t1) / total if total else 0.0)
-    _, f, j, l0, l1, r0, r1 = best
-    left, right = (1 if l1 > l0 else 0), (1 if r1 > r0 else 0)
-    err = ((l1 if left == 0 else l0) + (r1 if right == 0 else r0)) / total
-    return f, j, left, right, err
-
-
 def fit_adaboost(train: DataFrame, features: list[str], label: str = "target", rounds: int = ADA_ROUNDS,
-                 rate: float = ADA_RATE, max_bins: int = 32) -> Fitted:
-    """Discrete SAMME over depth-1 trees (Gini split on quantile candidate thresholds, as a depth-1 tree).
-
-    The (features, label) frame is checkpointed once with its bin indices. Each round is ONE
-    aggregation: the weighted class histogram per (feature, bin) — features x bins rows — from which
-    the driver derives the split, the leaf classes, the weighted error and alpha. Row weights are never
-    materialised per round: w = exp(sum_m alpha_m * miss_m(x)) is one expression over the stumps.
-    """
-    d = len(features)
-    xs = [F.col(q(c)).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
-    base = train.select(*xs, F.col(q(label)).cast("int").alias("y"))
-    qs = base.approxQuantile([f"f{i}" for i in range(d)], [i / max_bins for i in range(1, max_bins)], 1e-4)
-    thresholds = [sorted(set(v for v in qf if v == v)) for qf in qs]
-    def n_below(th, name):  # bin = number of candidate thresholds below the value
-        if not th:
-            return F.lit(0)
-        return F.size(F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t < F.col(name)))
-
-    bins = [n_below(th, f"f{i}").alias(f"b{i}") for i, th in enumerate(thresholds)]
-    data = cut_lineage(base.select("*", *bins))
-    stumps, alphas = [], []
-    score = F.lit(0.0)
-    for _ in range(rounds):
-        w = F.exp(score)
-        cells = data.select(w.alias("w"), "y", F.inline(F.array(*[
-            F.struct(F.lit(i).alias("f"), F.col(f"b{i}").alias("b")) for i in range(d)])))
-        hist = cells.groupBy("f", "b").agg(F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("w0"),
-                                          F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("w1")).collect()
-        f, j, left, right, err = _best_stump(hist, d)
-        stump = (f, j, left, right, None if f is None or j >= len(thresholds[f]) else thresholds[f][j])
-        if err <= 0 or err >= 0.5:  # perfect, or no better than chance for two classes: stop
-            if err <= 0 or not stumps:
-                stumps.append(stump)
-                alphas.append(1.0)
-            break
-        alpha = rate * math.log((1.0 - err) / err)
-        stumps.append(stump)
-        alphas.append(alpha)
-        pred = F.lit(left) if f is None else F.when(F.col(f"b{f}") <= j, F.lit(left)).otherwise(F.lit(right))
-        score = score + F.lit(alpha) * (pred != F.col("y")).cast("double")
-    return adaboost_fitted(features, stumps, alphas)
+                 rate: float = ADA_RATE) -> Fitted:
+    """Discrete SAMME over depth-1 trees on every threshold (see :mod:`cohortlab.models.boosting`)."""
+    return adaboost_fitted(features, *fit_stumps(train, features, label, rounds, rate))
 
 
 def adaboost_fitted(features: list[str], stumps: list, alphas: list[float]) -> Fitted:
-    """The weighted vote of stumps (feature, bin, left class, right class, threshold)."""
+    """The weighted vote of stumps (feature, threshold, left class, right class)."""
     total, d = sum(alphas), len(features)
 
     def stump_pred(s):
-        f, j, left, right, thr = s
-        if f is None or thr is None:
+        f, thr, left, right = s
+        if f is None:
             return F.lit(left)
         return F.when(F.col(q(features[f])).cast("double") <= F.lit(thr), F.lit(left)).otherwise(F.lit(right))
 

@@ -120,6 +120,38 @@ _model_query("c5_gradient_boosting", "gradient_boosting", "boosted trees: 100 ro
 _model_query("c8_adaboost", "adaboost", "discrete SAMME, 100 stumps, rate 1.0")
 
 
+def _stumps_sql(rounds=5):
+    """Boosting rounds one after the other: every cut of every feature from running sums over its sorted values."""
+    cells = " UNION ALL ".join(f"SELECT {i} AS f, CAST({c} AS DOUBLE) AS v, target AS y, w FROM {{w}}" for i, c in enumerate(FEATS))
+    part = lambda a, b: f"CASE WHEN {a} + {b} > 0 THEN 2 * ({a}) * ({b}) / ({a} + {b}) ELSE 0 END"
+    parts, names = [PREP_CTE + "\n, w0 AS (SELECT *, 1.0::DOUBLE AS w FROM tr)"], "[" + ", ".join(f"'{c}'" for c in FEATS) + "]"
+    for r in range(rounds):
+        said = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(FEATS)) + " END"
+        parts.append(f"""
+, c{r} AS (SELECT f, v, sum(CASE WHEN y = 0 THEN w ELSE 0 END) AS a0, sum(CASE WHEN y = 1 THEN w ELSE 0 END) AS a1 FROM ({cells.format(w=f'w{r}')}) x GROUP BY f, v),
+t{r} AS (SELECT sum(CASE WHEN target = 0 THEN w ELSE 0 END) AS t0, sum(CASE WHEN target = 1 THEN w ELSE 0 END) AS t1 FROM w{r}),
+s{r} AS (SELECT f, (v + lead(v) OVER o) / 2 AS threshold, sum(a0) OVER o AS l0, sum(a1) OVER o AS l1, t0, t1 FROM c{r}, t{r}
+         WINDOW o AS (PARTITION BY f ORDER BY v)),
+b{r} AS (SELECT *, CAST(l1 > l0 AS INTEGER) AS lft, CAST(t1 - l1 > t0 - l0 AS INTEGER) AS rgt FROM s{r} WHERE threshold IS NOT NULL
+         ORDER BY round(({part('l0', 'l1')} + {part('(t0 - l0)', '(t1 - l1)')}) / (t0 + t1), 12), f, threshold LIMIT 1),
+e{r} AS (SELECT *, ln((1 - err) / err) AS alpha FROM (
+  SELECT *, ((CASE WHEN lft = 0 THEN l1 ELSE l0 END) + (CASE WHEN rgt = 0 THEN t1 - l1 ELSE t0 - l0 END)) / (t0 + t1) AS err FROM b{r}) x),
+w{r + 1} AS (SELECT tr.* EXCLUDE (w), w * exp(alpha * CAST((CASE WHEN {said} <= threshold THEN lft ELSE rgt END) <> target AS INTEGER)) AS w
+             FROM w{r} tr, e{r})""")
+    return "".join(parts) + "\n" + " UNION ALL ".join(
+        f"SELECT {r + 1} AS round, {names}[f + 1] AS feature, round(threshold, 6) AS threshold, lft AS class_left, rgt AS class_right, round(alpha, 6) AS alpha FROM e{r}"
+        for r in range(rounds))
+
+
+@register("c8_adaboost_stumps", _stumps_sql())
+def c8_adaboost_stumps(spark, sf):
+    """The first five boosting rounds: each the best of all thresholds of all features."""
+    train = prepared(spark, sf).where(F.col("split") == "train")
+    f = C.fit_adaboost(train, FEATS, rounds=5).extra
+    rows = [(i + 1, FEATS[s[0]], s[1], s[2], s[3], a) for i, (s, a) in enumerate(zip(f["stumps"], f["alphas"]))]
+    return rounded(spark.createDataFrame(rows, "round int, feature string, threshold double, class_left int, class_right int, alpha double"), 6)
+
+
 @register("c9_importance")
 def c9_importance(spark, sf):
     """Tree importances (random forest) and linear coefficients, ranked (C9 + W1)."""
