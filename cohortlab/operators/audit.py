@@ -1,11 +1,16 @@
 """Pre-training audit of an enhanced table against its original.
 
-Each check gives one row ``(check_id, check, status, n_issues)``. Row count,
-completeness, label presence and the direction means share ONE aggregation
-over the enhanced table; id integrity, cell equality and the spot check are a
-key comparison, a join and a filter. The eight rows are small and are gathered
-on the driver to derive the verdict. Unlike the reference, the spot check
-reports its real status instead of always passing.
+Each check gives one row ``(check_id, check, status, n_issues)``. Two actions
+answer all of them: row counts, id integrity, cell equality and the spot check
+come from one full outer join of the two tables, each grouped by key before
+(the join uses the groups' partitioning, and a key that repeats is one row of
+it), as conditional sums; completeness, label presence and the direction means
+are one aggregation over the enhanced table. The eight rows are small and are
+gathered on the driver to derive the verdict. Unlike the reference, the spot
+check reports its real status instead of always passing.
+
+Cells of a key that repeats on a side (an issue of check 2 already) are compared
+by their smallest and largest value.
 """
 
 from __future__ import annotations
@@ -18,8 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.functions.columns import q
-from cohortlab.operators.merge import key_differences
-from cohortlab.operators.profile import validate_keys
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 # Columns whose presence means label leakage.
@@ -39,28 +42,43 @@ def _status(ok: bool, bad: str = FAIL) -> str:
     return PASS if ok else bad
 
 
-def run_audit(original: DataFrame, enhanced: DataFrame, key: str, check_columns: list[str], label: str,
-              directions: list[Direction], spot_ids: list, spot_equal: list[str], spot_present: list[str],
-              label_low=0.0, label_high=1.0) -> DataFrame:
-    spark: SparkSession = enhanced.sparkSession
-    # the checks scan both tables several times: keep them for the audit, spill to disk if needed
-    enhanced = enhanced.persist(StorageLevel.MEMORY_AND_DISK)
-    original = original.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _run(spark, original, enhanced, key, check_columns, label, directions, spot_ids, spot_equal,
-                    spot_present, label_low, label_high)
-    finally:
-        enhanced.unpersist()
-        original.unpersist()
+def _key_facts(original: DataFrame, enhanced: DataFrame, key: str, cols: list[str], spot_ids: list, spot_equal: list[str],
+               spot_present: list[str]) -> dict:
+    """A1, A2, A3, A7 facts from one full outer join of the keys of both tables."""
+    def side(df: DataFrame, s: str) -> DataFrame:
+        def cell(c):
+            x = F.col(q(c))
+            return F.coalesce(x, F.lit("")) if isinstance(df.schema[c].dataType, T.StringType) else x
+        aggs = [F.count(F.lit(1)).alias(f"n_{s}")]
+        aggs += [f(cell(c)).alias(f"{s}{i}_{n}") for i, c in enumerate(cols) for n, f in (("low", F.min), ("high", F.max))]
+        aggs += [F.max(q(c)).alias(f"{s}_same{i}") for i, c in enumerate(spot_equal)]
+        aggs += [F.count(q(c)).alias(f"{s}_has{i}") for i, c in enumerate(spot_present) if s == "e"]
+        return df.groupBy(F.col(q(key)).alias("k")).agg(*aggs)
+
+    met = side(original, "o").join(side(enhanced, "e"), "k", "full_outer")
+    n_o, n_e = (F.coalesce(F.col(f"n_{s}"), F.lit(0)) for s in "oe")
+    known = F.col("k").isNotNull()
+    differ = [(~F.col(f"o{i}_low").eqNullSafe(F.col(f"e{i}_low")) | ~F.col(f"o{i}_high").eqNullSafe(F.col(f"e{i}_high"))).cast("long")
+              for i in range(len(cols))]
+    cells = F.when((n_o > 0) & (n_e > 0), sum(differ, F.lit(0).cast("long"))).otherwise(0)
+    bad = (n_o != 1) | (n_e != 1)
+    for i in range(len(spot_equal)):
+        bad = bad | ~F.coalesce(F.col(f"o_same{i}") == F.col(f"e_same{i}"), F.lit(False))
+    for i in range(len(spot_present)):
+        bad = bad | (F.coalesce(F.col(f"e_has{i}"), F.lit(0)) == 0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return met.agg(total(n_o).alias("rows_o"), total(n_e).alias("rows_e"), F.count_if(known & (n_e > 0)).alias("keys_e"),
+                   F.count_if(known & (n_e == 0)).alias("missing"), F.count_if(known & (n_o == 0)).alias("extra"),
+                   total(cells).alias("cells"), F.count_if(F.col("k").isin(*[F.lit(v) for v in spot_ids]) & bad).alias("spot")).first().asDict()
 
 
 def _enhanced_facts(enhanced: DataFrame, original: DataFrame, label: str, directions, label_low, label_high):
-    """A1, A4, A6, A8 facts of the enhanced table in ONE aggregation."""
+    """A4, A6, A8 facts of the enhanced table in ONE aggregation."""
     new_cols = [c for c in enhanced.columns if c not in original.columns]
     has_label = label in enhanced.columns
     dirs_ok = has_label and all(r.measure in enhanced.columns for r in directions)
     lv = F.col(q(label)) if has_label else None
-    exprs = [F.count(F.lit(1)).alias("__n"), (F.count(lv) if has_label else F.lit(0)).alias("__lab")]
+    exprs = [(F.count(lv) if has_label else F.lit(0)).alias("__lab")]
     exprs += [F.count(q(c)).alias(f"__c{i}") for i, c in enumerate(new_cols)]
     if dirs_ok:
         exprs += [F.avg(F.when(lv == label_low, F.col(q(r.measure)))).alias(f"__lo{i}") for i, r in enumerate(directions)]
@@ -68,35 +86,27 @@ def _enhanced_facts(enhanced: DataFrame, original: DataFrame, label: str, direct
     return enhanced.agg(*exprs).first(), new_cols, has_label, dirs_ok
 
 
-def _run(spark, original, enhanced, key, check_columns, label, directions, spot_ids, spot_equal, spot_present,
-         label_low, label_high) -> DataFrame:
-    rows = []
-    facts, new_cols, has_label, dirs_ok = _enhanced_facts(enhanced, original, label, directions, label_low,
-                                                          label_high)
+def run_audit(original: DataFrame, enhanced: DataFrame, key: str, check_columns: list[str], label: str,
+              directions: list[Direction], spot_ids: list, spot_equal: list[str], spot_present: list[str],
+              label_low=0.0, label_high=1.0) -> DataFrame:
+    """The nine rows of the audit."""
+    spark: SparkSession = enhanced.sparkSession
+    cols = [c for c in check_columns if c in original.columns and c in enhanced.columns]
+    enhanced = enhanced.persist(StorageLevel.MEMORY_AND_DISK)  # both actions read it
+    try:
+        keys = _key_facts(original, enhanced, key, cols, spot_ids, spot_equal, spot_present)
+        facts, new_cols, has_label, dirs_ok = _enhanced_facts(enhanced, original, label, directions, label_low, label_high)
+    finally:
+        enhanced.unpersist()
+    n_o, n_e = keys["rows_o"], keys["rows_e"]
     # A1 row count
-    n_o = original.count()
-    n_e = facts["__n"]
-    rows.append((1, "Row count match", _status(n_o == n_e), abs(n_e - n_o)))
+    rows = [(1, "Row count match", _status(n_o == n_e), abs(n_e - n_o))]
     # A2 id integrity: missing, extra, duplicated ids
-    diff = key_differences(original, enhanced, key).groupBy("side").count().collect()
-    d = {r["side"]: r["count"] for r in diff}
-    dups = validate_keys(enhanced, key).first()["duplicate_keys"]
-    n2 = d.get("missing", 0) + d.get("extra", 0) + dups
+    n2 = keys["missing"] + keys["extra"] + n_e - keys["keys_e"]
     rows.append((2, "Session ID integrity", _status(n2 == 0), n2))
     # A3 columns preserved + cell equality on the check columns (strings: null reads as '')
     missing_cols = [c for c in original.columns if c not in enhanced.columns]
-    cols = [c for c in check_columns if c in original.columns and c in enhanced.columns]
-    o = original.select(F.col(q(key)).alias("__k"), *[F.col(q(c)).alias(f"o_{i}") for i, c in enumerate(cols)])
-    e = enhanced.select(F.col(q(key)).alias("__k"), *[F.col(q(c)).alias(f"e_{i}") for i, c in enumerate(cols)])
-    j = o.join(e, "__k", "inner")
-    exprs = []
-    for i, c in enumerate(cols):
-        a, b = F.col(f"o_{i}"), F.col(f"e_{i}")
-        if isinstance(original.schema[c].dataType, T.StringType):
-            a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
-        exprs.append(F.count_if(~a.eqNullSafe(b)))
-    mism = j.select(sum(exprs, F.lit(0)).alias("m")).first()["m"] if exprs else 0
-    rows.append((3, "Original columns preserved", _status(not missing_cols and mism == 0), mism + len(missing_cols)))
+    rows.append((3, "Original columns preserved", _status(not missing_cols and keys["cells"] == 0), keys["cells"] + len(missing_cols)))
     # A4 completeness of the new columns (counts from the fused aggregation)
     empty = sum(1 for i, _ in enumerate(new_cols) if facts[f"__c{i}"] == 0)
     rows.append((4, "Feature completeness", _status(empty == 0, WARN), empty))
@@ -110,22 +120,7 @@ def _run(spark, original, enhanced, key, check_columns, label, directions, spot_
     else:
         rows.append((6, "Label present", FAIL, n_e))
     # A7 spot check of selected ids (ids absent from both sides are skipped)
-    ids = [F.lit(v) for v in spot_ids]
-    so = original.where(F.col(q(key)).isin(*ids))
-    se = enhanced.where(F.col(q(key)).isin(*ids))
-    oc = so.groupBy(F.col(q(key)).alias("__k")).agg(F.count(F.lit(1)).alias("no"),
-                                                     *[F.max(q(c)).alias(f"o_{i}") for i, c in enumerate(spot_equal)])
-    ec = se.groupBy(F.col(q(key)).alias("__k")).agg(F.count(F.lit(1)).alias("ne"),
-                                                    *[F.max(q(c)).alias(f"e_{i}") for i, c in enumerate(spot_equal)],
-                                                    *[F.count(q(c)).alias(f"p_{i}") for i, c in enumerate(spot_present)])
-    sj = oc.join(ec, "__k", "full_outer")
-    bad = (F.coalesce(F.col("no"), F.lit(0)) != 1) | (F.coalesce(F.col("ne"), F.lit(0)) != 1)
-    for i, _ in enumerate(spot_equal):
-        bad = bad | ~F.coalesce(F.col(f"o_{i}") == F.col(f"e_{i}"), F.lit(False))
-    for i, _ in enumerate(spot_present):
-        bad = bad | (F.coalesce(F.col(f"p_{i}"), F.lit(0)) == 0)
-    n7 = sj.where(bad).count()
-    rows.append((7, "Patient spot-check", _status(n7 == 0), n7))
+    rows.append((7, "Patient spot-check", _status(keys["spot"] == 0), keys["spot"]))
     # A8 clinical direction: conditional means (from the fused aggregation)
     if dirs_ok:
         wrong = 0
