@@ -125,28 +125,27 @@ def _hashes(text: str) -> tuple[Column, Column]:
 
 
 def sign(df: DataFrame, key: str, text: str, bands: int, rows: int, size: int, counted: bool) -> DataFrame:
-    """(id, h0, h1, sig, bands): key, two hashes of the text, a byte of every coordinate and the band hashes."""
+    """(id, h0, h1, sig, bands): key, two hashes of the text, a byte of every coordinate and the band hashes; the last two
+    are null in some rows of a text that has several."""
     h0, h1 = _hashes(text)
     src = df.select(col(key).cast("long").alias("id"), h0.alias("h0"), h1.alias("h1"), text_of(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, keys, known = [], [], {}
+            sigs, keys, known = [], [], set()
             for h, t in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                if (got := known.get(h)) is None:
+                got = None, None  # a copy: the first row of the batch has its signature
+                if h not in known:
+                    known.add(h)
                     element, count = shingles(t, size)
+                    got = b"", np.zeros(0, np.int64)
                     if len(element):
                         s = signature(element, (count if counted else np.ones(len(count))).astype(float), bands * rows)
                         got = (s & np.uint64(255)).astype(np.uint8).tobytes(), band_keys(s, bands, rows)
-                    else:
-                        got = b"", np.zeros(0, np.int64)
-                    known[h] = got
                 sigs.append(got[0])
                 keys.append(got[1])
-            ends = np.cumsum([0, *map(len, keys)])
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                [*batch.columns[:3], pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["id", "h0", "h1", "sig", "bands"])
 
     return src.mapInArrow(run, "id long, h0 long, h1 long, sig binary, bands array<long>")
@@ -210,17 +209,17 @@ def _classes(df: DataFrame, key: str, text: str, similarity: float, bands: int =
              counted: bool = False) -> DataFrame:
     """(id, h0, h1, class_id, head) for every row; ``head``: the row has the id and text that represent its class."""
     least = similarity - 4 * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
-    signed = cut(sign(df, key, text, bands, rows, size, counted))
-    nodes = cut(signed.groupBy("h0", "h1").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-                .withColumn("node", F.xxhash64("h0", "h1")))
+    signed = stored(sign(df, key, text, bands, rows, size, counted), "signatures")
+    nodes = stored(signed.groupBy("h0", "h1").agg(F.min("id").alias("rep"), F.first("sig", True).alias("sig"), F.first("bands", True).alias("bands"))
+                   .withColumn("node", F.xxhash64("h0", "h1")), "texts")
     spread = nodes.select("node", F.posexplode("bands").alias("b", "v")).select("node", F.xxhash64("b", "v").alias("bucket"))
-    buckets = (spread.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("other"), F.count("*").alias("n"),
-                                            F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
-               .where("n > 1").groupBy("n", "centre", "other", "x", "y").agg(F.min("bucket").alias("bucket")))
+    # nodes are hashes already: their number, ends and xor tell apart buckets with other members
+    buckets = (spread.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("other"), F.count("*").cast("int").alias("n"),
+                                            F.bit_xor("node").alias("x"))
+               .where("n > 1").groupBy("n", "centre", "other", "x").agg(F.min("bucket").alias("bucket")))
     buckets = cut(buckets.select("bucket", "n", "centre", "other"))
     pairs = buckets.where("n = 2").select(F.col("centre").alias("a"), F.col("other").alias("b"))
-    members = cut(spread.join(buckets.where("n > 2").select("bucket", "n", "centre"), "bucket")
-                  .join(nodes.select("node", "sig"), "node"))
+    members = cut(spread.join(buckets.where("n > 2").select("bucket", "n", "centre"), "bucket"))
 
     def forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _grouped(frames, ["bucket"]):
@@ -228,7 +227,7 @@ def _classes(df: DataFrame, key: str, text: str, similarity: float, bands: int =
             if got:
                 yield pd.DataFrame(got, columns=["a", "b"])
 
-    small = members.where(F.col("n") <= BLOCK).repartition("bucket").sortWithinPartitions("bucket", "node")
+    small = members.where(F.col("n") <= BLOCK).join(nodes.select("node", "sig"), "node").repartition("bucket").sortWithinPartitions("bucket", "node")
     edges = (pairs.unionByName(small.select("bucket", "node", "sig").mapInPandas(forest, "a long, b long"))
              .unionByName(members.where((F.col("n") > BLOCK) & (F.col("node") != F.col("centre")))
                           .select(F.col("centre").alias("a"), F.col("node").alias("b"))))
