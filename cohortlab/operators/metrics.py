@@ -12,11 +12,11 @@ AUC = Σ_s pos(s) · (neg_below(s) + neg(s) / 2) / (P · N)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
-from cohortlab.session import stored
+from cohortlab.operators.ranks import running
 
 
 def _cnt(pred):
@@ -50,21 +50,12 @@ def roc_auc(df: DataFrame, score: str = "score", truth: str = "truth", group: li
 
     ``buckets``: ranges of the sort, by default as many as the session's shuffle partitions.
     """
-    names = [f"__g{i}" for i in range(len(group or []))]
+    names = [f"__a{i}" for i in range(len(group or []))]
     counted = df.groupBy(*[F.col(q(c)).alias(n) for c, n in zip(group or [], names)], F.col(q(score)).cast("double").alias("s")).agg(
         F.count_if(F.col(q(truth)) == 1).alias("pos"), F.count_if(F.col(q(truth)) == 0).alias("neg")).where("s IS NOT NULL")
-    order = [*names, "s"]
-    dealt = stored(counted.repartitionByRange(*([buckets] if buckets else []), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()), "auc-scores")
-    before = lambda *by: Window.partitionBy(*names, *by).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (dealt.groupBy(*names, "range").agg(F.sum("neg").alias("n"))
-              .withColumn("below", F.coalesce(F.sum("n").over(before().orderBy("range")), F.lit(0)))
-              .select(*[F.col(n).alias(f"{n}r") for n in names], F.col("range").alias("r"), "below"))
-    same = F.col("range") == F.col("r")
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}r"))
-    below = F.col("below") + F.coalesce(F.sum("neg").over(before("range").orderBy("s")), F.lit(0))
-    parts = dealt.join(ranges, same).select(*names, "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("c"))
-    agg = parts.groupBy(*names).agg(F.sum("c").alias("c"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    scanned = running(counted, names, "s", "neg", "below", buckets)
+    agg = scanned.groupBy(*names).agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("c"),
+                                      F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return agg.select(*[F.col(n).alias(c) for c, n in zip(group or [], names)], F.when(
         (F.col("P") > 0) & (F.col("N") > 0), F.col("c") / (F.col("P") * F.col("N"))).alias("roc_auc"))
 

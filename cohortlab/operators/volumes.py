@@ -1,9 +1,10 @@
 """Per-session image statistics, mid-plane slices and session QC.
 
-Intensities live in the slab ``values`` arrays. Statistics explode only the
-values they need and aggregate per session with partial aggregation; exact
-percentiles rank counted values (see ``quantiles``), or use ``accuracy=`` for
-the approximate sketch.
+Intensities live in the slab ``values`` arrays. Foreground statistics explode the
+values once, into a histogram: equal values are counted where their slabs are,
+and the counts are merged per session. All statistics are then read from the
+histogram, percentiles by running counts along its sorted values
+(``ranks.running``), which no session's size puts into one task.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
-from cohortlab.operators.quantiles import exact_quantiles
+from cohortlab.operators.ranks import running
+from cohortlab.session import stored
 
 FOREGROUND_STATS = ("min", "max", "mean", "std", "median", "p01", "p99")
 
@@ -24,18 +26,31 @@ def foreground_stats(sessions: DataFrame, slabs: DataFrame, values: str = "value
     Every session of ``sessions`` gets a row; one with no foreground voxel (or
     no image) gets zeros, as the reference does.
     """
-    fg = (slabs.select("session_id", F.explode(values).alias("v")).where(F.col("v") > 0))
-    st = fg.groupBy("session_id").agg(
-        F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("nonzero_voxels"))
+    probs = {"median": 0.5, "p01": 0.01, "p99": 0.99}
+    histogram = (slabs.select("session_id", F.explode(F.col(values).cast("array<double>")).alias("v")).where(F.col("v") > 0)
+                 .groupBy("session_id", "v").agg(F.count(F.lit(1)).alias("c")))
     if accuracy is None:
-        pct = exact_quantiles(fg, "v", [0.5, 0.01, 0.99], ["session_id"], names=["median", "p01", "p99"]).drop("n")
+        ranked = running(histogram, ["session_id"], "v", "c")
     else:
-        p = F.percentile_approx("v", [0.5, 0.01, 0.99], accuracy).cast("array<double>")
-        pct = fg.groupBy("session_id").agg(p.alias("__p")).select(
-            "session_id", F.col("__p")[0].alias("median"), F.col("__p")[1].alias("p01"), F.col("__p")[2].alias("p99"))
-    st = st.join(pct, "session_id").select("session_id", "min", "max", "mean", "std", "median", "p01", "p99",
-                                           "nonzero_voxels")
+        ranked = stored(histogram, "histogram")
+    total = ranked.groupBy("session_id").agg(F.min("v").alias("min"), F.max("v").alias("max"), F.sum("c").alias("nonzero_voxels"),
+                                             (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"))
+    total = stored(total, "totals")  # one row a session: Spark knows its size
+    rows, n = ranked.join(total, "session_id"), F.col("nonzero_voxels")
+    spread = F.sqrt(F.sum(F.col("c") * F.pow(F.col("v") - F.col("mean"), 2)) / F.first("nonzero_voxels")).alias("std")
+    if accuracy is None:
+        def at(rank):
+            return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("c")), F.col("v")))
+        picks = [x for name, p in probs.items() for x in (at(F.floor((n - 1) * p)).alias(f"{name}0"), at(F.ceil((n - 1) * p)).alias(f"{name}1"),
+                                                          F.first((n - 1) * p - F.floor((n - 1) * p)).alias(f"{name}f"))]
+        read = rows.groupBy("session_id").agg(spread, *picks).select("session_id", "std", *[
+            (F.col(f"{name}0") + (F.col(f"{name}1") - F.col(f"{name}0")) * F.col(f"{name}f")).alias(name) for name in probs])
+    else:  # a sketch over the values as often as they occur
+        p = F.expr(f"approx_percentile(v, array({', '.join(map(str, probs.values()))}), {int(accuracy)})")
+        sketch = slabs.select("session_id", F.explode(F.col(values).cast("array<double>")).alias("v")).where(F.col("v") > 0).groupBy("session_id").agg(p.alias("p"))
+        read = rows.groupBy("session_id").agg(spread).join(sketch, "session_id").select(
+            "session_id", "std", *[F.col("p")[i].alias(name) for i, name in enumerate(probs)])
+    st = total.join(read, "session_id").select("session_id", *FOREGROUND_STATS, "nonzero_voxels")
     s = sessions.select(F.col(q(key)).alias("session_id")).distinct()
     j = s.join(st, "session_id", "left")
     return j.select("session_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in FOREGROUND_STATS],

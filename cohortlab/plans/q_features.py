@@ -430,36 +430,39 @@ def w6_mid_slices(spark, sf):
     return volumes.mid_slices(T.slabs(spark, sf), T.meta(spark, sf))
 
 
-QC_SQL = IMG + """
-, img AS (SELECT DISTINCT session_id FROM voxels),
-fg AS (SELECT session_id, min(value) AS mn, max(value) AS mx, avg(value) AS mean, stddev_pop(value) AS sd,
-              quantile_cont(value, [0.5, 0.01, 0.99]) AS q, count(*) AS n
-       FROM voxels WHERE value > 0 GROUP BY session_id),
+QC_SQL = IMG + "," + T.IMAGE_STATUS_CTE + """
+, fg AS (SELECT session_id, min(value) AS mn, max(value) AS mx, avg(value) AS mean, stddev_pop(value) AS sd,
+                quantile_cont(value, [0.5, 0.01, 0.99]) AS q, count(*) AS n
+         FROM voxels WHERE value > 0 GROUP BY session_id),
 qc AS (
-  SELECT v.session_id, CASE WHEN img.session_id IS NOT NULL THEN 'success' ELSE 'missing' END AS seg_status,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(mn, 0.0) END AS seg_min,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(mx, 0.0) END AS seg_max,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(mean, 0.0) END AS seg_mean,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(sd, 0.0) END AS seg_std,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(q[1], 0.0) END AS seg_median,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(q[2], 0.0) END AS seg_p01,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(q[3], 0.0) END AS seg_p99,
-         CASE WHEN img.session_id IS NOT NULL THEN coalesce(n, 0) END AS seg_nonzero_voxels,
-         true AS qc_pass,
-         CASE WHEN img.session_id IS NULL THEN ['seg file missing'] ELSE [] END AS errors
-  FROM (SELECT DISTINCT session_id FROM visits) v LEFT JOIN img ON v.session_id = img.session_id
+  SELECT v.session_id, coalesce(i.status, 'missing') AS seg_status,
+         CASE WHEN i.status = 'success' THEN coalesce(mn, 0.0) END AS seg_min,
+         CASE WHEN i.status = 'success' THEN coalesce(mx, 0.0) END AS seg_max,
+         CASE WHEN i.status = 'success' THEN coalesce(mean, 0.0) END AS seg_mean,
+         CASE WHEN i.status = 'success' THEN coalesce(sd, 0.0) END AS seg_std,
+         CASE WHEN i.status = 'success' THEN coalesce(q[1], 0.0) END AS seg_median,
+         CASE WHEN i.status = 'success' THEN coalesce(q[2], 0.0) END AS seg_p01,
+         CASE WHEN i.status = 'success' THEN coalesce(q[3], 0.0) END AS seg_p99,
+         CASE WHEN i.status = 'success' THEN coalesce(n, 0) END AS seg_nonzero_voxels,
+         CASE WHEN i.status = 'success' THEN [4, 4, 4] END AS seg_shape,
+         CASE WHEN i.status = 'success' THEN [30.0, 20.0, 16.0] END AS seg_voxel_dims,
+         i.error AS seg_error, coalesce(i.status, 'missing') NOT IN ('failed', 'error') AS qc_pass,
+         CASE WHEN i.status IS NULL THEN ['seg file missing'] WHEN i.error IS NOT NULL THEN ['seg: ' || i.error] ELSE [] END AS errors
+  FROM (SELECT DISTINCT session_id FROM visits) v LEFT JOIN image_status i ON v.session_id = i.session_id
        LEFT JOIN fg ON v.session_id = fg.session_id
 )"""
 
 
 def _qc(spark, sf):
-    return volumes.session_qc(T.visits(spark, sf), {"seg": (T.slabs(spark, sf), "values")})
+    return volumes.session_qc(T.visits(spark, sf), {"seg": (T.slabs(spark, sf), "values", T.image_status(spark, sf))})
 
 
 @register("i5_session_qc", QC_SQL + "\nSELECT session_id, seg_status, " + ", ".join(
-    f"round(seg_{c}, 9) AS seg_{c}" for c in volumes.FOREGROUND_STATS) + ", seg_nonzero_voxels, qc_pass, errors FROM qc")
+    f"round(seg_{c}, 9) AS seg_{c}" for c in volumes.FOREGROUND_STATS)
+    + ", seg_nonzero_voxels, seg_shape, seg_voxel_dims, seg_error, qc_pass, errors FROM qc")
 def i5_session_qc(spark, sf):
-    """Per session: image status, foreground stats, qc_pass (missing does not fail) and errors."""
+    """Per session: image status (good, missing, blank, truncated), foreground stats, geometry, qc_pass (missing does
+    not fail) and errors."""
     return rounded(_qc(spark, sf), 9)
 
 

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlab.operators.metrics import roc_auc
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -159,6 +161,31 @@ def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def image_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader tells about each session's image: the geometry of good ones, the error of broken ones.
+
+    Images of label 3 whose first value is negative are blank (``failed``), those of label 7 whose second value is above
+    0.1 are truncated (``error``).
+    """
+    e = table(spark, sf_dir, "embeddings").join(meta(spark, sf_dir).withColumnRenamed("session_id", "vec_id"), "vec_id")
+    blank = (F.col("label") == 3) & (F.col("embedding")[0] < 0)
+    cut = (F.col("label") == 7) & (F.col("embedding")[1] > F.lit(0.1).cast("float"))
+    good = ~(blank | cut)
+    return e.select(F.col("vec_id").alias("session_id"), F.when(blank, "failed").when(cut, "error").otherwise("success").alias("status"),
+                    F.when(blank, "blank image").when(cut, F.concat(F.lit("data end after "), F.col("label").cast("string"), F.lit(" slabs"))).alias("error"),
+                    F.when(good, F.col("dims")).alias("dims"), F.when(good, F.col("zooms")).alias("zooms"))
+
+
+IMAGE_STATUS_CTE = """
+image_status AS (
+  SELECT vec_id AS session_id,
+         CASE WHEN label = 3 AND embedding[1] < 0 THEN 'failed' WHEN label = 7 AND embedding[2] > 0.1::FLOAT THEN 'error' ELSE 'success' END AS status,
+         CASE WHEN label = 3 AND embedding[1] < 0 THEN 'blank image'
+              WHEN label = 7 AND embedding[2] > 0.1::FLOAT THEN 'data end after ' || label || ' slabs' END AS error
+  FROM embeddings
+)"""
+
+
 def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per voxel (session_id, i, j, k, label, value)."""
     e = table(spark, sf_dir, "embeddings")
@@ -296,16 +323,16 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = (F.col("o_totalprice") > 250000).cast("int")
     truth = (F.coalesce(F.col("n_items"), F.lit(0)) > 4).cast("int")
     g = j.select(scen[F.col("o_orderpriority")].alias("scenario"), mod[F.col("o_orderstatus")].alias("model"),
-                 pred.alias("pred"), truth.alias("truth"))
+                 F.col("o_totalprice").alias("score"), pred.alias("pred"), truth.alias("truth"))
     tp = F.count_if((F.col("pred") == 1) & (F.col("truth") == 1))
     fp = F.count_if((F.col("pred") == 1) & (F.col("truth") == 0))
     fn = F.count_if((F.col("pred") == 0) & (F.col("truth") == 1))
     agg = g.groupBy("scenario", "model").agg(
         F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("accuracy"),
         (2 * tp / (2 * tp + fp + fn)).alias("f1_score"),
-        F.avg(F.col("truth").cast("double")).alias("roc_auc"),
         F.count(F.lit(1)).alias("n"))
-    return agg
+    auc = roc_auc(g, "score", "truth", ["scenario", "model"])
+    return agg.join(auc, ["scenario", "model"]).select("scenario", "model", "accuracy", "f1_score", "roc_auc", "n")
 
 
 RUNS_CTE = """
@@ -315,17 +342,23 @@ rg AS (
            WHEN '3-MEDIUM' THEN 'Without Global Brain Metrics' WHEN '4-NOT SPECIFIED' THEN 'Without MMSE + Global'
            WHEN '5-LOW' THEN 'Only MMSE' END AS scenario,
          CASE o_orderstatus WHEN 'F' THEN 'random_forest' WHEN 'O' THEN 'logistic_regression' WHEN 'P' THEN 'xgboost' END AS model,
-         CAST(o_totalprice > 250000 AS INTEGER) AS pred,
+         o_totalprice AS score, CAST(o_totalprice > 250000 AS INTEGER) AS pred,
          CAST(coalesce(n_items, 0) > 4 AS INTEGER) AS truth
   FROM orders LEFT JOIN rn ON o_orderkey = l_orderkey
 ),
+rs AS (SELECT scenario, model, pos, neg, coalesce(sum(neg) OVER (PARTITION BY scenario, model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+              AND 1 PRECEDING), 0) AS below
+       FROM (SELECT scenario, model, score, count(*) FILTER (WHERE truth = 1) AS pos, count(*) FILTER (WHERE truth = 0) AS neg
+             FROM rg GROUP BY scenario, model, score) x),
+ra AS (SELECT scenario, model, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END AS roc_auc
+       FROM rs GROUP BY scenario, model),
 runs AS (
   SELECT scenario, model, avg(CAST(pred = truth AS DOUBLE)) AS accuracy,
          2 * count(*) FILTER (WHERE pred = 1 AND truth = 1) /
            (2 * count(*) FILTER (WHERE pred = 1 AND truth = 1) + count(*) FILTER (WHERE pred = 1 AND truth = 0)
             + count(*) FILTER (WHERE pred = 0 AND truth = 1)) AS f1_score,
-         avg(CAST(truth AS DOUBLE)) AS roc_auc, count(*) AS n
-  FROM rg GROUP BY scenario, model
+         any_value(roc_auc) AS roc_auc, count(*) AS n
+  FROM rg JOIN ra USING (scenario, model) GROUP BY scenario, model
 )"""
 
 
