@@ -125,3 +125,19 @@ def string_fields(df: DataFrame) -> list[str]:
 def q(name: str) -> str:
     """Backtick-quote a column name (names may hold '/', ' ' or '.')."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def title_text(c: str | Column) -> Column:
+    """a name with underscores as words, each with a capital first letter (``random_forest`` → ``Random Forest``)."""
+    return F.initcap(F.translate(col(c), "_", " "))
+
+
+def fixed_text(c: str | Column, digits: int = 4) -> Column:
+    """a number with a fixed number of digits, rounded as Python's format does; null stays null."""
+    x = display_round(c, digits)
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
+
+
+def percent_text(c: str | Column, digits: int = 1) -> Column:
+    """a share as a percentage text (0.0625 → ``6.2%``)."""
+    return F.concat(fixed_text(col(c) * 100, digits), F.lit("%"))

@@ -21,6 +21,22 @@ ID_COLUMNS = ("ID", "Subject ID", "Subject_ID", "MRI ID", "dataset", "Hand")
 NEGATIVE_LABEL = "Nondemented"
 
 
+# The columns that each named feature set leaves out.
+FEATURE_SETS = {
+    "full": (),
+    "no_mmse": ("MMSE",),
+    "imaging_only": ("MMSE", "nWBV", "eTIV", "ASF", "Delay", "SES"),
+}
+
+
+def feature_set(df: DataFrame, name: str, sets: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """The frame without the columns that a named feature set leaves out; columns that are not there do not matter."""
+    sets = FEATURE_SETS if sets is None else sets
+    if name not in sets:
+        raise ValueError(f"no feature set is called {name!r}; there are {sorted(sets)}")
+    return drop_if_present(df, *sets[name])
+
+
 def detect_target(df: DataFrame, candidates=TARGET_CANDIDATES) -> str:
     """First candidate present in the schema."""
     for c in candidates:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import q
+from cohortlab.operators.ranks import numbered
 
 BASELINE = "Baseline (All Features)"
 # Flag rules (substring of the scenario, minimum drop, flag), first match wins.
@@ -126,10 +127,17 @@ def performance_band(value: Column, baseline: Column | None = None) -> Column:
             .otherwise("green"))
 
 
+def _ranked(df: DataFrame, value: Column, name: str, group: list[str] | None) -> DataFrame:
+    """``rank`` by falling value, then name; without a group by a range sort (no window sees all rows)."""
+    if group:
+        return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(value.desc(), F.col(q(name)))))
+    placed = numbered(df.withColumns({"__none": value.isNull(), "__down": -value}), [], ["__none", "__down", name], "__place")
+    return placed.withColumn("rank", (F.col("__place") + 1).cast("int")).drop("__none", "__down", "__place")
+
+
 def leaderboard(results: DataFrame, metric: str = "accuracy", group: list[str] | None = None) -> DataFrame:
     """Rank per group by metric desc (ties by model name)."""
-    w = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.col(metric).desc(), F.col("model"))
-    return results.withColumn("rank", F.row_number().over(w))
+    return _ranked(results, F.col(q(metric)), "model", group)
 
 
 def best_per_group(results: DataFrame, group: str = "scenario", metric: str = "accuracy") -> DataFrame:
@@ -143,8 +151,7 @@ def importance_ranking(imp: DataFrame, value: str = "importance", feature: str =
                        absolute: bool = False, group: list[str] | None = None) -> DataFrame:
     """Descending importance (absolute value for coefficients), ties by feature name, with rank."""
     key = F.abs(F.col(q(value))) if absolute else F.col(q(value))
-    w = Window.partitionBy(*(group or [F.lit(0)])).orderBy(key.desc(), F.col(q(feature)))
-    return imp.withColumn("rank", F.row_number().over(w))
+    return _ranked(imp, key, feature, group)
 
 
 def top_n(imp: DataFrame, n: int = 20, value: str = "importance", feature: str = "feature",

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlab.functions.columns import display_round, nan_to_null, q, truthy
+from cohortlab.functions.columns import argmax_index, display_round, nan_to_null, q, truthy
 from cohortlab.operators.encode import apply_label_encoder
 
 # Class labels of the scoring report and of the status map.
@@ -69,7 +69,7 @@ def scale_and_select(aligned: DataFrame, moments: dict[str, tuple[float, float]]
 def score_report(scored: DataFrame, key: str, n_features: int, prefix: str = "") -> DataFrame:
     """Class, label, confidence = max(p0, p1), both probabilities, number of features."""
     p1 = F.col("p1")
-    cls = (p1 > 0.5).cast("int")
+    cls = argmax_index(F.array(1 - p1, p1)).cast("int")  # a tie goes to the first class
     return scored.select(
         F.col(q(key)),
         cls.alias(f"{prefix}prediction"),

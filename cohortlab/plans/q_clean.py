@@ -146,3 +146,56 @@ def p8_drop_rename(spark, sf):
     v = T.visits(spark, sf).select("session_id", "ID", "subject", "status", "priority", "price")
     v = clean.drop_if_present(v, "status", "Delay")
     return clean.rename_if_present(v, {"subject": "Subject_ID", "MR Delay": "delay"})
+
+
+CLINICAL = {"ID": "ID", "session_id": "Subject_ID", "status": "M/F", "priority": "SES", "n_items": "Age", "qty": "MMSE", "price": "eTIV",
+            "disc": "nWBV", "tax": "ASF", "cdr": "CDR"}
+
+
+def clinical(spark, sf):
+    """The visits under the names of the clinical sheet."""
+    return T.visits(spark, sf).select(*[F.col(a).alias(b) for a, b in CLINICAL.items()])
+
+
+@register("p1_p3_schema_choices", T.with_ctes(T.VISITS_CTE) + """
+SELECT 'CDR' AS target, ['M/F', 'SES', 'Age', 'MMSE', 'eTIV', 'nWBV', 'ASF'] AS features, ['Age', 'MMSE', 'eTIV', 'nWBV', 'ASF'] AS numeric_features,
+       ['M/F', 'SES'] AS text_features, count(cdr) AS n_rated, count(*) AS n_rows FROM visits""")
+def p1_p3_schema_choices(spark, sf):
+    """Target, features without identifiers and their split by type, over the rows that have a rating."""
+    v = clinical(spark, sf)
+    target = clean.detect_target(v)
+    feats = clean.feature_columns(v, target)
+    texts = lambda cs: F.array(*[F.lit(c) for c in cs])
+    return v.agg(F.lit(target).alias("target"), texts(feats).alias("features"), texts(clean.numeric_columns(v, feats)).alias("numeric_features"),
+                 texts(clean.string_columns(v, feats)).alias("text_features"), F.count(F.col(target)).alias("n_rated"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("p9_feature_sets", T.with_ctes(T.VISITS_CTE) + """
+, s AS (SELECT unnest([{'n': 'full', 'c': ['M/F', 'SES', 'Age', 'MMSE', 'eTIV', 'nWBV', 'ASF']}, {'n': 'no_mmse', 'c': ['M/F', 'SES', 'Age', 'eTIV', 'nWBV', 'ASF']},
+                        {'n': 'imaging_only', 'c': ['M/F', 'Age']}]) AS s)
+SELECT s.n AS feature_set, s.c AS features, count(*) AS n_rows, round(avg(CAST(n_items AS DOUBLE)), 6) AS mean_age FROM visits, s GROUP BY s.n, s.c""")
+def p9_feature_sets(spark, sf):
+    """The columns that each named feature set keeps, on the clinical sheet."""
+    v, out = clinical(spark, sf), None
+    for name in clean.FEATURE_SETS:
+        kept = clean.feature_set(v, name)
+        row = kept.agg(F.lit(name).alias("feature_set"), F.array(*[F.lit(c) for c in clean.feature_columns(kept, "CDR")]).alias("features"),
+                       F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("Age"), 6).alias("mean_age"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("u4_schema_containment", """
+SELECT 'orders' AS table_name, true AS ok, []::VARCHAR[] AS missing, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'events', false, ['o_custkey', 'o_orderkey'], count(*) FROM events""")
+def u4_schema_containment(spark, sf):
+    """Does a table have the columns that a job needs? Tables with their missing columns."""
+    from cohortlab.operators.merge import schema_contains
+    out = None
+    for name in ("orders", "events"):
+        df = T.table(spark, sf, name)
+        ok, missing = schema_contains(df, ["o_custkey", "o_orderkey"])
+        row = df.agg(F.lit(name).alias("table_name"), F.lit(ok).alias("ok"), F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing"),
+                     F.count(F.lit(1)).alias("n_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out

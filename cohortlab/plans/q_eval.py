@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlab.functions.columns import safe_corr
+from cohortlab.functions.columns import fixed_text, percent_text, safe_corr, title_text
 from cohortlab.operators import metrics, runs, split
 from cohortlab.plans import q_features as QF
 from cohortlab.plans.registry import register, rounded
@@ -293,3 +293,24 @@ def p28_feature_groups(spark, sf):
     imp = importance(spark, sf)
     f = F.col("feature")
     return imp.select("feature", *[runs.feature_group(f, rs).alias(rs) for rs in ("summary", "chart", "explorer")])
+
+
+@register("f4_f9_report_lines", R + """
+, b AS (SELECT model, accuracy AS baseline FROM runs WHERE scenario = 'Baseline (All Features)')
+SELECT scenario, array_to_string(list_transform(string_split(replace(r.model, '_', ' '), ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS model_title,
+       printf('%.4f', accuracy) AS accuracy_text, printf('%.1f', (baseline - accuracy) * 100) || '%' AS drop_text
+FROM runs r JOIN b USING (model)""")
+def f4_f9_report_lines(spark, sf):
+    """The grid as report lines: model names in title case, accuracies with four digits, drops as percentages."""
+    g = T.runs(spark, sf)
+    base = g.where(F.col("scenario") == "Baseline (All Features)").select("model", F.col("accuracy").alias("baseline"))
+    return g.join(base, "model").select("scenario", title_text("model").alias("model_title"), fixed_text("accuracy").alias("accuracy_text"),
+                                        percent_text(F.col("baseline") - F.col("accuracy")).alias("drop_text"))
+
+
+@register("w1_global_leaderboard", R + """
+SELECT scenario, model, round(accuracy, 9) AS accuracy, row_number() OVER (ORDER BY accuracy DESC, scenario || model) AS rank FROM runs""")
+def w1_global_leaderboard(spark, sf):
+    """All cells of the grid in one ranking, without a window over all of them."""
+    g = T.runs(spark, sf).select("scenario", F.col("model").alias("kind"), "accuracy", F.concat("scenario", "model").alias("model"))
+    return rounded(runs.leaderboard(g).select("scenario", F.col("kind").alias("model"), "accuracy", "rank"), 9)
