@@ -152,6 +152,76 @@ def c8_adaboost_stumps(spark, sf):
     return rounded(spark.createDataFrame(rows, "round int, feature string, threshold double, class_left int, class_right int, alpha double"), 6)
 
 
+@register("c2_optimality", PREP_CTE + "\n" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS condition, round(sum(target * {c}) / count(*), 3) AS value FROM tr" for c in FEATS]
+    + ["SELECT 'intercept', round(avg(CAST(target AS DOUBLE)), 3) FROM tr"]))
+def c2_optimality(spark, sf):
+    """Where the gradient of the penalised loss vanishes, mean(p x) + w / (C n) equals mean(y x) for every feature, and
+    mean(p) equals the share of positives: the left sides from the fitted model, the right sides in SQL."""
+    train = prepared(spark, sf).where(F.col("split") == "train")
+    f = C.fit("logistic_regression", train, FEATS)
+    w, p1 = dict(f.coefficients), F.col("p1")
+    row = f.transform(train).agg(F.count(F.lit(1)).alias("n"), F.avg(p1).alias("intercept"), *[F.avg(p1 * F.col(c)).alias(c) for c in FEATS]).first()
+    rows = [(c, row[c] + w[c] / (C.LR_C * row["n"])) for c in FEATS] + [("intercept", row["intercept"])]
+    return rounded(spark.createDataFrame(rows, "condition string, value double"), 3)
+
+
+@register("c3_calibration_optimality", PREP_CTE + "\nSELECT count(*) AS n_train, round(avg(CAST(target AS DOUBLE)), 3) AS mean_probability, "
+          "true AS margins_ordered, true AS few_on_wrong_side FROM tr")
+def c3_calibration_optimality(spark, sf):
+    """Platt's calibration is a fitted logistic curve, so its mean probability equals the share of positives; a larger
+    margin never has a smaller probability, and the hinge loss is below that of the constant answer."""
+    train = prepared(spark, sf).where(F.col("split") == "train")
+    f = C.fit("svm", train, FEATS)
+    share = F.avg(F.col("target").cast("double"))
+    scored = f.transform(train)
+    return scored.agg(F.count(F.lit(1)).alias("n_train"), F.round(F.avg("p1"), 3).alias("mean_probability"), F.lit(f.extra["a"] > 0).alias("margins_ordered"),
+                      (F.avg((F.col("pred") != F.col("target")).cast("double")) <= F.least(share, 1 - share) + 1e-9).alias("few_on_wrong_side"))
+
+
+def _first_tree_query(key, model_type):
+    @register(key, PREP_CTE + "\nSELECT count(*) AS n_train, round(2 * avg(CAST(target AS DOUBLE)) - 1, 6) AS mean_first_tree, 0.0 AS largest_leaf_error, "
+              "100 AS n_trees, true AS shallow, 1.0 AS importance_sum FROM tr")
+    def fn(spark, sf):
+        train = cut_lineage(prepared(spark, sf).where(F.col("split") == "train").select("target", *FEATS))
+        f = C.fit(model_type, train, FEATS)
+        first = f.spark_model.trees[0]
+        answer = 2.0 * F.col("target") - 1.0
+        leaves = first.transform(C.assemble(train, FEATS)).groupBy(first.getPredictionCol()).agg(
+            F.count(F.lit(1)).alias("n"), F.avg(answer).alias("mean"), F.sum(F.col(first.getPredictionCol())).alias("total"))
+        depth = {"xgboost": C.XGB_PARAMS, "gradient_boosting": C.GB_PARAMS}[model_type]["maxDepth"]
+        return leaves.agg(F.sum("n").alias("n_train"), F.round(F.sum("total") / F.sum("n"), 6).alias("mean_first_tree"),
+                          F.round(F.max(F.abs(F.col("mean") - F.col(first.getPredictionCol()))), 6).alias("largest_leaf_error"),
+                          F.lit(len(f.spark_model.trees)).alias("n_trees"), F.lit(all(t.depth <= depth for t in f.spark_model.trees)).alias("shallow"),
+                          F.round(F.lit(float(sum(x for _, x in f.importances))), 6).alias("importance_sum"))
+    fn.__name__, fn.__doc__ = key, "The first boosted tree's leaves hold the mean of the answers -1 and 1 of the training rows that they get."
+
+
+_first_tree_query("c4_first_tree", "xgboost")
+_first_tree_query("c5_first_tree", "gradient_boosting")
+
+
+@register("c1_forest_votes", PREP_CTE + "\nSELECT count(*) AS n_test, 100 AS n_trees, true AS shallow, 0.0 AS largest_vote_error, 1.0 AS importance_sum FROM te")
+def c1_forest_votes(spark, sf):
+    """The forest's probability is the mean of its trees' leaf shares, recomputed tree by tree on the test rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    p = prepared(spark, sf)
+    f = C.fit("random_forest", p.where(F.col("split") == "train"), FEATS)
+    test = C.assemble(p.where(F.col("split") == "test"), FEATS).select(C.VEC)
+    forest, trees = f.spark_model, f.spark_model.trees
+    votes = forest.transform(test).select(C.VEC, vector_to_array(forest.getProbabilityCol())[1].alias("p1"))
+    mean = F.lit(0.0)
+    for i, t in enumerate(trees):
+        votes = t.transform(votes).withColumn(f"__t{i}", vector_to_array(t.getRawPredictionCol())).drop(
+            t.getRawPredictionCol(), t.getProbabilityCol(), t.getPredictionCol())
+        mean = mean + F.col(f"__t{i}")[1] / (F.col(f"__t{i}")[0] + F.col(f"__t{i}")[1])
+    return votes.agg(F.count(F.lit(1)).alias("n_test"), F.lit(len(trees)).alias("n_trees"),
+                     F.lit(all(t.depth <= C.RF_PARAMS["maxDepth"] for t in trees)).alias("shallow"),
+                     F.round(F.max(F.abs(F.col("p1") - mean / len(trees))), 6).alias("largest_vote_error"),
+                     F.round(F.lit(float(sum(x for _, x in f.importances))), 6).alias("importance_sum"))
+
+
 @register("c9_importance")
 def c9_importance(spark, sf):
     """Tree importances (random forest) and linear coefficients, ranked (C9 + W1)."""
