@@ -8,7 +8,9 @@ gives it; selecting only ``path`` prunes the file contents from the scan.
 from __future__ import annotations
 
 import gzip
+import re
 import struct
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.functions.columns import nan_to_null_all, q
+from cohortlab.session import ship_package, stored
 
 # File-name endings of the session files.
 SEG_HDR, SEG_TXT, T88_HDR = "_fseg.hdr", "_fseg.txt", "_t88_masked_gfc.hdr"
@@ -175,48 +178,67 @@ def decode_volume(header: bytes, data: bytes | None = None):
     return arr, zooms, affine
 
 
+def read_bytes(path: str) -> bytes:
+    """The content of one file, read where this runs (a task); any store that pyarrow knows by its scheme."""
+    from pyarrow import fs
+
+    if re.match(r"[a-z0-9]+:", path) and not path.startswith("file:"):  # Spark gives paths as they are, not quoted
+        store, place = fs.FileSystem.from_uri(quote(re.sub(r"^s3[an]:", "s3:", path), safe=":/@"))
+    else:
+        store, place = fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
+    with store.open_input_stream(place, compression=None) as f:
+        return f.read()
+
+
+def _volume_rows(session_id: str, header_path: str, data_path: str | None) -> list[tuple]:
+    """Rows of one image: geometry and slabs, or a status row if it cannot be read."""
+    try:
+        if data_path is None and not re.search(r"\.nii(\.gz)?$", header_path):
+            raise FileNotFoundError("the header has no data file")
+        arr, zooms, affine = decode_volume(read_bytes(header_path), None if data_path is None else read_bytes(data_path))
+        nx, ny, nz = arr.shape
+        rows = [(session_id, "meta", None, None, None, None, None, [nx, ny, nz], zooms, affine, "success", None)]
+        for k in range(nz):
+            plane = arr[:, :, k]
+            rows.append((session_id, "slab", k, nx, ny, np.rint(plane).astype("int64").ravel().tolist(), plane.ravel().tolist(),
+                         None, None, None, None, None))
+        return rows
+    except Exception as e:  # noqa: BLE001 - a broken file becomes a status row
+        return [(session_id, "meta", None, None, None, None, None, None, None, None, "error", f"{type(e).__name__}: {e}")]
+
+
 def _decode_batches(batches):
+    names = [x.split()[0] for x in VOLUME_SCHEMA.split(", ")]
     for pdf in batches:
-        for r in pdf.itertuples(index=False):
-            rows = []  # one file's rows at a time
-            try:
-                if r.data is None and not r.nii:
-                    raise FileNotFoundError("the header has no data file")
-                arr, zooms, affine = decode_volume(bytes(r.header), None if r.data is None else bytes(r.data))
-                nx, ny, nz = arr.shape
-                rows.append((r.session_id, "meta", None, None, None, None, None, [nx, ny, nz], zooms, affine,
-                             "success", None))
-                for k in range(nz):
-                    plane = arr[:, :, k]
-                    rows.append((r.session_id, "slab", k, nx, ny, np.rint(plane).astype("int64").ravel().tolist(),
-                                 plane.ravel().tolist(), None, None, None, None, None))
-            except Exception as e:  # noqa: BLE001 - a broken file becomes a status row
-                rows.append((r.session_id, "meta", None, None, None, None, None, None, None, None, "error",
-                             f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["session_id", "kind", "k", "ni", "nj", "labels", "values", "dims",
-                                              "zooms", "affine", "status", "error"])
+        for r in pdf.itertuples(index=False):  # one image's rows at a time
+            yield pd.DataFrame(_volume_rows(r.session_id, r.header, r.data), columns=names)
+
+
+#: Image pairs that a task reads one after the other.
+PAIRS_PER_TASK = 16
+
+
+def image_pairs(spark: SparkSession, root: str, session_re: str = r"(OAS1_\d+_MR\d+)", header_glob: str = "*.hdr") -> DataFrame:
+    """(session_id, header, data): the paths of every header and of its data file (null without one), without contents."""
+    p = F.col("path")
+    stem = F.regexp_replace(p, r"\.(hdr|img|nii(\.gz)?)$", "")
+    heads = list_files(spark, root, header_glob).select(stem.alias("stem"), p.alias("header"), F.regexp_extract(p, session_re, 1).alias("session_id"))
+    data = list_files(spark, root, "*.img").select(stem.alias("stem"), p.alias("data"))
+    return heads.join(data, "stem", "left").select("session_id", "header", "data")
 
 
 def read_volumes(spark: SparkSession, root: str, session_re: str = r"(OAS1_\d+_MR\d+)",
-                 header_glob: str = "*.hdr") -> DataFrame:
+                 header_glob: str = "*.hdr", pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """Decode every header (+ data file) under ``root`` into slab and meta rows (``kind`` column).
 
-    One file pair per input row, many slab rows out; decode errors become a
-    ``meta`` row with status 'error'. ``.nii`` / ``.nii.gz`` single files work
-    with ``header_glob='*.nii*'``.
+    Only paths are listed, joined and dealt out, ``pairs_per_task`` to a task; a task reads the contents of its own files,
+    one image at a time, so no content is shuffled. A file that cannot be read becomes a ``meta`` row with status
+    'error'. ``.nii`` / ``.nii.gz`` single files work with ``header_glob='*.nii*'``.
     """
-    def read(glob: str) -> DataFrame:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-
-    p = F.col("path")
-    is_nii = p.rlike(r"\.nii(\.gz)?$")
-    hdr = read(header_glob).select(
-        F.regexp_extract(p, session_re, 1).alias("session_id"),
-        F.regexp_replace(p, r"\.(hdr|nii(\.gz)?)$", "").alias("stem"), F.col("content").alias("header"), is_nii.alias("nii"))
-    img = read("*.img").select(F.regexp_replace(p, r"\.img$", "").alias("stem"),
-                                                  F.col("content").alias("data"))
-    pairs = hdr.join(img, "stem", "left")  # a header without its data file keeps a row, and becomes a status
-    return pairs.select("session_id", "header", "data", "nii").mapInPandas(_decode_batches, VOLUME_SCHEMA)
+    ship_package(spark)
+    pairs = stored(image_pairs(spark, root, session_re, header_glob), "image-pairs")
+    tasks = max(1, -(-pairs.count() // pairs_per_task))
+    return pairs.repartition(tasks, "header").mapInPandas(_decode_batches, VOLUME_SCHEMA)
 
 
 def split_volumes(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

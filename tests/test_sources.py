@@ -49,6 +49,39 @@ def test_volume_decode(spark, tmp_path):
     assert got[0] == arr[:, :, 0].ravel().tolist() and got[1] == arr[:, :, 1].ravel().tolist()
 
 
+def test_images_are_read_in_their_tasks(spark, tmp_path):
+    """Pairs, single files, compressed and broken ones, odd names; only paths move between tasks."""
+    import gzip
+
+    rng, want = np.random.default_rng(1), {}
+    for i in range(40):
+        d = tmp_path / f"disc {i % 3}" / f"OAS1_{i:04d}_MR1"
+        d.mkdir(parents=True)
+        arr = rng.integers(0, 4, (3, 2, 2))
+        _analyze_pair(str(d), f"im#{i}%20x_fseg", arr, (1.0, 1.0, 2.0))
+        want[f"OAS1_{i:04d}_MR1"] = [arr[:, :, k].ravel().tolist() for k in range(2)]
+        if i % 8 == 5:
+            (d / f"im#{i}%20x_fseg.img").write_bytes(b"12")  # truncated
+            want[f"OAS1_{i:04d}_MR1"] = None
+    for header in (d / f"im#{i}%20x_fseg.hdr",):  # the same volume as one compressed file
+        h = bytearray(header.read_bytes())
+        struct.pack_into("<f", h, 108, 352.0)
+        h[344:348] = b"n+1\x00"
+        (tmp_path / "OAS1_9999_MR1.nii.gz").write_bytes(gzip.compress(bytes(h) + b"\0" * 4 + arr.astype("uint8").tobytes(order="F")))
+    decoded = files.read_volumes(spark, str(tmp_path), pairs_per_task=4)
+    assert decoded.rdd.getNumPartitions() >= 10
+    slabs, meta = files.split_volumes(decoded)
+    got = {}
+    for r in slabs.orderBy("session_id", "k").collect():
+        got.setdefault(r.session_id, []).append(r.labels)
+    assert got == {k: v for k, v in want.items() if v}
+    assert {r.session_id for r in meta.where("status = 'error'").collect()} == {k for k, v in want.items() if v is None}
+    one, told = files.split_volumes(files.read_volumes(spark, str(tmp_path), header_glob="*.nii*"))
+    assert told.first().status == "success" and [r.labels for r in one.orderBy("k").collect()] == want["OAS1_0039_MR1"]
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
 def test_listing_manifest_pairs(spark, tmp_path):
     base = tmp_path / "disc1" / "OAS1_0001_MR1"
     (base / "FSL_SEG").mkdir(parents=True)
