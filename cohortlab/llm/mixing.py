@@ -5,17 +5,19 @@ proportion, 0: all alike) is bisected: the largest one whose entropy reaches a t
 keeps the most repeated source within a repetition limit; the limit wins over the entropy. A weight times the token
 budget over the source's tokens is its number of epochs. Whole epochs take every document; the last, partial one
 takes a prefix of the source's permutation, which orders hash buckets by a hash and documents within a bucket by
-another, so that a prefix is two thresholds a source: the bucket in which the budget ends and the last document in
-it. Copies are dealt over output blocks by their place in the run, so every block holds the sources in proportion,
-and permuted within a block by a hash.
+another. Prefix sums of the tokens, over the buckets of a source and over the documents of a bucket, tell every copy how
+many tokens of its source's run stand before it. That share of the run is its place in the mixture, whose blocks are even
+parts of it: every block gets of each source its budgeted tokens, give or take a document, however many blocks there are.
+Copies are permuted within a block by a hash.
 
 Sources are never gathered: shares come from one aggregation, every bisection job is one aggregation of the table of
-sources, a window sees the buckets of one source (``buckets`` at most) or the documents of one bucket.
+sources, a window sees the buckets of one source (``buckets`` at most) or the counted documents of one bucket. Tokens are
+counted once; the texts are shuffled once, to meet their places.
 
 Defined cases: a null source is a source of its own; null text counts as empty; documents without tokens follow
-their place in the permutation; a source without tokens has weight 0 and each of its documents once; equal rows
-stand at one place and are taken together; an empty table gives an empty result. Extra columns pass through;
-``mix_epoch``, ``mix_block`` and ``mix_order`` must not be taken.
+their place in the permutation; a source without tokens has weight 0 and each of its documents once, spread by hash;
+equal rows stand at one place and are taken together; an empty table gives an empty result. Extra columns pass through;
+those whose names clash with ``mix_epoch``, ``mix_block`` or ``mix_order`` get a trailing ``_in``.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import col, cut, stored, text_of
+from cohortlab.llm.common import col, cut, keep_clashes, stored, text_of
 
 #: Levels of the bisection in one job, and jobs.
 LEVELS, JOBS = 4, 10
@@ -97,15 +99,18 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     ``target_entropy``: share of the largest possible entropy, 0 to 1. ``max_repeat``: epochs of a source at most.
     ``budget``: tokens of the mixture (null: as many as there are).
     """
-    for name in ("mix_epoch", "mix_block", "mix_order"):
-        if name in {c.lower() for c in df.columns}:
-            raise ValueError(f"column {name} exists already")
+    df, taken = keep_clashes(df, "mix_epoch", "mix_block", "mix_order")
+    key, source, text = (taken.get(c, c) for c in (key, source, text))
     src = F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("~"))  # null apart from any text
     bucket = F.pmod(hash60(f"{seed}b", col(key)), F.lit(buckets))
     place = hash60(f"{seed}d", col(key), src)
-    work = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), src.alias("src"), bucket.alias("bucket"), place.alias("place"))
-    slim = df.select(src.alias("src"), bucket.alias("bucket"), place.alias("place"), col(text).alias("text"))
-    held = cut(slim.groupBy("src", "bucket").agg(F.sum(word_tokens("text")).alias("tokens")))
+    work = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), src.alias("src"), place.alias("place"))
+    in_bucket = Window.partitionBy("src", "bucket").orderBy("place")
+    places = (df.select(src.alias("src"), bucket.alias("bucket"), place.alias("place"), word_tokens(text).alias("tokens"))
+              .repartition("src", "bucket").groupBy("src", "bucket", "place").agg(F.sum("tokens").alias("tokens"))
+              .withColumn("inside", F.sum("tokens").over(in_bucket) - F.col("tokens")))
+    places = stored(places, "mix-places")
+    held = cut(places.groupBy("src", "bucket").agg(F.sum("tokens").alias("tokens")))
     sources = held.groupBy("src").agg(F.sum("tokens").alias("tokens"))
     total, k = sources.agg(F.sum("tokens"), F.count(F.when(F.col("tokens") > 0, 1))).first()
     total, k = int(total or 0), int(k or 0)
@@ -118,27 +123,19 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     weighed = (shares.withColumn("repeat", F.round(repeat, 9))  # what arithmetic leaves over 1 is no epoch
                .withColumn("whole", F.floor("repeat").cast("long"))
                .withColumn("rest", (F.col("repeat") - F.col("whole")) * F.col("tokens")))
-    # where the partial epoch ends: first the bucket, then the document in it
+    # tokens before each copy in its source's run: the buckets before its own, then the documents before it
     by_bucket = Window.partitionBy("src").orderBy("turn", "bucket")
-    ranked = (held.withColumn("turn", hash60(f"{seed}t", F.col("src"), F.col("bucket")))
-              .withColumn("before", F.sum("tokens").over(by_bucket) - F.col("tokens"))
-              .join(weighed.select("src", "rest"), "src").where("before < rest"))
-    ends = stored(ranked.groupBy("src").agg(F.max(F.struct("turn", "bucket", "before")).alias("end"))
-               .select("src", F.col("end.turn").alias("end_turn"), F.col("end.bucket").alias("end_bucket"),
-                       F.col("end.before").alias("end_before")), "mix-ends")
-    same_place = (slim.join(ends.select("src", F.col("end_bucket").alias("bucket")), ["src", "bucket"], "left_semi")
-                  .groupBy("src", "place").agg(F.sum(word_tokens("text")).alias("tokens")))
-    by_place = Window.partitionBy("src").orderBy("place")
-    last = (same_place.withColumn("before", F.sum("tokens").over(by_place) - F.col("tokens"))
-            .join(ends, "src").join(weighed.select("src", "rest"), "src")
-            .where("end_before + before < rest").groupBy("src").agg(F.max("place").alias("end_place")))
-    plan = stored(weighed.select("src", "repeat", "whole").join(ends, "src", "left").join(last, "src", "left"), "mix-plan")
+    starts = (held.withColumn("turn", hash60(f"{seed}t", F.col("src"), F.col("bucket")))
+              .withColumn("start", F.sum("tokens").over(by_bucket) - F.col("tokens")).select("src", "bucket", "start"))
+    plan = stored(weighed.select("src", "repeat", "whole", "rest", F.col("tokens").alias("all")), "mix-plan")
+    before = F.col("start") + F.col("inside")
+    spots = (places.select("src", "bucket", "place", "inside").join(stored(starts, "mix-starts"), ["src", "bucket"]).join(plan, "src")
+             .withColumn("before", before).withColumn("copies", F.col("whole") + F.when(F.col("before") < F.col("rest"), 1).otherwise(0))
+             .where("copies > 0").select("src", "place", "before", "copies", "repeat", "all"))
     blocks = max(1, math.ceil(budget / block_tokens))
-    turn = hash60(f"{seed}t", F.col("src"), F.col("bucket"))
-    here, end = F.struct(F.col("turn"), F.col("bucket"), F.col("place")), F.struct("end_turn", "end_bucket", "end_place")
-    copies = F.col("whole") + F.when(F.col("end_place").isNotNull() & (here <= end), 1).otherwise(0)
-    part = (F.col("mix_epoch") + F.col("turn") / F.lit(float(2**60))) / F.greatest("repeat", F.lit(1e-9))
-    return (work.withColumn("turn", turn).join(plan, "src").withColumn("copies", copies).where("copies > 0")
+    run = F.col("repeat") * F.col("all")
+    part = F.when(run > 0, (F.col("mix_epoch") * F.col("all") + F.col("before")) / run).otherwise(F.col("place") / F.lit(float(2**60)))
+    return (work.join(spots.hint("shuffle_hash"), ["src", "place"])
             .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
             .withColumn("mix_block", F.floor(F.least(part, F.lit(1 - 1e-9)) * F.lit(blocks)).cast("long"))
             .withColumn("mix_order", hash60(f"{seed}o", F.col("mix_epoch"), F.col("place")))

@@ -51,9 +51,7 @@ w AS (SELECT doc_id, source, src,
         (CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, ' ', '')) + 1 END)::BIGINT AS tokens,
         (('0x' || substr(md5('mixb|' || doc_id), 1, 15))::BIGINT) % 1024 AS bucket,
         ('0x' || substr(md5('mixd|' || doc_id || '|' || src), 1, 15))::BIGINT AS place FROM d),
-b AS (SELECT src, bucket, sum(tokens)::BIGINT AS tokens,
-        ('0x' || substr(md5('mixt|' || src || '|' || bucket), 1, 15))::BIGINT AS turn FROM w GROUP BY src, bucket),
-s AS (SELECT src, sum(tokens)::BIGINT AS tokens FROM b GROUP BY src),
+s AS (SELECT src, sum(tokens)::BIGINT AS tokens FROM w GROUP BY src),
 tot AS (SELECT sum(tokens)::BIGINT AS total, 0.95 * ln(count(*)) AS target, list(tokens) AS ts FROM s),
 lg AS (SELECT total, target, list_transform(ts, lambda x: ln(x / total::DOUBLE)) AS l FROM tot),
 bis AS (
@@ -69,21 +67,16 @@ al AS (SELECT CASE WHEN ln(list_sum(list_transform(l, lambda x: exp(x)))) - list
         / list_sum(list_transform(l, lambda x: exp(x))) >= target THEN 1.0 ELSE lo END AS a FROM bis, lg WHERE i = 40),
 n AS (SELECT a, sum(pow(tokens / total::DOUBLE, a)) AS norm FROM s, al, tot GROUP BY a),
 p AS (SELECT src, tokens, round(total::DOUBLE * pow(tokens / total::DOUBLE, a) / norm / tokens, 9) AS rep FROM s, n, tot),
-q AS (SELECT src, rep, floor(rep)::BIGINT AS whole, (rep - floor(rep)) * tokens AS rest FROM p),
-rb AS (SELECT src, bucket, turn, sum(tokens) OVER (PARTITION BY src ORDER BY turn, bucket) - tokens AS before FROM b),
-e AS (SELECT src, max({'t': turn, 'b': bucket, 'f': before}) AS x FROM rb JOIN q USING (src) WHERE before < rest GROUP BY src),
-lp AS (SELECT w.src, place, sum(tokens) AS tokens FROM w JOIN e ON w.src = e.src AND w.bucket = e.x.b GROUP BY w.src, place),
-lc AS (SELECT src, place, sum(tokens) OVER (PARTITION BY src ORDER BY place) - tokens AS before FROM lp),
-le AS (SELECT src, max(place) AS end_place FROM lc JOIN e USING (src) JOIN q USING (src) WHERE x.f + before < rest GROUP BY src),
-c AS (SELECT w.doc_id, w.source, w.tokens, w.place, q.rep,
-        ('0x' || substr(md5('mixt|' || w.src || '|' || w.bucket), 1, 15))::BIGINT AS turn,
-        whole + CASE WHEN end_place IS NOT NULL AND
-          (('0x' || substr(md5('mixt|' || w.src || '|' || w.bucket), 1, 15))::BIGINT, w.bucket, w.place) <= (x.t, x.b, end_place)
-          THEN 1 ELSE 0 END AS copies
-      FROM w JOIN q USING (src) LEFT JOIN e USING (src) LEFT JOIN le USING (src)),
+q AS (SELECT src, rep, tokens AS total, floor(rep)::BIGINT AS whole, (rep - floor(rep)) * tokens AS rest FROM p),
+g AS (SELECT src, bucket, place, sum(tokens)::BIGINT AS tokens, ('0x' || substr(md5('mixt|' || src || '|' || bucket), 1, 15))::BIGINT AS turn
+      FROM w GROUP BY src, bucket, place),
+r AS (SELECT src, place, sum(tokens) OVER (PARTITION BY src ORDER BY turn, bucket, place) - tokens AS before FROM g),
+c AS (SELECT w.doc_id, w.source, w.tokens, w.place, q.rep, before, q.total, whole + CASE WHEN before < rest THEN 1 ELSE 0 END AS copies
+      FROM w JOIN q USING (src) JOIN r ON r.src = w.src AND r.place = w.place),
 o AS (SELECT *, unnest(range(copies)) AS mix_epoch FROM c WHERE copies > 0)
 SELECT doc_id, source, tokens AS n_tokens, mix_epoch,
-  floor(least((mix_epoch + turn / pow(2, 60)) / greatest(rep, 1e-9), 1 - 1e-9) * greatest(1, ceil((SELECT total FROM tot) / 1e6)))::BIGINT AS mix_block,
+  floor(least(CASE WHEN rep * total > 0 THEN (mix_epoch * total + before) / (rep * total) ELSE place / pow(2, 60) END, 1 - 1e-9)
+    * greatest(1, ceil((SELECT total FROM tot) / 1e6)))::BIGINT AS mix_block,
   ('0x' || substr(md5('mixo|' || mix_epoch || '|' || place), 1, 15))::BIGINT AS mix_order
 FROM o
 """

@@ -59,5 +59,28 @@ def test_odd_rows_and_names(odd, none):
     out = mix(odd, target_entropy=None)
     assert out.columns == [*odd.columns, "mix_epoch", "mix_block", "mix_order"] and out.count() == len(ODD)
     assert mix(none).count() == 0
-    with pytest.raises(ValueError):
-        mix(odd.withColumn("MIX_EPOCH", F.lit(1)))
+    clash = mix(odd.withColumn("MIX_EPOCH", F.lit(7)), target_entropy=None)
+    assert clash.columns == [*odd.columns, "MIX_EPOCH_in", "mix_epoch", "mix_block", "mix_order"] and clash.where("MIX_EPOCH_in <> 7").count() == 0
+
+
+@pytest.mark.parametrize("blocks", [10, 100, 700])
+def test_every_block_gets_its_quota(spark, blocks):
+    """Of every source, each block holds its budgeted tokens, give or take a document, whatever the number of blocks."""
+    sizes = {f"s{i}": 2200 if i == 0 else 700 + 60 * i for i in range(8)}
+    src = docs(spark, sizes)
+    total = sum(token_sums(src).values())
+    out = mix(src, target_entropy=0.99, buckets=32, block_tokens=math.ceil(total / blocks)).withColumn("n", word_tokens("text"))
+    runs = token_sums(out)
+    got = out.groupBy("mix_block", "source").agg(F.sum("n").alias("n")).collect()
+    blocks = math.ceil(total / math.ceil(total / blocks))
+    share = {(r.mix_block, r.source): r.n for r in got}
+    assert {b for b, _ in share} == set(range(blocks))
+    for b in range(blocks):
+        assert all(abs(share.get((b, s), 0) - runs[s] / blocks) <= 2 * 45 for s in sizes)
+        assert abs(sum(share.get((b, s), 0) for s in sizes) - sum(runs.values()) / blocks) <= 8 * 45
+
+
+def test_equal_rows_and_ties_of_places(spark):
+    rows = [(1, "a", "one two")] * 5 + [(2, "a", "")] * 3 + [(None, "b", "x y z")] * 4
+    out = mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), target_entropy=None)
+    assert out.count() == 12 and {r.mix_block for r in out.collect()} == {0}
