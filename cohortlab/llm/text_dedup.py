@@ -336,5 +336,6 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity:
     found = stored(found.toDF(*marks, "head"), "near-copies")
     gone = found.where(col(own).isNotNull()).drop("head")
     bare = found.where(col(own).isNull() & F.col("head")).select(h0, h1)
-    return (wide.where(col(own).isNotNull()).join(gone, marks, "left_anti").select(*map(col, df.columns))
+    # texts meet the list in a shuffle at every size, as they must where it is too long to broadcast
+    return (wide.where(col(own).isNotNull()).join(gone.hint("merge"), marks, "left_anti").select(*map(col, df.columns))
             .union(wide.where(col(own).isNull()).dropDuplicates([h0, h1]).join(bare, [h0, h1], "left_semi").select(*map(col, df.columns))))
