@@ -10,7 +10,8 @@ Likeness of two fingerprints: 1 for equal roots; else twice the characters under
 paragraphs of unmatched sections, then leaves of unmatched paragraphs, each as multisets) over all characters.
 
 Defined cases: null text counts as empty; the empty text's tree has no section, and two empty texts are alike (1).
-Rows with equal ids follow each other by a hash of their texts; null ids come first; extra columns are not read.
+Rows with equal ids follow each other by a hash of their texts; null ids come first; ids are whole numbers. Extra columns
+are not read by ``edited_pairs``; ``fingerprints`` keeps them, but replaces one named like its result.
 """
 
 from __future__ import annotations

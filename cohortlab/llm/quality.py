@@ -11,7 +11,8 @@ of their id; only those reach the driver, as features. Scoring reads every whole
 
 Defined cases: null text counts as empty, and the empty text has features (all zero) and a score like any other; rows
 without a label do not train; repeated labels of a document count as their mean, from 0.5 on as 1; without training
-rows of both classes the score is the share of label 1 (0.5 without any). Extra columns pass through.
+rows of both classes the score is the share of label 1 (0.5 without any). Extra columns pass through, but one named like
+the result is replaced by it.
 """
 
 from __future__ import annotations

@@ -1,20 +1,20 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
 Method. A word (a run of letters and digits, in lower case) is the bag of its character n-grams, ends marked, hashed
-into a table of vectors; a window of a few words is the average of its words, a word the average of its n-grams; a
-linear softmax reads the window. Vectors and softmax are trained jointly in numpy, from labels of whole documents:
+into a table of vectors; a window of a few words, from every word on, is the average of its words (by running sums), a
+word the average of its n-grams; a linear softmax reads the window. Vectors and softmax are trained jointly in numpy, from labels of whole documents:
 a document's windows share its gradient by how toxic each looks (a softmax that sharpens as training goes on), so a
 toxic document needs one toxic window and a clean one none. Only n-grams whose share of documents differs between the
 classes by ``least_z`` standard errors are trained; the others would learn single documents by heart. Misspellings that were never seen share n-grams with
 words that were. A document's score is that of its most toxic window, over the whole text.
 
-Training takes a bounded sample: of each class the ``train_rows`` // 2 labelled documents with the smallest hash of
-their id and at most ``train_chars`` characters; only those reach the driver. For scoring, every n-gram's vector
+Training takes a bounded sample: of each class the ``train_rows`` // 2 documents with the smallest hash of their id among
+the labelled ones of at most ``train_chars`` characters; only those reach the driver. For scoring, every n-gram's vector
 folds into one number, so whole columns are scored by table look-ups and sums, in one pass without a shuffle.
 
 Defined cases: null text counts as empty; a text without words has the score of an empty window (the softmax's bias);
 repeated labels count as their mean, from 0.5 on as 1; without both classes every score is the share of label 1
-(0 without any). Extra columns pass through.
+(0 without any). Extra columns pass through, but one named like the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import col, text_of
+from cohortlab.llm.common import col, stored, text_of
 
 GRAMS, BUCKETS, WINDOW, DIM = (3, 4, 5), 2**18, 4, 16
 _BLANK = re.compile(r"\s").search
+_WORD = re.compile(r"[^\W_]+").finditer
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,12 +66,15 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _WORDY = np.array([chr(i).isalnum() for i in range(0x3000)] + [True])
 
 
-def windows(texts: np.ndarray, size: int) -> np.ndarray:
-    """Number of the window of every word: each text's words, ``size`` at a time."""
-    first = np.concatenate([[True], texts[1:] != texts[:-1]])
+def windows(texts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end) of all windows: ``size`` words from every word on that has so many after it in its text; a
+    shorter text is one window."""
     at = np.arange(len(texts))
-    place = at - np.maximum.accumulate(np.where(first, at, 0))
-    return np.cumsum(place % size == 0) - 1
+    new = np.concatenate([[True], texts[1:] != texts[:-1]]) if len(texts) else np.zeros(0, bool)
+    ends = np.append(np.flatnonzero(new)[1:], len(texts)) if len(texts) else at
+    end = np.repeat(ends, np.diff(np.append(np.flatnonzero(new), len(texts)))) if len(texts) else at
+    first = at[new | (at + size <= end)]
+    return first, np.minimum(first + size, end[first])
 
 
 @dataclass
@@ -92,9 +96,10 @@ class SubwordModel:
                 continue
             n = len(owner)
             mean = np.bincount(words, self.table[grams], n) / np.bincount(words, minlength=n)
-            win = windows(owner, WINDOW)
-            value = np.bincount(win, mean) / np.bincount(win) + self.bias
-            text = owner[np.concatenate([[True], win[1:] != win[:-1]])]
+            start, end = windows(owner, WINDOW)
+            sums = np.concatenate([[0.0], mean.cumsum()])
+            value = (sums[end] - sums[start]) / (end - start) + self.bias
+            text = owner[start]
             at = np.concatenate([[True], text[1:] != text[:-1]])
             z[text[at] + first] = np.maximum.reduceat(value, np.flatnonzero(at))
         np.maximum.at(best, np.array(whose, np.int64), z)
@@ -102,11 +107,17 @@ class SubwordModel:
 
 
 def _pieces(text: str, chars: int = 500_000):
-    """A text, or its pieces between blanks if it is very long."""
+    """A text, or its pieces between blanks if it is very long; a piece starts with the last words of the one before, so
+    that no window is cut."""
     a = 0
     while len(text) - a > chars and (blank := _BLANK(text, a + chars)):
         yield text[a:blank.start()]
-        a = blank.end()
+        a, words = blank.start(), 0
+        for m in reversed(list(_WORD(text, max(0, a - 1_000), a))):
+            words += 1
+            a = m.start()
+            if words == WINDOW - 1:
+                break
     yield text[a:]
 
 
@@ -144,12 +155,20 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
     kept: list[tuple[np.ndarray, ...]] = []
     doc, count = [np.arange(n)], n
     for at, grams, words, owner in _parts(texts):
-        win = windows(owner, WINDOW)
-        weight = 1.0 / np.bincount(words, minlength=len(owner))[words] / np.bincount(win)[win[words]]
-        on = seen[grams]
-        names, place = np.unique(win[words[on]], return_inverse=True)
-        kept.append((grams[on], weight[on].astype(np.float32), place + count))
-        doc.append(owner[np.searchsorted(win, names)] + at)
+        start, end = windows(owner, WINDOW)
+        number = np.full(len(owner) + 1, -1)
+        number[start] = np.arange(len(start))  # a window is numbered by its first word
+        on = np.flatnonzero(seen[grams])
+        share_of_word = 1.0 / np.bincount(words, minlength=len(owner))[words[on]]
+        parts = []
+        for back in range(WINDOW):  # a word is in the windows that start at it and up to three words before
+            win = np.where(words[on] >= back, number[words[on] - back], -1)
+            fits = (win >= 0) & (words[on] < end[win])
+            parts.append((grams[on[fits]], (share_of_word[fits] / (end - start)[win[fits]]).astype(np.float32), win[fits]))
+        held, weights, wins = (np.concatenate(c) for c in zip(*parts))
+        names, place = np.unique(wins, return_inverse=True)
+        kept.append((held, weights, place + count))
+        doc.append(owner[start[names]] + at)
         count += len(names)
     grams, weight, gwin = (np.concatenate(c) for c in zip(*kept))
     doc = np.concatenate(doc)
@@ -198,10 +217,11 @@ def train(docs: DataFrame, labels: DataFrame, keep, label: str = "toxic", train_
     """Fit on the bounded sample of labelled rows that ``keep`` (a condition on the key) admits."""
     ids = (labels.where(keep).select(col(key).alias("k"), col(label).cast("double").alias("y")).where("k IS NOT NULL AND y IS NOT NULL")
            .groupBy("k").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
-    part = lambda v: ids.where(F.col("y") == v).orderBy(F.xxhash64("k"), "k").limit(train_rows // 2)
+    short = docs.select(col(key).alias("k"), text_of(text).alias("t")).where(F.length("t") <= train_chars)
+    fit_for = stored(ids.join(short.select("k"), "k", "left_semi"), "labelled")
+    part = lambda v: fit_for.where(F.col("y") == v).orderBy(F.xxhash64("k"), "k").limit(train_rows // 2)
     chosen = F.broadcast(part(0).unionByName(part(1)))  # train_rows ids at most
-    got = (docs.select(col(key).alias("k"), text_of(text).alias("t")).where(F.length("t") <= train_chars)
-           .join(chosen, "k").select("k", "t", "y").toPandas().sort_values(["k", "t"]))
+    got = short.join(chosen, "k").groupBy("k", "t").agg(F.first("y").alias("y")).toPandas().sort_values(["k", "t"])
     return fit(got["t"].tolist(), got["y"].to_numpy(float))
 
 

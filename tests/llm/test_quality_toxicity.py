@@ -80,3 +80,38 @@ def test_toxicity_on_held_out_rows(spark):
     hit = [r.score >= 0.5 for r in rows if r.toxic == 1]
     clean = [r.score < 0.5 for r in rows if r.toxic == 0]
     assert np.mean(hit) > 0.85 and np.mean(clean) > 0.93
+
+
+def test_neutral_words_in_front_do_not_change_a_window():
+    """Windows start at every word: a phrase scores alike wherever it stands, also across the pieces of a very long text."""
+    rng = np.random.default_rng(3)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    plain = [" ".join(rng.choice(words, 60)) for _ in range(160)]
+    bad = [p + " you utter blockhead scum " + " ".join(rng.choice(words, 30)) for p in plain[:60]]
+    model = toxicity.fit(plain[60:] + bad, np.array([0] * 100 + [1] * 60))
+    phrase = "you utter blockhead scum"
+    alone = model.predict([phrase])[0]
+    assert alone > 0.5
+    for before in range(8):
+        assert model.predict([" ".join(words[:before]) + " " + phrase + " " + " ".join(words[5:9])])[0] >= alone - 1e-9
+    long = ("x " * 250_000)[:-len(phrase) // 2 - 1]
+    assert toxicity.WINDOW == 4 and model.predict([long + " " + phrase + " y" * 300_000])[0] >= alone - 1e-9
+
+
+def test_windows_of_short_and_long_texts():
+    first, end = toxicity.windows(np.array([0, 0, 1, 2, 2, 2, 2, 2]), 4)
+    assert list(zip(first.tolist(), end.tolist())) == [(0, 2), (2, 3), (3, 7), (4, 8)]
+    assert [len(x) for x in toxicity.windows(np.zeros(0, np.int64), 4)] == [0, 0]
+
+
+def test_long_documents_do_not_take_the_places_of_short_ones(spark):
+    rows = [(i, "long " * 200 if i < 30 else f"kind words {i}" if i % 2 else f"vile scum {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, toxic int")
+    seen = []
+    from unittest import mock
+
+    with mock.patch.object(toxicity, "fit", lambda t, y: seen.append((t, y))):
+        toxicity.train(docs, labels, labels.doc_id >= 0, train_rows=20, train_chars=100)
+    texts, y = seen[0]
+    assert len(texts) == 20 and sum(y) == 10 and not any("long" in t for t in texts)
