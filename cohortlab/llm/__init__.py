@@ -1,2 +1,2 @@
 """Training-data operators: chat parsing, SentencePiece, quality, WARC, vector and text near-duplicates,
-mixing, toxicity, personal data and fingerprints. Nothing outside this subpackage imports it."""
+mixing, toxicity, personal data, fingerprints, whitening, quality rules and the Merkle manifest. Nothing outside this subpackage imports it."""
