@@ -315,3 +315,27 @@ FIXTURE_SCENARIOS = tuple((name, rule, tuple(c for role in roles for c in ROLE_C
 def e7_ablation_grid(spark, sf):
     """Seven feature subsets x random forest, boosted trees, logistic regression."""
     return suite.ablation_grid(prepared(spark, sf), FEATS, KEY, FIXTURE_SCENARIOS)
+
+
+def _subsets_sql():
+    """The grid's cells with their features and rows, without a model."""
+    cells = []
+    for name, rule, columns in FIXTURE_SCENARIOS:
+        gone = list(columns) if rule == "without" else [c for c in FEATS if c not in columns]
+        kept = [c for c in FEATS if c not in gone]
+        cells.append(f"SELECT '{name}' AS scenario, '{', '.join(gone) or 'None'}' AS features_removed, {len(kept)} AS num_features")
+    models = ", ".join(f"'{m}'" for m in suite.ABLATION_MODELS)
+    return PREP_CTE + "\n, cells AS (" + " UNION ALL ".join(cells) + f""")
+SELECT scenario, model, features_removed, num_features, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test
+FROM cells, (SELECT unnest([{models}]) AS model) m WHERE num_features > 0"""
+
+
+@register("e7_ablation_cells", _subsets_sql())
+def e7_ablation_cells(spark, sf):
+    """The cells of the ablation grid: removed features, features that are left, training and test rows."""
+    p = prepared(spark, sf)
+    rows = [(name, model, ", ".join(removed) or "None", len(kept)) for name, rule, columns in FIXTURE_SCENARIOS
+            for removed, kept in [suite.scenario_features(FEATS, rule, columns)] for model in suite.ABLATION_MODELS if kept]
+    sizes = p.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"))
+    cells = spark.createDataFrame(rows, "scenario string, model string, features_removed string, num_features int")
+    return cells.select("*", sizes.select("n_train").scalar().alias("n_train"), sizes.select("n_test").scalar().alias("n_test"))
