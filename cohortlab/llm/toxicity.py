@@ -156,6 +156,8 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, step: float = 1.0, s
     doc, count = [np.arange(n)], n
     for at, grams, words, owner in _parts(texts):
         start, end = windows(owner, WINDOW)
+        every = (start - np.searchsorted(owner, owner[start])) % WINDOW == 0  # training takes windows side by side
+        start, end = start[every], end[every]
         number = np.full(len(owner) + 1, -1)
         number[start] = np.arange(len(start))  # a window is numbered by its first word
         on = np.flatnonzero(seen[grams])
