@@ -240,13 +240,21 @@ def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_comp
     def featurize(df: DataFrame) -> DataFrame:
         return df.withColumn(VEC, array_to_vector(rff(F.array(*[F.col(q(c)).cast("double") for c in features]))))
 
-    tr = featurize(train).select(VEC, F.col(q(label)).cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
-    n = tr.count()
-    svc = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=SVM_MAX_ITER).fit(tr)
-    margins = svc.transform(tr).select(vector_to_array("rawPrediction")[1].alias("m"), "__y")
-    platt = LogisticRegression(featuresCol="mv", labelCol="__y", regParam=0.0).fit(
-        margins.select(array_to_vector(F.array("m")).alias("mv"), "__y"))
-    tr.unpersist()
+    # LinearSVC keeps its own blocks of the n_components features while it iterates: a second copy of them, 2 KB a row,
+    # is never cached, only the rows that they come from and the margins (a few numbers a row)
+    rows = train.select(*[F.col(q(c)) for c in features], F.col(q(label)).cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
+    margins = None
+    try:
+        n = rows.count()
+        tr = featurize(rows).select(VEC, "__y")
+        svc = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=SVM_MAX_ITER).fit(tr)
+        margins = svc.transform(tr).select(vector_to_array("rawPrediction")[1].alias("m"), "__y").persist(StorageLevel.MEMORY_AND_DISK)
+        platt = LogisticRegression(featuresCol="mv", labelCol="__y", regParam=0.0).fit(
+            margins.select(array_to_vector(F.array("m")).alias("mv"), "__y"))
+    finally:
+        for kept in (rows, margins):
+            if kept is not None:
+                kept.unpersist()
     return svm_fitted(features, svc, w, b, float(platt.coefficients[0]), float(platt.intercept), gamma)
 
 
