@@ -1,7 +1,9 @@
 """Discrete SAMME AdaBoost over depth-1 trees that try every threshold.
 
 The distinct values of each feature are numbered once in sorted order (``ranks.numbered``) and dealt into at most ``buckets``
-buckets of consecutive values, a value a bucket where there are no more. Rows keep their bucket numbers. A round is:
+buckets of consecutive values, a value a bucket where there are no more. Rows are written once with their bucket numbers, and
+the stumps so far become one table of votes by bucket a feature, so a round's work a row does not grow with the rounds. A
+round is:
 
 1. one pass sums the weights of both classes by (feature, bucket): per task an array of feature x bucket sums, added up
    by Spark. From prefix sums over the buckets the driver knows the Gini impurity of every cut between buckets (at most
@@ -41,13 +43,39 @@ def impurity(l0, l1, t0: float, t1: float):
     return (part(l0, l1) + part(np.maximum(t0 - l0, 0.0), np.maximum(t1 - l1, 0.0))) / (t0 + t1)
 
 
-def row_weights(values: np.ndarray, y: np.ndarray, stumps: list, alphas: list[float]) -> np.ndarray:
-    """Boosting weights: exp of the sum of the alphas of the stumps that miss a row."""
-    miss = np.zeros(len(y))
+def votes(stumps: list, alphas: list[float], low: list, high: list) -> tuple[list, list, float]:
+    """The stumps' summed votes for class 1 as (table by bucket a feature or None, corrections, sum of the rest).
+
+    All rows of a bucket get the same answer of a stump unless its threshold lies inside; there the table says the right
+    side and a correction (feature, bucket, threshold, difference) is due to the rows that are not above the threshold.
+    Behind a feature's buckets is a place for values that lie in none (right side). So a row costs a look-up a feature,
+    however many stumps there are."""
+    tables, inside, rest = [None] * len(low), [], 0.0
     for (f, threshold, left, right), a in zip(stumps, alphas):
-        said = np.full(len(y), left) if f is None else np.where(values[:, f] <= threshold, left, right)
-        miss += a * (said != y)
-    return np.exp(miss)
+        if f is None:
+            rest += a * left
+            continue
+        if tables[f] is None:
+            tables[f] = np.zeros(len(high[f]) + 1)
+        below, above = np.append(high[f] <= threshold, False), np.append(low[f] > threshold, True)
+        tables[f] += a * np.where(below, left, right)
+        if left != right:
+            inside += [(f, int(b), threshold, a * (left - right)) for b in np.flatnonzero(~below & ~above)]
+    return tables, inside, rest
+
+
+def row_weights(at: dict, values: dict, y: np.ndarray, alphas: list[float], voted: tuple) -> np.ndarray:
+    """Boosting weights: exp of the sum of the alphas of the stumps that miss a row. ``at``: bucket numbers by feature,
+    ``values``: values of the features with corrections."""
+    tables, inside, rest = voted
+    said = np.full(len(y), rest)
+    for f, table in enumerate(tables):
+        if table is not None:
+            said += table[at[f]]
+    for f, b, threshold, difference in inside:
+        i = np.flatnonzero(at[f] == b)
+        said[i[values[f][i] <= threshold]] += difference
+    return np.exp(np.where(y == 0, said, sum(alphas) - said))
 
 
 def best_cut(sums: np.ndarray, low: list, high: list) -> tuple[tuple, list[tuple]]:
@@ -89,27 +117,41 @@ def fit_stumps(train: DataFrame, features: list[str], label: str, rounds: int, r
     edges = (placed.join(F.broadcast(sizes), "f").groupBy("f", bucket.alias("b")).agg(F.min("v").alias("low"), F.max("v").alias("high"))
              .orderBy("f", "b").toPandas())  # at most ``buckets`` rows a feature
     low, high = ([edges.loc[edges["f"] == f, c].to_numpy(float) for f in range(d)] for c in ("low", "high"))
-    rows = stored(base, "boosting-rows")
+    bs = [f"b{i}" for i in range(d)]
+
+    def place(frames):
+        for pdf in frames:
+            yield pdf.assign(**{b: np.searchsorted(high[f], pdf[xs[f]].to_numpy(float), "left").astype(np.int32) for f, b in enumerate(bs)})
+
+    rows = stored(base.mapInPandas(place, ", ".join([f"{x} double" for x in xs] + ["y int"] + [f"{b} int" for b in bs])), "boosting-rows")
     most = max([len(x) for x in low] + [1])
 
-    def in_buckets(values: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(high[f], values[:, f], "left") for f in range(d)], axis=1) if d else np.zeros((len(values), 0), int)
+    def needed(voted: tuple, also=()) -> list[str]:
+        return [*bs, *[xs[f] for f in sorted({c[0] for c in voted[1]} | set(also))], "y"]
+
+    def weighed(pdf: pd.DataFrame, alphas: list[float], voted: tuple) -> tuple[dict, np.ndarray, np.ndarray]:
+        at, y = {f: pdf[b].to_numpy() for f, b in enumerate(bs)}, pdf["y"].to_numpy()
+        return at, y, row_weights(at, {f: pdf[x].to_numpy(float) for f, x in enumerate(xs) if x in pdf}, y, alphas, voted)
 
     def sums_of(stumps: list, alphas: list[float]) -> np.ndarray:
+        voted = votes(stumps, alphas, low, high)
+
         def task(frames):
-            out = np.zeros((d, most, 2))
+            out = np.zeros((d, 2 * (most + 1)))
             for pdf in frames:
-                values, y = pdf[xs].to_numpy(float), pdf["y"].to_numpy()
-                at, w = in_buckets(values), row_weights(values, y, stumps, alphas)
+                at, y, w = weighed(pdf, alphas, voted)
+                w = np.where((y == 0) | (y == 1), w, 0.0)
+                second = np.where(y == 1, most + 1, 0)
                 for f in range(d):
-                    known = at[:, f] < len(high[f])  # NaN and null lie beyond all
-                    for k in (0, 1):
-                        here = known & (y == k)
-                        out[f, :, k] += np.bincount(at[here, f], w[here], most)
+                    out[f] += np.bincount(second + at[f], w, 2 * (most + 1))
+            out = np.stack([out[:, :most + 1], out[:, most + 1:]], axis=2)
+            for f in range(d):
+                out[f, len(high[f]):] = 0.0  # NaN and null lie beyond all
             f, b = np.nonzero(out.sum(axis=2))
             yield pd.DataFrame({"f": f.astype(np.int32), "b": b.astype(np.int32), "w0": out[f, b, 0], "w1": out[f, b, 1]})
 
-        got = rows.mapInPandas(task, "f int, b int, w0 double, w1 double").groupBy("f", "b").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1")).toPandas()
+        got = (rows.select(*needed(voted)).mapInPandas(task, "f int, b int, w0 double, w1 double").groupBy("f", "b")
+               .agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1")).toPandas())
         out = np.zeros((d, most, 2))
         out[got["f"], got["b"]] = got[["w0", "w1"]].to_numpy(float)
         return out
@@ -118,19 +160,19 @@ def fit_stumps(train: DataFrame, features: list[str], label: str, rounds: int, r
         """Best cut between two values of the same bucket, among the opened ones."""
         wanted = {}
         for f, b, *_ in open_buckets:
-            wanted.setdefault(f, []).append(b)
+            wanted.setdefault(f, np.zeros(len(high[f]) + 1, bool))[b] = True
+        voted = votes(stumps, alphas, low, high)
 
         def task(frames):
             for pdf in frames:
-                values, y = pdf[xs].to_numpy(float), pdf["y"].to_numpy()
-                at, w = in_buckets(values), row_weights(values, y, stumps, alphas)
-                for f, bs in wanted.items():
-                    i = np.flatnonzero(np.isin(at[:, f], bs))
-                    part = pd.DataFrame({"f": np.int32(f), "b": at[i, f].astype(np.int32), "v": values[i, f], "w0": w[i] * (y[i] == 0), "w1": w[i] * (y[i] == 1)})
+                at, y, w = weighed(pdf, alphas, voted)
+                for f, opened in wanted.items():
+                    i = np.flatnonzero(opened[at[f]])
+                    part = pd.DataFrame({"f": np.int32(f), "b": at[f][i], "v": pdf[xs[f]].to_numpy(float)[i], "w0": w[i] * (y[i] == 0), "w1": w[i] * (y[i] == 1)})
                     yield part.groupby(["f", "b", "v"], as_index=False).sum()
 
         start = spark.createDataFrame(open_buckets, "f int, b int, l0 double, l1 double")
-        values = (rows.mapInPandas(task, "f int, b int, v double, w0 double, w1 double").groupBy("f", "b", "v")
+        values = (rows.select(*needed(voted, wanted)).mapInPandas(task, "f int, b int, v double, w0 double, w1 double").groupBy("f", "b", "v")
                   .agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1")).join(F.broadcast(start), ["f", "b"]))
         order = Window.partitionBy("f", "b").orderBy("v")
         run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -48,3 +48,26 @@ def test_nothing_to_cut(spark):
     assert f.extra["stumps"][0] == (None, None, 0, 0) and f.transform(df).where("pred <> 0").count() == 0
     pure = spark.createDataFrame([(1.0, 0), (2.0, 1)], "a double, target int")
     assert fit_adaboost(pure, ["a"]).extra["stumps"] == [(0, 1.5, 0, 1)]
+
+
+def test_votes_by_bucket():
+    low, high = [np.array([0.0, 2.0, 5.0]), np.array([1.0])], [np.array([1.0, 4.0, 6.0]), np.array([1.0])]
+    stumps, alphas = [(0, 1.5, 0, 1), (0, 3.0, 1, 0), (0, 3.5, 0, 1), (None, None, 1, 1), (1, 1.5, 0, 1)], [0.5, 1.0, 0.25, 2.0, 4.0]
+    x = np.array([[0.5, 1], [2.0, 1], [3.0, 1], [3.2, 1], [4.0, np.nan], [5.5, 1], [np.nan, 1]])
+    voted = boosting.votes(stumps, alphas, low, high)
+    assert {c[:3] for c in voted[1]} == {(0, 1, 3.0), (0, 1, 3.5)}  # only the bucket that holds the threshold needs values
+    at = {f: np.searchsorted(high[f], x[:, f], "left") for f in (0, 1)}
+    for label in (0, 1):
+        miss = np.zeros(len(x))
+        for (f, t, left, right), a in zip(stumps, alphas):
+            miss += a * ((np.full(len(x), left) if f is None else np.where(x[:, f] <= t, left, right)) != label)
+        got = boosting.row_weights(at, {0: x[:, 0]}, np.full(len(x), label), alphas, voted)
+        assert got == pytest.approx(np.exp(miss))
+
+
+def test_rows_are_placed_once(spark, monkeypatch):
+    kept, plain = {}, boosting.stored
+    monkeypatch.setattr(boosting, "stored", lambda df, stem: kept.setdefault(stem, plain(df, stem)))
+    df = spark.createDataFrame([(float(i % 9), None if i % 4 == 0 else float(i), int(i % 9 > 3)) for i in range(60)], "a double, b double, target int")
+    stumps, _ = boosting.fit_stumps(df, ["a", "b"], "target", 3, 1.0)
+    assert stumps == [(0, 3.5, 0, 1)] and {"b0", "b1"} <= set(kept["boosting-rows"].columns)
