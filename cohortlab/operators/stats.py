@@ -9,12 +9,15 @@ numpy-style ones.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.columns import nan_to_null, q, safe_corr, truthy
 from cohortlab.operators.merge import join_small_side
 from cohortlab.operators.quantiles import exact_quantiles
+from cohortlab.session import ship_package
 
 
 def _v(c: str) -> Column:
@@ -169,3 +172,63 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     return out.select(F.col("g").alias(group), "n", "q1", "median", "q3",
                       (F.col("q3") - F.col("q1")).alias("iqr"), "whisker_lo", "whisker_hi", "n_outliers")
+
+
+MOMENTS = "feature string, n double, mx double, my double, sx double, sy double, sxy double"
+
+
+def _merged_moments(parts: list[np.ndarray]) -> np.ndarray:
+    """Moments (count, means, sums of squares and products around them; 6 x columns) of rows that were summed apart."""
+    out = parts[0]
+    for p in parts[1:]:
+        n = out[0] + p[0]
+        share = np.divide(p[0], n, out=np.zeros_like(n), where=n > 0)
+        dx, dy, w = p[1] - out[1], p[2] - out[2], out[0] * share
+        first = out[0] == 0
+        mx, my = out[1] + dx * share, out[2] + dy * share
+        merged = np.stack([n, mx, my, out[3] + p[3] + w * dx * dx, out[4] + p[4] + w * dy * dy, out[5] + p[5] + w * dx * dy])
+        out = np.where(first, p, np.where(p[0] == 0, out, merged))
+    return out
+
+
+def correlations_with(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """(feature, r): pairwise-complete Pearson r of many columns with one, null where a side is constant.
+
+    A task sums the moments of all columns over its Arrow batches, so a cell is never a row of its own; a row a column and
+    task is shuffled. Values are taken around a batch's first one, so that constant columns have no variance at all.
+    """
+    def moments(x, y):
+        n = len(x)
+        if not n:
+            return np.zeros(6)
+        u, v = x - x[0], y - y[0]
+        mu, mv = u.mean(), v.mean()
+        u, v = u - mu, v - mv
+        return np.array([n, x[0] + mu, y[0] + mv, u @ u, v @ v, u @ v])
+
+    def rows(m, names):
+        return pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(k) for k in m]], names=["feature", "n", "mx", "my", "sx", "sy", "sxy"])
+
+    def of_task(batches):
+        out = None
+        for b in batches:
+            y = b.column(len(columns))
+            known, y = y.is_valid().to_numpy(zero_copy_only=False), y.to_numpy(zero_copy_only=False)
+            part = []
+            for i in range(len(columns)):
+                x = b.column(i)
+                both = known & x.is_valid().to_numpy(zero_copy_only=False)
+                part.append(moments(x.to_numpy(zero_copy_only=False)[both], y[both]))
+            part = np.stack(part, axis=1)
+            out = part if out is None else _merged_moments([out, part])
+        if out is not None:
+            yield rows(out, columns)
+
+    def of_column(t):
+        m = np.stack([t.column(k).to_numpy() for k in ("n", "mx", "my", "sx", "sy", "sxy")])
+        return pa.Table.from_batches([rows(_merged_moments([m[:, i:i + 1] for i in range(m.shape[1])]), t.column("feature").to_pylist()[:1])])
+
+    ship_package(df.sparkSession)
+    wide = df.select(*[F.col(q(c)).cast("double").alias(f"x{i}") for i, c in enumerate(columns)], F.col(q(target)).cast("double").alias("y"))
+    m = wide.mapInArrow(of_task, MOMENTS).groupBy("feature").applyInArrow(of_column, MOMENTS)
+    return m.select("feature", F.when((F.col("sx") > 0) & (F.col("sy") > 0), F.col("sxy") / (F.sqrt("sx") * F.sqrt("sy"))).alias("r"))

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlab.functions.columns import fixed_text, percent_text, safe_corr, title_text
-from cohortlab.operators import metrics, runs, split
+from cohortlab.functions.columns import fixed_text, percent_text, title_text
+from cohortlab.operators import metrics, runs, split, stats
 from cohortlab.plans import q_features as QF
 from cohortlab.plans.registry import register, rounded
 from cohortlab.sources import tables as T
@@ -216,15 +216,12 @@ ALL_FEATS = TISSUE_FEATS + REGIONAL_FEATS + CLIN_FEATS
 
 
 def importance(spark, sf):
-    """(feature, importance = |r(feature, rating)|), one aggregation over the joined feature table."""
+    """(feature, importance = |r(feature, rating)|), one pass over the joined feature table."""
     t = QF._tissue(spark, sf).select("session_id", *TISSUE_FEATS)
     r = QF._regional(spark, sf).select("session_id", *REGIONAL_FEATS)
     v = T.visits(spark, sf).select("session_id", "cdr", *CLIN_FEATS)
     j = v.join(t, "session_id", "left").join(r, "session_id", "left")
-    # long form: one (feature, value) row per cell, then ONE grouped correlation
-    cells = j.select("cdr", F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
-                                              for c in ALL_FEATS])))
-    agg = cells.groupBy("feature").agg(F.abs(safe_corr(F.col("x"), F.col("cdr"))).alias("importance"))
+    agg = stats.correlations_with(j, ALL_FEATS, "cdr").select("feature", F.abs("r").alias("importance"))
     return agg.where(F.col("importance").isNotNull()).select("feature", F.round("importance", 9).alias("importance"))
 
 
