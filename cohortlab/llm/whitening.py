@@ -128,8 +128,10 @@ def slices(v: np.ndarray, k: int, width: int = 6) -> tuple[list[tuple[float, flo
             near &= ends >= k
         end = int(ends[near][gaps[near].argmax()]) if near.any() else int(ends[ends > start][0])
         cut = noise if end == rank else float(values[end - 1] + values[end]) / 2
-        got = above(tri, [cut, edge])
-        out.append((cut, edge, int(got[0] - got[1])))
+        # no wider above its values than below them: the filter of a wide slice hardly tells apart what lies close to one end
+        upper = min(edge, float(values[start]) + max(float(values[end - 1]) - cut, 1e-6 * top))
+        got = above(tri, [cut, upper])
+        out.append((cut, upper, int(got[0] - got[1])))
         start, edge = end, cut
     return out, k
 
