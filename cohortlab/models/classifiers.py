@@ -6,7 +6,7 @@
 * random_forest, xgboost*, gradient_boosting, logistic_regression: Spark ML
   estimators on an assembled vector (hyper-parameters of the reference;
   *xgboost is substituted by Spark's GBT with the same rounds/depth/rate).
-  From 1,000,000 rows on, the boosted trees, the same ones, are grown from
+  From 1,000,000 rows on, boosted trees are grown by the same method from
   histograms over packed blocks (see :mod:`cohortlab.models.gradient`).
 * naive_bayes: exact Gaussian NB as column expressions — class means and
   population variances from ONE grouped aggregation, smoothing 1e-9 x the
@@ -44,7 +44,7 @@ MODEL_TYPES = ("random_forest", "logistic_regression", "svm", "xgboost", "gradie
 RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", maxBins=256)
 XGB_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, maxBins=256)
 GB_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, maxBins=256)
-BOOST_BLOCKS_FROM = 1_000_000   # rows; with fewer, Spark's own trainer of the same trees is as fast
+BOOST_BLOCKS_FROM = 1_000_000   # rows; with fewer, Spark's own trainer is as fast
 LR_C, LR_MAX_ITER = 1.0, 1000
 SVM_C = 1.0
 SVM_MAX_ITER = 500   # LinearSVC stops earlier at its tolerance

@@ -3,7 +3,8 @@
 The model is that of Spark's ``GBTClassifier`` and is returned as a ``GBTClassificationModel``: logistic loss, regression
 trees on the negative gradients, the best of all bin borders by variance, the first tree with weight 1 and the others with
 the step size. Candidate borders follow the same rule (all midpoints where they fit, else equal strides over a sample of
-``max_bins ** 2`` rows, all rows if there are no more).
+``max_bins ** 2`` rows, all rows if there are no more). Where all rows are taken the trees are Spark's; where a sample is
+drawn it is another one than Spark's of the same size, so borders, and with them trees and scores, differ from Spark's a little.
 
 Rows are binned once and packed into blocks of one byte a feature, with the label and the score so far. A level of a tree
 is one pass: tasks find their rows' nodes and sum gradients and their squares by node, feature and bin; the sums of the
