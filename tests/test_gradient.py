@@ -66,3 +66,21 @@ def test_candidate_borders():
     assert found([-1, 2], [2, 2], 6, 5) == [-0.5, 1.0]                    # two rows are zeros
     assert found([1, 2, 3, 4], [1, 1, 1, 1], 4, 1) == [2.5]
     assert found([], [], 4, 5) == []
+
+
+def test_fits_side_by_side_are_those_alone(spark, monkeypatch):
+    monkeypatch.setattr(gradient, "PACK_ROWS", 200)
+    monkeypatch.setattr(gradient, "BLOCK_ROWS", 400)
+    df = spark.createDataFrame([(*r, r[0] % 3) for r in rows(900)], SCHEMA + ", part int").repartition(3)
+    deep, flat = (GBTClassifier(featuresCol=C.VEC, labelCol="target", maxIter=m, maxDepth=d, maxBins=16, stepSize=0.1, seed=42) for m, d in ((4, 4), (3, 2)))
+    fits = [(FEATS, None, deep), (["c d", "a"], 1, flat), (["b"], None, deep), (["one"], None, flat), (["c d", "a"], 2, deep)]
+    for (names, held, est), got in zip(fits, gradient.fit_boosted_together(df, FEATS, "target", fits, "part")):
+        seen = df if held is None else df.where(df.part != held)
+        want = gradient.fit_boosted(seen, names, "target", est)
+        assert got.treeWeights == want.treeWeights and [t.numNodes for t in got.trees] == [t.numNodes for t in want.trees]
+        p = [C.spark_ml_fitted("xgboost", m, names).transform(df).select("id", "p1").toPandas().set_index("id").p1.sort_index() for m in (want, got)]
+        assert np.abs(p[0] - p[1]).max() < 1e-9
+    with pytest.raises(ValueError):
+        gradient.fit_boosted_together(df, FEATS, "target", [(FEATS, None, deep), (FEATS, None, deep.copy().setMaxBins(8))])
+    with pytest.raises(ValueError):
+        gradient.fit_boosted_together(df.where("part = 1"), FEATS, "target", [(FEATS, 1, deep)], "part")
