@@ -53,6 +53,13 @@ def test_a_failing_group_is_an_error_in_each_row(data, calls):
     assert list(got.model) == list(TREES) and got.error.str.contains("missing").all()
 
 
+def test_ablation(data, calls):
+    got = suite.ablation_grid(data, q_models.FEATS, "session_id", q_models.FIXTURE_SCENARIOS, ("random_forest", "xgboost")).toPandas()
+    names = [s[0] for s in q_models.FIXTURE_SCENARIOS]
+    assert list(got.scenario) == [n for n in names for _ in range(2)] and got.error.isna().all() and got.accuracy.notna().all()
+    assert sorted(calls) == [("fit_boosted_together", 7), ("fit_forests", 7)]
+
+
 def test_cross_validation(data, calls):
     folds = data.withColumn("fold", (F.col("session_id") % 2).cast("int"))
     got = suite.cross_validate(folds, q_models.FEATS, "session_id", 2, ("xgboost", "naive_bayes", "random_forest")).toPandas()
