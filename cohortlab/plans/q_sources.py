@@ -6,9 +6,14 @@ result back, so the check covers the writer and the reader together.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.models import classifiers as C
+from cohortlab.models import suite
 from cohortlab.plans import q_features, q_models, q_prep
 from cohortlab.plans.registry import register, rounded
 from cohortlab.sources import files, sinks
@@ -154,15 +159,21 @@ def s12_models_roundtrip(spark, sf):
     """Models fitted, saved, loaded and used to score the test rows: no prediction may change."""
     p = q_models.prepared(spark, sf)
     train, test = p.where(F.col("split") == "train"), p.where(F.col("split") == "test")
-    out = None
-    for kind in SAVED_KINDS:
-        f = q_models.fit_any(kind, train)
+    cells = [(kind, q_models.FEATS, None) for kind in SAVED_KINDS]
+
+    def one(cell, grown):
+        kind = cell[0]
+        f = grown() if grown is not None else q_models.fit_any(kind, train)
         g = sinks.load_model(spark, sinks.save_model(f, sinks.scratch_path(spark, f"model-{kind}"), spark))
         a, b = (q_models.score_any(x, test).select(q_models.KEY, F.round("p1", 9).alias(n)) for x, n in ((f, "a"), (g, "b")))
-        one = a.join(b, q_models.KEY, "full").agg(F.count(F.lit(1)).alias("n_test"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).cast("int").alias("n_changed"))
-        one = one.select(F.lit(kind).alias("model"), "n_test", "n_changed")
-        out = one if out is None else out.unionByName(one)
-    return out
+        both = a.join(b, q_models.KEY, "full").agg(F.count(F.lit(1)).alias("n_test"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).cast("int").alias("n_changed"))
+        return both.select(F.lit(kind).alias("model"), "n_test", "n_changed")
+
+    # the kinds share the executors, as in the suite
+    with ThreadPoolExecutor(max_workers=4) as pool, ThreadPoolExecutor(max_workers=2) as beside:
+        cells, grown = suite.waiting_last(cells, suite.grown_together(beside, train, q_models.FEATS, cells, train.count()))
+        found = dict(zip((c[0] for c in cells), pool.map(one, cells, grown)))
+    return reduce(DataFrame.unionByName, [found[kind] for kind in SAVED_KINDS])
 
 
 @register("s13_run_metadata", q_prep._prep_body() + f"""

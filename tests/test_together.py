@@ -65,3 +65,11 @@ def test_cross_validation(data, calls):
     got = suite.cross_validate(folds, q_models.FEATS, "session_id", 2, ("xgboost", "naive_bayes", "random_forest")).toPandas()
     assert len(got) == 15 and (got.fold_values.map(len) == 2).all()
     assert sorted(calls) == [("fit_boosted_together", 2), ("fit_forests", 2)]
+
+
+def test_models_roundtrip(spark, data, calls, monkeypatch):
+    monkeypatch.setattr(q_models, "prepared", lambda *_: data)
+    monkeypatch.setattr(q_sources, "SAVED_KINDS", TREES)
+    got = {r.model: (r.n_test, r.n_changed) for r in q_sources.s12_models_roundtrip(spark, "").collect()}
+    assert got == {k: (100, 0) for k in TREES}
+    assert sorted(calls) == [("fit_boosted_together", 2), ("fit_forests", 1)]
