@@ -15,7 +15,8 @@
 * adaboost: discrete SAMME with depth-1 trees on every threshold (see
   :mod:`cohortlab.models.boosting`).
 * svm: RBF kernel approximated by random Fourier features (gamma = 1 / (d var X),
-  seeded, Arrow-batched pandas UDF), LinearSVC, then Platt scaling.
+  seeded, Arrow-batched pandas UDF), LinearSVC, then Platt scaling. From 200,000
+  rows on the same problem is solved over packed blocks (see :mod:`cohortlab.models.hinge`).
 * knn lives in :mod:`cohortlab.models.knn` (exact, blocked).
 """
 
@@ -38,6 +39,7 @@ from cohortlab.functions.columns import q
 from cohortlab.models.boosting import fit_stumps
 from cohortlab.models.forest import fit_forests
 from cohortlab.models.gradient import fit_boosted, fit_boosted_together
+from cohortlab.models.hinge import Features, fit_hinge
 
 MODEL_TYPES = ("random_forest", "logistic_regression", "svm", "xgboost", "gradient_boosting", "knn",
                "naive_bayes", "adaboost")
@@ -49,6 +51,7 @@ GB_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, maxBins=256)
 BOOST_BLOCKS_FROM = 1_000_000   # rows; with fewer, Spark's own trainer is as fast
 BOOST_TOGETHER_FROM = 200_000   # rows; as many are enough where several fits share the passes
 FOREST_BLOCKS_FROM = 200_000    # rows; with fewer, Spark's own trainer grows the forest
+SVM_BLOCKS_FROM = 200_000       # rows; with fewer, LinearSVC keeps their random features
 LR_C, LR_MAX_ITER = 1.0, 1000
 SVM_C = 1.0
 SVM_MAX_ITER = 500   # LinearSVC stops earlier at its tolerance
@@ -254,6 +257,15 @@ def _rff_udf(w: np.ndarray, b: np.ndarray):
     return rff
 
 
+def _margin_udf(made: Features, coefficients: np.ndarray, intercept: float):
+    """Decision values; the features of a few rows at a time are made and forgotten."""
+    @F.pandas_udf(T.DoubleType())
+    def margin(x: pd.Series) -> pd.Series:
+        return pd.Series(made.margins(np.vstack(x.to_numpy()).astype(float), coefficients, intercept) if len(x) else np.zeros(0))
+
+    return margin
+
+
 def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_components: int = 256,
             seed: int = 42, C: float = SVM_C) -> Fitted:
     xs = F.array(*[F.col(q(c)).cast("double") for c in features])
@@ -264,20 +276,21 @@ def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_comp
     rng = np.random.default_rng(seed)
     w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, len(features)))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    rff = _rff_udf(w, b)
+    made = Features(w, b)
 
-    def featurize(df: DataFrame) -> DataFrame:
-        return df.withColumn(VEC, array_to_vector(rff(F.array(*[F.col(q(c)).cast("double") for c in features]))))
-
-    # LinearSVC keeps its own blocks of the n_components features while it iterates: a second copy of them, 2 KB a row,
-    # is never cached, only the rows that they come from and the margins (a few numbers a row)
+    # LinearSVC keeps its own blocks of the n_components features while it iterates, 2 KB a row: a second copy of them is
+    # never cached, only the rows that they come from and the margins (a few numbers a row); of many rows there is no copy at all
     rows = train.select(*[F.col(q(c)) for c in features], F.col(q(label)).cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
     margins = None
     try:
         n = rows.count()
-        tr = featurize(rows).select(VEC, "__y")
-        svc = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=SVM_MAX_ITER).fit(tr)
-        margins = svc.transform(tr).select(vector_to_array("rawPrediction")[1].alias("m"), "__y").persist(StorageLevel.MEMORY_AND_DISK)
+        est = LinearSVC(featuresCol=VEC, labelCol="__y", regParam=1.0 / (C * n), maxIter=SVM_MAX_ITER)
+        if n < SVM_BLOCKS_FROM:
+            svc = est.fit(rows.select(array_to_vector(_rff_udf(w, b)(xs)).alias(VEC), "__y"))
+        else:
+            svc, _ = fit_hinge(rows, features, "__y", made, est)
+        margin = _margin_udf(made, svc.coefficients.toArray(), svc.intercept)
+        margins = rows.select(margin(xs).alias("m"), "__y").persist(StorageLevel.MEMORY_AND_DISK)
         platt = LogisticRegression(featuresCol="mv", labelCol="__y", regParam=0.0).fit(
             margins.select(array_to_vector(F.array("m")).alias("mv"), "__y"))
     finally:
@@ -289,15 +302,12 @@ def fit_svm(train: DataFrame, features: list[str], label: str = "target", n_comp
 
 def svm_fitted(features: list[str], svc, w: np.ndarray, b: np.ndarray, a: float, c0: float, gamma: float) -> Fitted:
     """A linear SVM over random Fourier features (w, b) with Platt's probabilities (a, c0)."""
-    rff = _rff_udf(w, b)
+    margin = _margin_udf(Features(w, b), svc.coefficients.toArray(), svc.intercept)
 
     def predict(df: DataFrame) -> DataFrame:
-        featurize = lambda x: x.withColumn(VEC, array_to_vector(rff(F.array(*[F.col(q(c)).cast("double") for c in features]))))
-        out = svc.transform(featurize(df))
-        m = vector_to_array("rawPrediction")[1]
+        m = F.coalesce(margin(F.array(*[F.col(q(c)).cast("double") for c in features])), F.lit(float("nan")))
         p1 = 1.0 / (1.0 + F.exp(-(F.lit(a) * m + F.lit(c0))))
-        return (out.withColumn("p1", p1).drop(VEC, "rawPrediction", "prediction")
-                .withColumn("pred", (F.col("p1") > 0.5).cast("int")))
+        return df.withColumn("p1", p1).withColumn("pred", (F.col("p1") > 0.5).cast("int"))
 
     return Fitted("svm", features, predict, spark_model=svc,
                   extra={"gamma": gamma, "w": w.tolist(), "b": b.tolist(), "a": a, "c0": c0})
