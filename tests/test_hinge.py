@@ -38,13 +38,13 @@ def test_loss_is_not_above_that_of_spark(spark, monkeypatch):
     rng = np.random.default_rng(1)
     w, b = rng.normal(size=(12, 2)), rng.uniform(0, 2 * math.pi, 12)
     made = hinge.Features(w, b)
-    est = LinearSVC(featuresCol=C.VEC, labelCol="target", regParam=1 / 900, maxIter=500)
+    est = LinearSVC(featuresCol=C.VEC, labelCol="target", regParam=1 / 900, maxIter=200)
     want = est.fit(df.select(array_to_vector(C._rff_udf(w, b)(F.array("`a b`", "c"))).alias(C.VEC), "target"))
     got, history = hinge.fit_hinge(df, FEATS, "target", made, est)
     there, here = (objective(x, y, made, 1 / 900, m.coefficients.toArray(), m.intercept) for m in (want, got))
     assert here <= there + 1e-6 and abs(here - there) < 2e-3 * there
     assert abs(min(history) - here) < 1e-9 and len(history) < 60
-    assert (got.getMaxIter(), got.getRegParam(), got.numFeatures, got.numClasses) == (500, 1 / 900, 12, 2)
+    assert (got.getMaxIter(), got.getRegParam(), got.numFeatures, got.numClasses) == (200, 1 / 900, 12, 2)
 
 
 def test_cosines():
@@ -82,12 +82,25 @@ def test_one_class_and_constant_features(spark):
         assert min(history) < 1e-4 and m.coefficients[1] == 0 and (m.intercept > 0) == bool(target)
 
 
-def test_saved_and_loaded(spark, monkeypatch):
-    monkeypatch.setattr(C, "SVM_BLOCKS_FROM", 100)
+def prepared(spark):
     n = F.col("id")
-    data = spark.range(0, 400, 1, 2).select(
+    return spark.range(0, 400, 1, 2).select(
         n.alias("session_id"), F.when(n % 4 == 0, "test").otherwise("train").alias("split"), ((n * 7 % 13 + n % 5) > 8).cast("int").alias("target"),
         *[(n * 7 % (i + 11) + F.lit(0.5) * (n % 5)).cast("double").alias(c) for i, c in enumerate(q_models.FEATS)])
-    monkeypatch.setattr(q_models, "prepared", lambda *_: data)
+
+
+def test_calibration(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("LinearSVC keeps the features of all rows")
+    monkeypatch.setattr(LinearSVC, "_fit", never)
+    monkeypatch.setattr(C, "SVM_BLOCKS_FROM", 100)
+    monkeypatch.setattr(q_models, "prepared", lambda spark, _: prepared(spark))
+    share = prepared(spark).where("split = 'train'").agg(F.round(F.avg("target"), 3)).first()[0]
+    assert [tuple(r) for r in q_models.c3_calibration_optimality(spark, "").collect()] == [(300, share, True, True)]
+
+
+def test_saved_and_loaded(spark, monkeypatch):
+    monkeypatch.setattr(C, "SVM_BLOCKS_FROM", 100)
+    monkeypatch.setattr(q_models, "prepared", lambda spark, _: prepared(spark))
     monkeypatch.setattr(q_sources, "SAVED_KINDS", ("svm",))
     assert [(r.model, r.n_test, r.n_changed) for r in q_sources.s12_models_roundtrip(spark, "").collect()] == [("svm", 100, 0)]
