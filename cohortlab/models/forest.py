@@ -32,6 +32,7 @@ from cohortlab.models.gradient import EPSILON, PACK_ROWS, Tree, checked_rows, fi
 from cohortlab.session import ensure_checkpoint_dir, ship_package
 
 CHUNK_ROWS = 262_144        # rows that a task counts at once
+STEP_ROWS = 16_384          # rows that walk down a tree at once
 PART_ROWS = 4_194_304       # rows of a task at most
 PIECE_NODES = 64            # nodes of a tree whose counts meet in a group
 PASS_CELLS = 32_000_000     # counts of a task in a pass at most, one tree at least
@@ -86,46 +87,67 @@ def chunks(batches, sets: int, d: int, dtype):
 def drawn(seed: int, tree: int, numbers: list[tuple[int, int]], rate: float | None) -> np.ndarray:
     """How often each row of the blocks is taken for a tree."""
     if rate is None:
-        return np.ones(sum(n for _, n in numbers))
+        return np.ones(sum(n for _, n in numbers), dtype=np.uint8)
     upto = np.cumsum([math.exp(-rate) * rate**i / math.factorial(i) for i in range(40)])  # Poisson's distribution
-    return np.concatenate([np.searchsorted(upto, np.random.default_rng((seed, tree, number)).random(n), "right") for number, n in numbers])
+    u = np.concatenate([np.random.default_rng((seed, tree, number)).random(n) for number, n in numbers])
+    times = np.zeros(len(u), dtype=np.uint8)
+    for edge in upto[:4]:
+        times += u >= edge
+    often = np.flatnonzero(times == 4)
+    times[often] = np.searchsorted(upto, u[often], "right")
+    return times
 
 
 def nodes_of(flat: np.ndarray, n: int, rows: np.ndarray, feature, border, left, depth: int) -> np.ndarray:
     """The node that each of ``rows`` has reached after ``depth`` steps; ``flat``: bins, feature after feature."""
-    node = np.zeros(len(rows), dtype=np.int32)
-    at = feature.astype(np.int64) * n
+    node = np.zeros(len(rows), dtype=np.int64)
+    at, left = feature.astype(np.int64) * n, left.astype(np.int64)
+    border = np.minimum(border, np.iinfo(flat.dtype).max).astype(flat.dtype)  # no bin is above that
     for _ in range(depth):
-        node = left[node] + (flat[at[node] + rows] > border[node])
+        where = at.take(node)
+        where += rows
+        right = flat.take(where) > border.take(node)
+        node = left.take(node)
+        node += right
     return node
 
 
 def counter(group: list[tuple], sets: int, d: int, dtype, n_bins: int, seed: int, rate: float | None):
     """Tasks' counts by open node, drawn feature, bin and class, for each tree of a group, in pieces of a few nodes."""
     def count(batches):
-        held = list(chunks(batches, sets, d, dtype))
+        held = []
+        for bins, y, fold, numbers in chunks(batches, sets, d, dtype):  # with the place of a row's bin and class among a node's and feature's counts
+            held.append((bins, bins.astype(np.int32) * 2 + y, len(y), fold, numbers))
         for tree, at_set, left_out, arrays, slots, subset in group:
             m, k = subset.shape
-            size = m * k * n_bins * 2
-            out = np.zeros(size, dtype=np.int32)
-            for bins, y, fold, numbers in held:
+            wide = n_bins * 2
+            out = np.zeros((m, k, wide), dtype=np.int32)
+            for bins, places, n, fold, numbers in held:
                 times = drawn(seed, tree, numbers, rate)
                 if left_out is not None:
-                    times = np.where(fold == left_out, 0, times)
-                rows, flat, n = np.flatnonzero(times), bins[at_set].ravel(), len(y)
-                slot = slots[nodes_of(flat, n, rows, *arrays)]
-                if m < len(slots):
-                    kept = slot >= 0
-                    rows, slot = rows[kept], slot[kept]
-                times, cls = times[rows].astype(float), y[rows]
+                    times[fold == left_out] = 0
+                taken, flat, place = np.flatnonzero(times), bins[at_set].ravel(), places[at_set].ravel()
+                cells, weights, found = np.empty((k, len(taken)), dtype=np.int64), np.empty(len(taken)), 0
+                starts = [subset[:, j].astype(np.int64) * n for j in range(k)]
+                for s in range(0, len(taken), STEP_ROWS):  # so many that what a step needs stays in the processor's cache
+                    rows = taken[s:s + STEP_ROWS]
+                    slot = slots.take(nodes_of(flat, n, rows, *arrays))
+                    if m < len(slots):
+                        kept = slot >= 0
+                        rows, slot = rows[kept], slot[kept]
+                    to, first = found + len(rows), slot * wide
+                    weights[found:to] = times.take(rows)
+                    for j in range(k):
+                        where = starts[j].take(slot)
+                        where += rows
+                        np.add(first, place.take(where), out=cells[j, found:to])
+                    found = to
                 for j in range(k):
-                    cell = ((slot * k + j) * n_bins + flat[subset[slot, j] * n + rows]) * 2 + cls
-                    out += np.bincount(cell, times, size).astype(np.int32)
+                    out[:, j] += np.bincount(cells[j, :found], weights[:found], m * wide).astype(np.int32).reshape(m, wide)
             pieces = range(0, m, PIECE_NODES)
-            step = k * n_bins * 2
             yield pa.RecordBatch.from_pydict({
                 "tree": pa.array([tree] * len(pieces), pa.int32()), "piece": pa.array([s // PIECE_NODES for s in pieces], pa.int32()),
-                "counts": [out[s * step:(s + PIECE_NODES) * step].tobytes() for s in pieces]})
+                "counts": [out[s:s + PIECE_NODES].tobytes() for s in pieces]})
     return count
 
 
