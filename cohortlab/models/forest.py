@@ -28,11 +28,10 @@ from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassi
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.models.gradient import EPSILON, PACK_ROWS, Tree, checked_rows, find_borders, saved_nodes, stored_trees
+from cohortlab.models.gradient import EPSILON, PACK_ROWS, STEP_ROWS, Tree, checked_rows, find_borders, saved_nodes, stored_trees, walked
 from cohortlab.session import ensure_checkpoint_dir, ship_package
 
 CHUNK_ROWS = 262_144        # rows that a task counts at once
-STEP_ROWS = 16_384          # rows that walk down a tree at once
 PART_ROWS = 4_194_304       # rows of a task at most
 PIECE_NODES = 64            # nodes of a tree whose counts meet in a group
 PASS_CELLS = 32_000_000     # counts of a task in a pass at most, one tree at least
@@ -98,20 +97,6 @@ def drawn(seed: int, tree: int, numbers: list[tuple[int, int]], rate: float | No
     return times
 
 
-def nodes_of(flat: np.ndarray, n: int, rows: np.ndarray, feature, border, left, depth: int) -> np.ndarray:
-    """The node that each of ``rows`` has reached after ``depth`` steps; ``flat``: bins, feature after feature."""
-    node = np.zeros(len(rows), dtype=np.int64)
-    at, left = feature.astype(np.int64) * n, left.astype(np.int64)
-    border = np.minimum(border, np.iinfo(flat.dtype).max).astype(flat.dtype)  # no bin is above that
-    for _ in range(depth):
-        where = at.take(node)
-        where += rows
-        right = flat.take(where) > border.take(node)
-        node = left.take(node)
-        node += right
-    return node
-
-
 def counter(group: list[tuple], sets: int, d: int, dtype, n_bins: int, seed: int, rate: float | None):
     """Tasks' counts by open node, drawn feature, bin and class, for each tree of a group, in pieces of a few nodes."""
     def count(batches):
@@ -129,9 +114,9 @@ def counter(group: list[tuple], sets: int, d: int, dtype, n_bins: int, seed: int
                 taken, flat, place = np.flatnonzero(times), bins[at_set].ravel(), places[at_set].ravel()
                 cells, weights, found = np.empty((k, len(taken)), dtype=np.int64), np.empty(len(taken)), 0
                 starts = [subset[:, j].astype(np.int64) * n for j in range(k)]
-                for s in range(0, len(taken), STEP_ROWS):  # so many that what a step needs stays in the processor's cache
+                for s in range(0, len(taken), STEP_ROWS):
                     rows = taken[s:s + STEP_ROWS]
-                    slot = slots.take(nodes_of(flat, n, rows, *arrays))
+                    slot = slots.take(walked(flat, n, rows, *arrays))
                     if m < len(slots):
                         kept = slot >= 0
                         rows, slot = rows[kept], slot[kept]
