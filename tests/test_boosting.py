@@ -71,3 +71,24 @@ def test_rows_are_placed_once(spark, monkeypatch):
     df = spark.createDataFrame([(float(i % 9), None if i % 4 == 0 else float(i), int(i % 9 > 3)) for i in range(60)], "a double, b double, target int")
     stumps, _ = boosting.fit_stumps(df, ["a", "b"], "target", 3, 1.0)
     assert stumps == [(0, 3.5, 0, 1)] and {"b0", "b1"} <= set(kept["boosting-rows"].columns)
+
+
+@pytest.mark.parametrize("collected", [0, 10_000])
+def test_rounds_read_packed_blocks(spark, monkeypatch, collected):
+    monkeypatch.setattr(boosting, "PACK_ROWS", 100)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(boosting, "COLLECTED_VALUES", collected)
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.normal(size=600), rng.integers(0, 5, 600)], axis=1)
+    y = ((x[:, 0] + 0.3 * x[:, 1] + rng.normal(size=600) > 0.6)).astype(int)
+    data = [(*map(float, r), int(v)) for r, v in zip(x, y)]
+    odd = [(0.1, 2.0, 7), (0.2, 1.0, None)]  # no class: no weight, but their values are borders
+    df = spark.createDataFrame(data + odd, "a double, b double, target int").repartition(3)
+    stumps, alphas = boosting.fit_stumps(df, ["a", "b"], "target", 5, 1.0, buckets=8)
+    for got, a, want in zip(stumps, alphas, brute(x, y, 5)):
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=0.2) and got[2:] == want[2:4] and a == pytest.approx(want[4])
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    empty = boosting.fit_stumps(df.limit(0), ["a", "b"], "target", 3, 1.0)
+    assert empty == ([(None, None, 0, 0)], [1.0])
+    missing = df.union(spark.createDataFrame([(None, 1.0, 0), (float("nan"), 1.0, 1)], df.schema))
+    assert len(boosting.fit_stumps(missing, ["a", "b"], "target", 3, 1.0)[0]) == 3
